@@ -98,13 +98,13 @@ def visible_per_role(customers: DataFrame, roles: list[str], granted: DataFrame)
     Customers are counted per state first, so the roles meet a row per state
     and never the customers.  `EXISTS` below an `OR` stays one join.
     """
-    per_state = customers.groupBy("state").agg(F.count(F.lit(1)).alias("customers"))
-    seen = per_state.withColumn("role_name", F.explode(F.array(*[F.lit(r) for r in roles])))
-    entitled = granted.select(F.col("role_name").alias("_r"), F.col("state").alias("_s"))
-    exists = entitled.filter(
-        (F.col("_r") == F.col("role_name").outer()) & (F.col("_s") == F.col("state").outer())
-    ).exists()
-    return seen.filter(F.col("role_name").isin(*SEES_ALL_ROWS) | exists)
+    per_state = customers.groupBy(F.col("state").alias("_seen")).agg(F.count(F.lit(1)).alias("customers"))
+    pairs = per_state.withColumn("_viewer", F.explode(F.array(*[F.lit(r) for r in roles])))
+    # The outer columns must have names the inner frame does not know.
+    mine = F.col("role_name") == F.col("_viewer").outer()
+    exists = granted.filter(mine & (F.col("state") == F.col("_seen").outer())).exists()
+    allowed = pairs.filter(F.col("_viewer").isin(*SEES_ALL_ROWS) | exists)
+    return allowed.select(F.col("_viewer").alias("role_name"), F.col("_seen").alias("state"), "customers")
 
 
 # ---------------------------------------------------------------- tags

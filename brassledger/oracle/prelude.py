@@ -360,4 +360,7 @@ stream_events AS (
 
 
 def with_prelude(select: str) -> str:
-    return f"WITH {CHAIN.strip()}\n{select.strip()}"
+    select = select.strip()
+    if select.startswith("WITH "):  # the query adds links of its own
+        return f"WITH {CHAIN.strip()},\n{select.removeprefix('WITH ')}"
+    return f"WITH {CHAIN.strip()}\n{select}"

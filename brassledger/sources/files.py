@@ -11,8 +11,15 @@ from pyspark.sql import types as T
 from brassledger import contracts as K
 from brassledger.operators.standardise import instant
 
-# Quotes inside a quoted value are doubled, as CSV writers commonly do.
-CSV_DIALECT = {"header": "true", "quote": '"', "escape": '"'}
+# Quotes inside a quoted value are doubled, as CSV writers commonly do, and
+# blanks are data (Spark's writer would strip them).
+CSV_DIALECT = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def read_raw(spark: SparkSession, path: str | list[str], columns) -> DataFrame:
