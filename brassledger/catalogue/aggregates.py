@@ -77,7 +77,7 @@ def agg_ratio_nullif(ws):
               quantile_disc(amount, 0.95)::DECIMAL(18,2) AS p95_value FROM fact GROUP BY ALL""",
 )
 def agg_percentiles(ws):
-    cuts = F.percentile_approx("amount", [0.5, 0.95], 10_000)
+    cuts = F.percentile_approx("amount", [0.5, 0.95], 100_000)
     grouped = ws.fact.groupBy("channel").agg(cuts.alias("cuts"))
     return grouped.select("channel", F.col("cuts")[0].alias("median_value"), F.col("cuts")[1].alias("p95_value"))
 
