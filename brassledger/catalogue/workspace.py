@@ -62,7 +62,8 @@ class Workspace:
         streamed = F.col("source_file").contains(K.STREAM_MARK)
         zones = {"source=batch": ~streamed, "source=stream/ingest_date=2024-02-01": streamed}
         for zone, wanted in zones.items():
-            files.write_raw(rows.filter(wanted), f"{root}/transactions/{zone}", K.RAW_TRANSACTION)
+            batches = rows.filter(wanted)
+            files.write_raw(batches, f"{root}/transactions/{zone}", K.RAW_TRANSACTION, rows_per_file=25_000)
         files.write_raw(X.raw_accounts(spark, d), f"{root}/accounts", K.RAW_ACCOUNT)
         files.write_raw(X.raw_customers(spark, d), f"{root}/customers", K.RAW_CUSTOMER)
         files.write_raw(X.raw_branches(spark, d), f"{root}/branches", K.RAW_BRANCH)

@@ -113,10 +113,10 @@ def spread(key: Column, usable: Column, row: list[str], lanes: int = 4096) -> Co
     """The key where usable; elsewhere one of many filler values that match nothing.
 
     Rows that cannot match (no key, or already rejected) would otherwise all
-    hash to one join task.  Fillers start with NUL; the join condition must
-    also test `usable`, so a filler never decides a match.
+    hash to one join task.  The join condition must also test `usable`, so a
+    filler that happens to equal a key decides nothing.
     """
-    filler = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*row), F.lit(lanes)).cast("string"))
+    filler = F.concat(F.lit("~"), F.pmod(F.xxhash64(*row), F.lit(lanes)).cast("string"))
     return F.when(usable, key).otherwise(filler)
 
 

@@ -78,18 +78,23 @@ def quarantine_rate(quarantined: Column, raw: Column) -> Column:
     return F.coalesce(F.round(C.share(quarantined, raw), 6), F.lit(0.0))
 
 
-def row_totals(flagged: DataFrame) -> DataFrame:
-    """One row from one pass: raw, curated and quarantined rows, and the rate."""
-    bad = F.size("dq_fail_reasons") > 0
-    counted = flagged.agg(row_count().alias("raw_rows"), F.count_if(bad).alias("quarantined_rows"))
+def with_rate(counted: DataFrame) -> DataFrame:
+    """(raw_rows, quarantined_rows) -> also curated rows and the rate."""
+    raw_rows, bad_rows = F.col("raw_rows"), F.col("quarantined_rows")
     return counted.select(
         "raw_rows",
-        (F.col("raw_rows") - F.col("quarantined_rows")).alias("curated_rows"),
+        (raw_rows - bad_rows).alias("curated_rows"),
         "quarantined_rows",
-        quarantine_rate(F.col("quarantined_rows"), F.col("raw_rows")).alias("quarantine_rate"),
+        quarantine_rate(bad_rows, raw_rows).alias("quarantine_rate"),
     )
 
 
+def row_totals(flagged: DataFrame) -> DataFrame:
+    """One row from one pass: raw, curated and quarantined rows, and the rate."""
+    bad = F.size("dq_fail_reasons") > 0
+    return with_rate(flagged.agg(row_count().alias("raw_rows"), F.count_if(bad).alias("quarantined_rows")))
+
+
 def gate(rate: Column, limit: Column) -> Column:
     return F.when(rate <= limit, K.PUBLISHED).otherwise(K.BLOCKED)
 

@@ -43,7 +43,13 @@ def row_checks(as_of: dt.datetime) -> dict[str, Column]:
 
 
 def reason_array(checks: dict[str, Column]) -> Column:
-    return F.array_compact(F.array(*[F.when(failing, F.lit(reason)) for reason, failing in checks.items()]))
+    """The codes of all failing checks, in order; an empty array for a good row.
+
+    `concat_ws` skips the NULLs of the passing checks and, unlike a lambda over
+    an array, keeps the whole stage compiled; only bad rows pay for the split.
+    """
+    found = F.concat_ws(",", *[F.when(failing, F.lit(reason)) for reason, failing in checks.items()])
+    return F.when(found == "", F.array().cast("array<string>")).otherwise(F.split(found, ","))
 
 
 def with_owner(txns: DataFrame, master: DataFrame) -> DataFrame:
@@ -84,6 +90,13 @@ def repeated_ids(checked: DataFrame) -> DataFrame:
     return counts.agg(F.count(F.lit(1)).alias("_copies")).filter(F.col("_copies") > 1)
 
 
+def count_quarantined(checked: DataFrame, repeated: DataFrame) -> DataFrame:
+    """(raw_rows, quarantined_rows): failed rows plus all but one version of each repeated id."""
+    extra = repeated.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0))).scalar()
+    counted = checked.agg(F.count(F.lit(1)).alias("raw_rows"), F.count_if(~_row_ok()).alias("failed"))
+    return counted.select("raw_rows", (F.col("failed") + extra).alias("quarantined_rows"))
+
+
 def mark_repeats(checked: DataFrame, repeated: DataFrame | None = None, lane_rows: int = 1_000_000) -> DataFrame:
     """Add DUPLICATE_TXN_ID to every good row that is not the newest of its id.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -147,6 +148,9 @@ class Run:
         )
 
 
+DIMENSIONS = {"dim_account": K.ACCOUNT_DDL, "dim_customer": K.CUSTOMER_DDL, "dim_branch": K.BRANCH_DDL}
+
+
 # ---------------------------------------------------------------- publication
 class Lake:
     """Folder layout of a lake and what its newest published run holds.
@@ -189,10 +193,17 @@ class Lake:
 
     def fact(self) -> DataFrame:
         """The published fact with its year/month folders, so date filters can prune."""
-        return self.spark.read.parquet(self.curated(self.published_run(), "fact_transactions"))
+        return files.read_fact(self.spark, self.curated(self.published_run(), "fact_transactions"))
 
     def dimension(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.curated(self.published_run(), table))
+        return files.read_table(self.spark, self.curated(self.published_run(), table), DIMENSIONS[table])
+
+
+def together(*actions) -> None:
+    """Run independent writes at the same time, so that small ones fill idle cores."""
+    with ThreadPoolExecutor(max_workers=len(actions)) as pool:
+        for job in [pool.submit(action) for action in actions]:
+            job.result()
 
 
 def publish(raw: RawZone, settings: Settings, lake: Lake, work: str | None = None) -> dict:
@@ -204,16 +215,15 @@ def publish(raw: RawZone, settings: Settings, lake: Lake, work: str | None = Non
     also gives the planner true sizes: a small account master or a short list
     of repeated ids is broadcast, a large one is not.
     """
-    spark = lake.spark
+    spark, run_id, limit = lake.spark, settings.run_id, settings.max_quarantine_rate
     run = Run(raw, settings)
-    stage = work or shared_folder(spark, f"stage-{settings.run_id}")
+    stage = work or shared_folder(spark, f"stage-{run_id}")
 
     def staged(df: DataFrame, name: str) -> DataFrame:
         path = f"{stage}/{name}"
         df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
-    run.checked_accounts = staged(run.checked_accounts, "accounts")
     run.account_master = staged(run.account_master, "account_master")
     checked = run.checked.drop(validate.LANE)
     run.checked = staged(checked, "checked").withColumn(validate.LANE, F.monotonically_increasing_id())
@@ -221,54 +231,47 @@ def publish(raw: RawZone, settings: Settings, lake: Lake, work: str | None = Non
     run.flagged = validate.mark_repeats(run.checked, repeated)
     run.std = run.checked  # the rule columns are a subset of the staged ones
 
-    # quarantine and its counts are written whatever the gate says
-    files.write_table(run.quarantine, lake.quarantine("transactions"))
-    files.write_table(run.account_quarantine, lake.quarantine("accounts"))
-    run.quarantine = lake.quarantined()
-    files.append_history(run.reasons, lake.history("quarantine_reasons"))
-
-    raw_rows = run.checked.agg(quality.row_count().alias("raw_rows"))
-    held = run.quarantine.agg(quality.row_count()).scalar()
-    run.totals = staged(
-        raw_rows.withColumn("quarantined_rows", held).select(
-            "raw_rows",
-            (F.col("raw_rows") - F.col("quarantined_rows")).alias("curated_rows"),
-            "quarantined_rows",
-            quality.quarantine_rate(F.col("quarantined_rows"), F.col("raw_rows")).alias("quarantine_rate"),
-        ),
-        "totals",
-    )
-    raw_outcomes = staged(run.raw_outcomes, "raw_outcomes")
-    rate = run.totals.first()["quarantine_rate"]  # one row
-    passed = rate <= settings.max_quarantine_rate
-
-    curated_score = None
-    outcomes = raw_outcomes
-    if passed:
-        fact_path = lake.curated(settings.run_id, "fact_transactions")
-        files.write_fact(run.fact, fact_path)
-        run.fact = spark.read.parquet(fact_path)
-        for table in ("dim_account", "dim_customer", "dim_branch"):
-            files.write_table(getattr(run, table), lake.curated(settings.run_id, table))
-        curated_outcomes = staged(run.curated_outcomes, "curated_outcomes")
-        curated_score = rules.score(curated_outcomes)
-        outcomes = raw_outcomes.unionByName(curated_outcomes)
-    files.append_history(outcomes, lake.history("rule_outcomes"))
-
-    summary = quality.run_summary(
-        run.totals,
-        rules.score(raw_outcomes),
-        curated_score,
-        run.account_quarantine,
-        settings.run_id,
-        settings.as_of,
-        settings.max_quarantine_rate,
-    )
-    summary = staged(summary, "summary")
-    files.append_history(summary, lake.history("run_summary"))  # the commit point
+    # The gate needs two narrow counts, not the ranked rows.
+    counted = quality.with_rate(validate.count_quarantined(run.checked, repeated))
+    totals = counted.first()  # one row
+    run.totals = spark.createDataFrame([totals], counted.schema)
+    passed = totals["quarantine_rate"] <= limit
+
+    def write_outcomes(outcomes: DataFrame) -> None:
+        files.append_history(outcomes, lake.history("rule_outcomes"))
+
+    def write_quarantine() -> None:
+        files.write_table(run.quarantine, lake.quarantine("transactions"))
+        run.quarantine = lake.quarantined()
+        files.append_history(run.reasons, lake.history("quarantine_reasons"))
+
+    def write_account_quarantine() -> None:
+        files.write_table(run.account_quarantine, lake.quarantine("accounts"))
+
+    def write_fact() -> None:
+        path = lake.curated(run_id, "fact_transactions")
+        files.write_fact(run.fact, path)
+        run.fact = files.read_fact(spark, path)
+        write_outcomes(run.curated_outcomes)
+
+    def write_dimensions() -> None:
+        for table in DIMENSIONS:
+            files.write_table(getattr(run, table), lake.curated(run_id, table))
+
+    # Quarantine and history are written whatever the gate says, curated tables only if it passes.
+    always = [write_quarantine, write_account_quarantine, lambda: write_outcomes(run.raw_outcomes)]
+    together(*([write_fact, write_dimensions] if passed else []), *always)
+
+    mine = lake.outcomes().filter(F.col("run_id") == run_id)
+    raw_score = rules.score(mine.filter(F.col("dataset") == K.RAW_DATASET))
+    curated_score = rules.score(mine.filter(F.col("dataset") == K.CURATED_DATASET)) if passed else None
+    rejected = spark.read.schema(run.account_quarantine.schema).parquet(lake.quarantine("accounts"))
+    summary = quality.run_summary(run.totals, raw_score, curated_score, rejected, run_id, settings.as_of, limit)
+    row = summary.first()  # one row
+    files.append_history(spark.createDataFrame([row], summary.schema), lake.history("run_summary"))  # commit point
     if not passed:
         raise quality.QualityGateBlocked(
-            f"run {settings.run_id}: quarantine rate {rate:.4%} exceeds {settings.max_quarantine_rate:.2%}; "
+            f"run {run_id}: quarantine rate {totals['quarantine_rate']:.4%} exceeds {limit:.2%}; "
             "curated tables keep their previous run"
         )
-    return summary.first().asDict()
+    return row.asDict()

@@ -33,9 +33,14 @@ def with_lineage(rows: DataFrame) -> DataFrame:
     return rows.select("*", F.col("_metadata.file_path").alias("source_file"))
 
 
-def write_raw(rows: DataFrame, path: str, columns) -> None:
-    """Contract columns as gzip CSV; used to lay out test input."""
-    rows.select(*columns).write.mode("overwrite").options(**CSV_DIALECT).csv(path, compression="gzip")
+def write_raw(rows: DataFrame, path: str, columns, rows_per_file: int = 500_000) -> None:
+    """Contract columns as gzip CSV batches; used to lay out test input.
+
+    Gzip files cannot be split on reading, so their size sets the parallelism
+    of the later scan.
+    """
+    out = rows.select(*columns).write.mode("overwrite").options(**CSV_DIALECT)
+    out.option("maxRecordsPerFile", rows_per_file).csv(path, compression="gzip")
 
 
 # ---------------------------------------------------------------- table writers
@@ -61,8 +66,17 @@ def append_history(df: DataFrame, path: str) -> None:
 
 
 def read_table(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    """A table under its declared layout; year/month folder names are dropped."""
-    return match_by_name(spark.read.parquet(path), ddl)
+    """A table under its declared layout.
+
+    A given schema spares the footer job and is matched by name: absent columns
+    come back as NULL, extra ones (such as folder columns) are left out.
+    """
+    return spark.read.schema(K.layout(ddl)).parquet(path).select(*K.layout_columns(ddl))
+
+
+def read_fact(spark: SparkSession, path: str) -> DataFrame:
+    """The fact with its folder columns, so that filters on them skip folders."""
+    return spark.read.schema(K.layout(f"{K.FACT_DDL}, year int, month int")).parquet(path)
 
 
 # ---------------------------------------------------------------- by-name refresh
