@@ -116,6 +116,56 @@ REASON_COUNT_DDL = "reason string, ingest_source string, row_count bigint, run_i
 AUDIT_DDL = "loaded_at timestamp_ntz, table_name string, rows_loaded bigint"
 
 
+# Column documentation; `publish` writes it into the tables' schemas.
+COMMENTS = {
+    "fact_transactions": {
+        "transaction_id": "Key; the newest delivered version is kept",
+        "transaction_ts": "When it happened, wall clock in UTC",
+        "transaction_date": "Day of transaction_ts",
+        "transaction_hour": "Hour of transaction_ts, 0 to 23",
+        "source_account_id": "Account the movement belongs to; known to the account master",
+        "customer_id": "Owner of that account",
+        "account_type": "Type of that account",
+        "counterparty_id": "Other side: C... a customer, M... a merchant",
+        "transaction_type": "One of the five approved types",
+        "flow_direction": "INFLOW for deposits, OUTFLOW for the rest",
+        "amount": "Size of the movement, above zero",
+        "signed_amount": "Amount with its sign; sums to net flow",
+        "channel": "One of the five approved channels",
+        "digital_channel_flag": "True for the mobile and online channels",
+        "merchant_category": "Filled for payments and debits",
+        "branch_id": "Filled for the branch and ATM channels",
+        "transaction_status": "One of the three approved statuses",
+        "is_failed": "True when the status is FAILED",
+        "balance_before": "Account balance before the movement",
+        "balance_after": "Account balance after the movement",
+        "is_fraud_flag": "1 where the source labels the row as fraud",
+        "ingest_source": "BATCH or STREAM",
+        "source_file": "File the row was read from",
+        "run_id": "Run that published the row",
+    },
+    "dim_customer": {
+        "customer_id": "Key",
+        "customer_since": "First day of the relationship",
+        "state": "State of residence",
+        "customer_segment": "Commercial segment",
+        "risk_tier": "LOW, MEDIUM or HIGH",
+        "digital_enrolled_flag": "Signed up for digital banking",
+        "home_branch_id": "Main branch",
+        "tenure_years": "Years since customer_since at the run's clock",
+    },
+    "dim_account": {
+        "account_id": "Key",
+        "customer_id": "Owner",
+        "account_type": "Type of account",
+        "open_date": "Day the account was opened",
+        "account_status": "One of the four approved statuses",
+        "current_balance": "Ledger balance",
+    },
+    "dim_branch": {"branch_id": "Key", "branch_name": "Display name", "region": "Sales region"},
+}
+
+
 def text_schema(columns) -> T.StructType:
     """A schema of nullable text columns, for files that must never be inferred."""
     schema = T.StructType()

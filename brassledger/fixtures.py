@@ -210,27 +210,3 @@ def raw_zone(spark: SparkSession, sf_dir: str, transactions: DataFrame | None =
 def run(spark: SparkSession, sf_dir: str, as_of: dt.datetime = AS_OF, max_rate: float = 0.05) -> Run:
     """The main run: all raw rows at the fixture's clock."""
     return Run(raw_zone(spark, sf_dir), Settings(as_of, max_rate))
-
-
-def batch_run(spark: SparkSession, sf_dir: str, as_of: dt.datetime, max_rate: float) -> Run:
-    """An earlier run, before any streamed event had landed."""
-    rows = raw_transactions(spark, sf_dir)
-    batch = rows.filter(~F.col("source_file").contains(K.STREAM_MARK))
-    return Run(raw_zone(spark, sf_dir, batch), Settings(as_of, max_rate))
-
-
-def run_history(spark: SparkSession, sf_dir: str) -> list[Run]:
-    """Three runs: batch only and published, batch only and blocked, everything and published."""
-    return [
-        batch_run(spark, sf_dir, dt.datetime(2024, 1, 30), 0.05),
-        batch_run(spark, sf_dir, dt.datetime(2024, 1, 31), 0.01),
-        run(spark, sf_dir),
-    ]
-
-
-def stacked(runs: list[Run], frame: str) -> DataFrame:
-    """The same history frame of several runs, one below the other."""
-    out = getattr(runs[0], frame)
-    for later in runs[1:]:
-        out = out.unionByName(getattr(later, frame))
-    return out

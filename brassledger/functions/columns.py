@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -92,10 +90,6 @@ def money_if(cond: Column, c="amount") -> Column:
     return F.when(cond, _col(c)).otherwise(F.lit(0).cast(K.MONEY))
 
 
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
-
-
 # ---------------------------------------------------------------- keys
 def padded(prefix: str, number, width: int) -> Column:
     """prefix + zero-padded number; longer numbers are kept whole."""

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brassledger import contracts as K
-from brassledger.operators import enrich, quality, rules, standardise, validate
+from brassledger.operators import enrich, governance, quality, rules, standardise, validate
 from brassledger.session import shared_folder
 from brassledger.sources import files
 
@@ -199,6 +199,11 @@ class Lake:
         return files.read_table(self.spark, self.curated(self.published_run(), table), DIMENSIONS[table])
 
 
+def documented(df: DataFrame, table: str) -> DataFrame:
+    """Column comments and classification tags as schema metadata."""
+    return governance.tag_columns(governance.describe_columns(df, K.COMMENTS[table]), table)
+
+
 def together(*actions) -> None:
     """Run independent writes at the same time, so that small ones fill idle cores."""
     with ThreadPoolExecutor(max_workers=len(actions)) as pool:
@@ -250,13 +255,13 @@ def publish(raw: RawZone, settings: Settings, lake: Lake, work: str | None = Non
 
     def write_fact() -> None:
         path = lake.curated(run_id, "fact_transactions")
-        files.write_fact(run.fact, path)
+        files.write_fact(documented(run.fact, "fact_transactions"), path)
         run.fact = files.read_fact(spark, path)
         write_outcomes(run.curated_outcomes)
 
     def write_dimensions() -> None:
         for table in DIMENSIONS:
-            files.write_table(getattr(run, table), lake.curated(run_id, table))
+            files.write_table(documented(getattr(run, table), table), lake.curated(run_id, table))
 
     # Quarantine and history are written whatever the gate says, curated tables only if it passes.
     always = [write_quarantine, write_account_quarantine, lambda: write_outcomes(run.raw_outcomes)]
