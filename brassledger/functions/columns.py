@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brassledger import contracts as K
@@ -114,6 +114,17 @@ def spread(key: Column, usable: Column, row: list[str], lanes: int = 4096) -> Co
     return F.when(usable, key).otherwise(filler)
 
 
+# ---------------------------------------------------------------- fixed tables
+def fixed_rows(spark: SparkSession, names: tuple[str, ...], rows) -> DataFrame:
+    """A small text table from constants.
+
+    Unlike rows shipped from Python, it has a size the planner knows, so joins
+    with it are broadcast on their own.
+    """
+    lines = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*lines)))
+
+
 # ---------------------------------------------------------------- masking
 def hashed(c) -> Column:
     return F.concat(F.lit("H_"), F.left(F.sha2(_col(c), 256), F.lit(16)))

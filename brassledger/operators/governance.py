@@ -80,7 +80,7 @@ def apply_masking(df: DataFrame, table: str, role: str) -> DataFrame:
 
 # ---------------------------------------------------------------- row access
 def entitlements(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(ENTITLEMENTS), "role_name string, state string")
+    return C.fixed_rows(spark, ("role_name", "state"), ENTITLEMENTS)
 
 
 def visible_rows(customers: DataFrame, role: str, granted: DataFrame | None = None) -> DataFrame:
@@ -147,7 +147,7 @@ def tag_report(df: DataFrame, table: str) -> DataFrame:
 def access_matrix(customers: DataFrame) -> DataFrame:
     """Role, scope, identifier form, and the customers and states it reaches."""
     spark = customers.sparkSession
-    roles = spark.createDataFrame(list(ACCESS), "role_name string, sees string, identifiers string")
+    roles = C.fixed_rows(spark, ("role_name", "sees", "identifiers"), ACCESS)
     seen = visible_per_role(customers, [r for r, *_ in ACCESS], entitlements(spark))
     reach = seen.groupBy("role_name").agg(
         F.sum("customers").cast("bigint").alias("customers_visible"), F.count("state").alias("states_visible")

@@ -143,7 +143,7 @@ def status_line(summary: DataFrame) -> DataFrame:
 def reason_table(spark: SparkSession) -> DataFrame:
     """The 12 reason codes with dimension and business rule (a fixed table)."""
     rows = [(reason, *meaning) for reason, meaning in K.REASONS.items()]
-    return spark.createDataFrame(rows, "reason string, dq_dimension string, business_rule string")
+    return C.fixed_rows(spark, ("reason", "dq_dimension", "business_rule"), rows)
 
 
 def latest_run(summary: DataFrame) -> DataFrame:

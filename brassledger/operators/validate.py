@@ -116,6 +116,10 @@ def mark_repeats(checked: DataFrame, repeated: DataFrame | None = None, lane_row
     rivals = checked.filter(_row_ok()).join(repeated, F.col("transaction_id") == F.col("_rid"))
     lanes = F.ceil(F.col("_copies") / F.lit(lane_rows))
     rivals = rivals.withColumn(LANE, F.pmod(F.col(LANE), lanes))
+    # After a shuffled join the rows are already placed by id, which would
+    # satisfy both windows and keep a hot id in one task.  Placing them by id
+    # and lane undoes that, and lets AQE split the join's hot partitions.
+    rivals = rivals.repartition("transaction_id", LANE)
 
     rest = [F.col(c).asc_nulls_last() for c in plain if c not in ("transaction_id", "transaction_ts", "source_file")]
     newest = [F.col("transaction_ts").desc_nulls_last(), F.col("source_file").asc(), *rest]

@@ -49,19 +49,40 @@ def _rate(part: Column, whole: Column) -> Column:
 
 
 # ---------------------------------------------------------------- open marts
-def daily_transactions(fact: DataFrame) -> DataFrame:
-    keys = (
+def _totals(fact: DataFrame, keys: list, counts: dict[str, Column], money: dict[str, Column], visible=None):
+    """Counts and sums of money per key, over all rows or over those of visible customers.
+
+    With `visible` the fact is first aggregated per key and customer.  Joining
+    rows instead would place them by customer, the aggregate would reuse that
+    placement, and one hot customer would hold up one task.
+    """
+    measures = [
+        *[c.alias(name) for name, c in counts.items()],
+        *[C.total(c).alias(name) for name, c in money.items()],
+    ]
+    if visible is None:
+        return fact.groupBy(*keys).agg(*measures)
+    fine = fact.groupBy(*keys, "customer_id").agg(*measures)
+    names = [c for c in fine.columns if c != "customer_id" and c not in counts and c not in money]
+    seen = fine.join(visible.select("customer_id"), "customer_id", "left_semi")
+    return seen.groupBy(*names).agg(*[_again(c) for c in counts], *[_money_again(c) for c in money])
+
+
+def daily_transactions(fact: DataFrame, visible: DataFrame | None = None) -> DataFrame:
+    keys = [
         "transaction_date", "transaction_type", "flow_direction", "channel", "digital_channel_flag", "ingest_source",
-    )
-    return fact.groupBy(*keys).agg(
-        _rows().alias("txn_count"),
-        C.total("amount").alias("txn_value"),
-        F.count_if("is_failed").alias("failed_txn_count"),
-        F.count_if(F.col("is_fraud_flag") == 1).alias("fraud_labelled_count"),
+    ]
+    counts = {
+        "txn_count": _rows(),
+        "failed_txn_count": F.count_if("is_failed"),
+        "fraud_labelled_count": F.count_if(F.col("is_fraud_flag") == 1),
+    }
+    return _totals(fact, keys, counts, {"txn_value": F.col("amount")}, visible).select(
+        *keys, "txn_count", "txn_value", "failed_txn_count", "fraud_labelled_count"
     )
 
 
-def monthly_kpis(fact: DataFrame) -> DataFrame:
+def monthly_kpis(fact: DataFrame, visible: DataFrame | None = None) -> DataFrame:
     # One row per month and account first: both distinct counts then run over
     # that much smaller frame instead of expanding the fact three times.
     per_account = fact.groupBy(_month(), "customer_id", "source_account_id").agg(
@@ -73,6 +94,8 @@ def monthly_kpis(fact: DataFrame) -> DataFrame:
         F.count_if("is_failed").alias("failed"),
         F.count_if("digital_channel_flag").alias("digital"),
     )
+    if visible is not None:
+        per_account = per_account.join(visible.select("customer_id"), "customer_id", "left_semi")
     per_month = per_account.groupBy("month_start").agg(
         _again("txn_count"),
         *[_money_again(c) for c in ("txn_value", "deposit_value", "outflow_value", "net_flow")],
@@ -147,18 +170,16 @@ def customer_value(fact: DataFrame, customers: DataFrame, how: str = "left") ->
     )
 
 
-def merchant_monthly(fact: DataFrame) -> DataFrame:
+def merchant_monthly(fact: DataFrame, visible: DataFrame | None = None) -> DataFrame:
     spent = fact.filter(F.col("merchant_category").isNotNull())
-    return spent.groupBy(_month(), "merchant_category", "channel").agg(
-        _rows().alias("txn_count"), C.total("amount").alias("txn_value")
-    )
+    keys = [_month(), "merchant_category", "channel"]
+    return _totals(spent, keys, {"txn_count": _rows()}, {"txn_value": F.col("amount")}, visible)
 
 
-def branch_activity(fact: DataFrame, branches: DataFrame) -> DataFrame:
+def branch_activity(fact: DataFrame, branches: DataFrame, visible: DataFrame | None = None) -> DataFrame:
     at_branch = fact.filter(F.col("branch_id").isNotNull())
-    counted = at_branch.groupBy("branch_id", "channel", _month()).agg(
-        _rows().alias("txn_count"), C.total("amount").alias("txn_value")
-    )
+    keys = ["branch_id", "channel", _month()]
+    counted = _totals(at_branch, keys, {"txn_count": _rows()}, {"txn_value": F.col("amount")}, visible)
     place = ("branch_id", "branch_name", "city", "state", "region")
     joined = counted.join(branches.select(*place), "branch_id")
     # Branch ids may repeat in the master; the last step keeps the mart's grain.
@@ -209,35 +230,35 @@ def quarantine_reasons(reasons: DataFrame) -> DataFrame:
 class SecureMarts:
     """The marts as one role sees them.
 
-    Facts reach a mart only through customers the row policy lets through.
-    Identifiers are masked after aggregation: grouping by the key or by its
-    hash is the same, and this way each customer is hashed once.
+    Facts reach a mart only through customers the row policy lets through, and
+    always after a first aggregation.  Identifiers are masked last: grouping by
+    the key or by its hash is the same, and this way each customer is hashed
+    once.
     """
 
     def __init__(self, fact: DataFrame, customers: DataFrame, role: str):
         self.role = role
-        self.all_fact = fact
+        self.fact = fact
         self.customers = G.visible_rows(customers, role)
-        self.fact = fact.join(self.customers.select("customer_id"), "customer_id", "left_semi")
 
     def daily_transactions(self) -> DataFrame:
-        return daily_transactions(self.fact)
+        return daily_transactions(self.fact, self.customers)
 
     def monthly_kpis(self) -> DataFrame:
-        return monthly_kpis(self.fact)
+        return monthly_kpis(self.fact, self.customers)
 
     def monthly_segment(self) -> DataFrame:
-        return monthly_segment(self.all_fact, self.customers, "inner", digital=True)
+        return monthly_segment(self.fact, self.customers, "inner", digital=True)
 
     def customer_value(self) -> DataFrame:
-        mart = customer_value(self.all_fact, self.customers, "inner")
+        mart = customer_value(self.fact, self.customers, "inner")
         return mart.withColumn("customer_id", G.mask_identifier("customer_id", self.role))
 
     def merchant_monthly(self) -> DataFrame:
-        return merchant_monthly(self.fact)
+        return merchant_monthly(self.fact, self.customers)
 
     def branch_activity(self, branches: DataFrame) -> DataFrame:
-        return branch_activity(self.fact, branches)
+        return branch_activity(self.fact, branches, self.customers)
 
 
 def all_open(fact, dim_customer, dim_account, dim_branch, outcomes, summary, reasons) -> dict[str, DataFrame]:

@@ -94,3 +94,34 @@ def test_single_ids_are_never_ranked(space):
     text = plan(validate.mark_repeats(space.run.checked))
     settled = text[: text.index("Window")]
     assert "LeftAnti" in settled and "Sort [transaction_id" not in settled.split("LeftAnti")[0]
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
+def test_lanes_of_a_hot_id_go_to_different_tasks(spark, space, threshold):
+    """Both rankings are preceded by their own exchange on (id, lane), whatever the join before."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        text = plan(validate.mark_repeats(space.run.checked))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(re.findall(r"Exchange hashpartitioning\(transaction_id#\d+, _lane#\d+L?, \d+\)", text)) == 2
+
+
+def test_secure_marts_aggregate_before_they_meet_customers(spark, space):
+    """No aggregate may reuse the placement by customer that a join of raw rows would leave."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    secure = space.secure(G.REGIONAL)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for df in (secure.daily_transactions(), secure.monthly_kpis(), secure.merchant_monthly()):
+            text = plan(df)
+            below = text[text.index("LeftSemi") :]
+            fact_side = below[: below.index("FileScan")]
+            assert fact_side.count("HashAggregate") == 2, fact_side
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_fixed_tables_have_a_known_size(space):
+    assert "BroadcastHashJoin" in plan(G.visible_rows(space.dim_customer, G.REGIONAL))
