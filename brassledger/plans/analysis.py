@@ -52,8 +52,8 @@ def deposits_trend(fact: DataFrame) -> DataFrame:
 def value_percentiles(fact: DataFrame, accuracy: int = 100_000) -> DataFrame:
     """Mean, median and p95 by type.
 
-    Quantile sketches merge, so a hot type is no issue; a sketch errs by at most
-    1 / accuracy in rank and is exact for groups smaller than that.
+    Quantile sketches merge, so a hot type is no issue.  Results are approximate
+    on large groups; `accuracy` bounds the error in rank and the sketch's size.
     """
     both = F.percentile_approx("amount", [0.5, 0.95], accuracy)
     grouped = fact.groupBy("transaction_type").agg(
