@@ -9,6 +9,7 @@ from brassledger import fixtures as X
 from brassledger.catalogue.core import query
 from brassledger.operators.validate import reason_counts
 from brassledger.plans import marts
+from brassledger.plans.warehouse import Warehouse
 from brassledger.sources import files
 from brassledger.streaming import events as E
 from brassledger.streaming import landing
@@ -160,15 +161,9 @@ def refresh_by_name(ws):
        UNION ALL SELECT TIMESTAMP '2024-02-01', 'dq.quarantine_transactions', count(*) FROM quarantine""",
 )
 def load_audit(ws):
-    path = ws.fresh("audit")
-    tables = {
-        "curated.fact_transactions": ws.fact,
-        "curated.dim_customer": ws.dim_customer,
-        "curated.dim_account": ws.dim_account,
-        "dq.quarantine_transactions": ws.lake.quarantined(),
-    }
-    files.append_history(files.load_audit(tables, X.AS_OF), path)
-    return files.read_table(ws.spark, path, K.AUDIT_DDL)
+    house = Warehouse(ws.spark, ws.fresh("warehouse"))
+    house.refresh(ws.lake, X.AS_OF)
+    return house.audit()
 
 
 def open_marts(ws):
@@ -211,11 +206,7 @@ def export_mart_csv(ws):
 
 @query("export_row_counts", MART_SIZES.format(n="rows_exported"))
 def export_row_counts(ws):
-    root, paths = ws.fresh("exports"), {}
-    for name, mart in open_marts(ws).items():
-        paths[name] = f"{root}/{name}"
-        files.export_csv(mart, paths[name])
-    return files.export_counts(ws.spark, paths)
+    return files.export_counts(ws.spark, files.export_all(open_marts(ws), ws.fresh("exports")))
 
 
 DECODED = ", ".join(f"if(undecodable, '', coalesce({c}, '')) AS {c}" for c in K.RAW_TRANSACTION)

@@ -267,6 +267,22 @@ class SecureMarts:
         return branch_activity(self.fact, branches, self.customers)
 
 
+def all_secure(seen: SecureMarts, dim_branch, scorecard, outcomes, summary, reasons) -> dict[str, DataFrame]:
+    """The ten marts one role may export, by name."""
+    return {
+        "mart_monthly_kpis": seen.monthly_kpis(),
+        "mart_daily_transactions": seen.daily_transactions(),
+        "mart_monthly_segment": seen.monthly_segment(),
+        "mart_customer_value": seen.customer_value(),
+        "mart_merchant_monthly": seen.merchant_monthly(),
+        "mart_branch_activity": seen.branch_activity(dim_branch),
+        "mart_dq_scorecard": scorecard,
+        "mart_dq_run_history": run_history(summary),
+        "mart_dq_rule_results": rule_results_ranked(outcomes),
+        "mart_quarantine_reasons": quarantine_reasons(reasons),
+    }
+
+
 def all_open(fact, dim_customer, dim_account, dim_branch, outcomes, summary, reasons) -> dict[str, DataFrame]:
     """The ten open marts by name."""
     return {

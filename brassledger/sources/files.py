@@ -144,6 +144,14 @@ def export_csv(mart: DataFrame, path: str) -> None:
     mart.hint("rebalance").write.mode("overwrite").options(**CSV_DIALECT, emptyValue="").csv(path)
 
 
+def export_all(marts: dict[str, DataFrame], root: str) -> dict[str, str]:
+    """Each mart into its own folder; returns the folders by name."""
+    paths = {name: f"{root}/{name}" for name in marts}
+    for name, mart in marts.items():
+        export_csv(mart, paths[name])
+    return paths
+
+
 def read_export(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).options(**CSV_DIALECT).csv(path)
 
