@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -17,9 +18,10 @@ class Encoder:
     Byte-level BPE never merges across its pre-tokens, and a blank before a
     word always begins one.  So texts whose blanks are single spaces and line
     ends are cut there and each distinct piece is encoded by the library once;
-    other texts, and other kinds of tokenizers, are encoded whole.  The memory
-    is emptied when it holds `words` pieces.  Strings of special tokens inside a
-    text are ordinary text.
+    other texts, and other kinds of tokenizers, are encoded whole.  Pieces met
+    again move from a first memory, which the many rare ones pass through, to a
+    second; each is emptied at `words` pieces.  Strings of special tokens inside
+    a text are ordinary text.
     """
 
     def __init__(self, path: str, words: int = 400_000):
@@ -38,29 +40,32 @@ class Encoder:
             and not spec.get("normalizer")
         )
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.words = words
-        self.known: dict[str, bytes] = {}  # a piece after a space, or "\n" and a piece
+        self.known: dict[str, bytes] = {}  # a piece after a space, or "\n" and a piece; met again
+        self.fresh: dict[str, bytes] = {}  # the same, met once
         self.first: dict[str, bytes] = {}  # a piece at the start of a text
         self.marks = {m: self._ids([m])[0] for m in SINGLE}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
+        return [array(self.code, e.ids).tobytes() for e in found]
 
     def _learn(self, missing: set[str]) -> None:
         marked = {w for w in missing if w[-1] in SINGLE and w[:-1].lstrip("\n").isalpha()}
-        plain = list((missing - marked) | {w[:-1] for w in marked if w[:-1] not in self.known})
-        self.known.update(zip(plain, self._ids([w if w[0] == "\n" else f" {w}" for w in plain])))
-        self.known.update((w, self.known[w[:-1]] + self.marks[w[-1]]) for w in marked)
+        stems = {w[:-1] for w in marked}
+        plain = [w for w in (missing - marked) | stems if w not in self.known and w not in self.fresh]
+        self.fresh.update(zip(plain, self._ids([w if w[0] == "\n" else f" {w}" for w in plain])))
+        for w in marked:
+            self.fresh[w] = (self.known.get(w[:-1]) or self.fresh[w[:-1]]) + self.marks[w[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
         cut, whole, missing, starts = [], [], set(), set()
-        if len(self.known) > self.words:
-            self.known.clear()
-        if len(self.first) > self.words:
-            self.first.clear()
-        get = self.known.get
+        for memory in (self.known, self.fresh, self.first):
+            if len(memory) > self.words:
+                memory.clear()
+        get, fresh = self.known.get, self.fresh
         for i, text in enumerate(texts):
             flat = text.replace("\n", " ")
             if not self.cuts or not flat or " ".join(flat.split()) != flat:
@@ -70,7 +75,11 @@ class Encoder:
             ids = list(map(get, pieces))
             ids[0] = b""
             gaps = [k for k, x in enumerate(ids) if x is None] if None in ids else []
-            missing.update([pieces[k] for k in gaps])
+            for k in gaps:
+                if (found := fresh.get(pieces[k])) is None:
+                    missing.add(pieces[k])
+                else:
+                    self.known[pieces[k]] = found
             starts.add(pieces[0])
             cut.append((i, pieces, ids, gaps))
         if missing:
@@ -79,7 +88,7 @@ class Encoder:
             self.first.update(zip(starts, self._ids(starts)))
         for i, pieces, ids, gaps in cut:
             for k in gaps:
-                ids[k] = self.known[pieces[k]]
+                ids[k] = get(pieces[k]) or fresh[pieces[k]]
             ids[0] = self.first[pieces[0]]
             out[i] = b"".join(ids)
         for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
