@@ -43,7 +43,7 @@ MAX_GRAMS = 3_000_000
 MAX_CELLS = 16_000_000
 BLOCK_CHARS = 8 << 20
 SLICE = 1 << 21  # bytes whose strings are sorted at a time
-HELD_GRAMS = 4_000_000  # strings a task holds before it passes their counts on
+HELD_GRAMS = 1_000_000  # strings a task holds before it passes their counts on
 LANES = 8192
 END = b"\n"  # no word holds it
 
@@ -51,11 +51,11 @@ WORD, BLOCK, GRAM = 0, 1, 2
 SCHEMA = pa.schema(
     [
         ("block", pa.int64()), ("local", pa.int32()), ("word", pa.binary()), ("n", pa.int64()),
-        ("ids", pa.binary()), ("doc_ids", pa.list_(pa.string())), ("held_out", pa.list_(pa.bool_())),
+        ("ids", pa.binary()), ("spelled", pa.binary()), ("doc_ids", pa.list_(pa.string())), ("held_out", pa.list_(pa.bool_())),
         ("sizes", pa.list_(pa.int32())), ("kind", pa.int32()),
     ]
 )
-DDL = "block long, local int, word binary, n long, ids binary, doc_ids array<string>, held_out array<boolean>, sizes array<int>, kind int"
+DDL = "block long, local int, word binary, n long, ids binary, spelled binary, doc_ids array<string>, held_out array<boolean>, sizes array<int>, kind int"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -63,9 +63,13 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").lower().split()
 
 
-def _stream(documents: list[list[bytes]], order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Documents' bytes, each after `order` end bytes, and where each document (with these) begins."""
-    parts = [END * order + b"".join([b" ".join(ws), b" " if ws else b"", END]) for ws in documents]
+def spell(words: list[bytes], order: int) -> bytes:
+    """A document as the model reads it: after `order` end bytes its words, a space after each, and an end."""
+    return b"".join([END * order, b" ".join(words), b" " if words else b"", END])
+
+
+def _stream(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Documents' bytes one after the other, and where each begins."""
     sizes = np.fromiter(map(len, parts), np.int64, len(parts))
     return np.frombuffer(b"".join(parts), np.uint8), np.concatenate([[0], np.cumsum(sizes)])
 
@@ -86,10 +90,11 @@ class Grams:
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
         self.loose = 0
 
-    def add(self, documents: list[list[bytes]]) -> None:
+    def add(self, documents: list[bytes]) -> None:
+        """Count spelled documents."""
         if not documents:
             return
-        data, bounds = _stream(documents, self.order)
+        data, bounds = _stream(documents)
         counted = np.ones(len(data), bool)
         counted[(bounds[:-1, None] + np.arange(self.order)).ravel()] = False  # the end bytes before a document
         for at in range(self.order, len(data), SLICE):
@@ -182,15 +187,16 @@ class Model:
                 nxt[:] = nexts[k - 1][parent]
         self.log, self.next = np.concatenate(rows).ravel(), np.concatenate(nexts).ravel()
 
-    def score(self, documents: list[list[bytes]]) -> np.ndarray:
-        """log10 probability of each document (its words, in order)."""
+    def score(self, documents: list[bytes]) -> np.ndarray:
+        """log10 probability of each spelled document."""
         if not documents:
             return np.zeros(0)
-        data, bounds = _stream(documents, self.order)
-        column = self.column[data]
+        data, bounds = _stream(documents)
         steps = -(-len(data) // LANES)
         lanes = -(-len(data) // steps)
-        padded = np.concatenate([np.full(self.order, self.column[END[0]]), column, np.full(lanes * steps - len(data), self.width - 1)])
+        padded = np.full(self.order + lanes * steps, self.width - 1, np.int16)
+        padded[: self.order] = self.column[END[0]]
+        padded[self.order : self.order + len(data)] = self.column.astype(np.int16)[data]
         at = np.arange(lanes) * steps  # a lane starts `order` bytes early, to find its state
         state = np.zeros(lanes, np.int64)
         found = np.empty((steps, lanes), np.float32)
@@ -199,9 +205,9 @@ class Model:
             if step >= 0:
                 found[step] = self.log[cell]
             state = self.next[cell].astype(np.int64)
-        values = found.T.ravel()[: len(data)].astype(np.float64)
+        values = found.T.ravel()[: len(data)]
         values[(bounds[:-1, None] + np.arange(self.order)).ravel()] = 0
-        return np.add.reduceat(values, bounds[:-1])
+        return np.add.reduceat(values, bounds[:-1], dtype=np.float64)
 
 
 def _cells(keys: np.ndarray, counts: np.ndarray, order: int) -> int:
@@ -244,6 +250,26 @@ def _model(shared) -> Model:
 
 
 # ---------------------------------------------------------------- passes
+class _Block:
+    """Some documents in numbers; words are kept once."""
+
+    def __init__(self, order: int):
+        self.order = order
+        self.number: defaultdict = defaultdict()
+        self.number.default_factory = self.number.__len__
+        self.number[END]  # has number 0
+        self.ids, self.held, self.numbers, self.spelled, self.size = [], [], [], [], 0
+
+    def add(self, doc_id: str | None, text: str | None, held_out: bool) -> None:
+        words = words_of(text)
+        self.ids.append(doc_id)
+        self.held.append(held_out)
+        self.numbers.append(np.fromiter(map(self.number.__getitem__, words), np.uint32, len(words)))
+        if not held_out:
+            self.spelled.append(spell(words, self.order))
+        self.size += len(text or "")
+
+
 def _read_blocks(docs: DataFrame, order: int) -> DataFrame:
     """Rows of three kinds: a block's distinct words, the block in numbers, counts of byte strings."""
 
@@ -265,25 +291,23 @@ def _read_blocks(docs: DataFrame, order: int) -> DataFrame:
         grams, serial = Grams(order), 0
         first = TaskContext.get().partitionId() << 32
 
-        def close(ids, held, documents):
+        def close(block):
             nonlocal serial
-            number = defaultdict()
-            number.default_factory = number.__len__
-            number[END]  # has number 0
-            numbers = [np.fromiter(map(number.__getitem__, ws), np.uint32, len(ws)) for ws in documents]
-            trained = [n for n, out in zip(numbers, held) if not out]
-            counts = np.bincount(np.concatenate(trained), minlength=len(number)) if trained else np.zeros(len(number), int)
-            counts[0] = len(trained)
-            block = first + serial
+            n, at = len(block.number), first + serial
             serial += 1
-            n = len(number)
+            trained = [x for x, out in zip(block.numbers, block.held) if not out]
+            counts = np.bincount(np.concatenate(trained), minlength=n) if trained else np.zeros(n, int)
+            counts[0] = len(trained)
+            words = list(block.number)
+            local = np.arange(n, dtype=np.int32)
+            yield rows(WORD, n, block=np.full(n, at), local=local, word=words, n=counts.astype(np.int64))
+            pack = zstandard.ZstdCompressor(level=1).compress
+            packed, spelled = pack(np.concatenate(block.numbers).tobytes()), pack(END.join(words[1:]))
+            sizes = [[len(x) for x in block.numbers]]
             yield rows(
-                WORD, n, block=np.full(n, block), local=np.arange(n, dtype=np.int32), word=list(number), n=counts.astype(np.int64)
+                BLOCK, 1, block=[at], ids=[packed], spelled=[spelled], doc_ids=[block.ids], held_out=[block.held], sizes=sizes
             )
-            packed = zstandard.ZstdCompressor(level=1).compress(np.concatenate(numbers).tobytes())
-            sizes = [[len(x) for x in numbers]]
-            yield rows(BLOCK, 1, block=[block], ids=[packed], doc_ids=[ids], held_out=[held], sizes=sizes)
-            grams.add([ws for ws, out in zip(documents, held) if not out])
+            grams.add(block.spelled)
             if grams.held() > HELD_GRAMS:
                 yield spill()
 
@@ -291,18 +315,17 @@ def _read_blocks(docs: DataFrame, order: int) -> DataFrame:
             keys, counts = grams.take()
             return rows(GRAM, len(keys), block=keys, n=counts.astype(np.int64))
 
-        ids, held, documents, size = [], [], [], 0
+        block = _Block(order)
         for batch in batches:
-            for doc_id, text, out in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "held_out"))):
-                ids.append(doc_id)
-                held.append(out)
-                documents.append(words_of(text))
-                size += len(text or "")
-                if size >= BLOCK_CHARS:
-                    yield from close(ids, held, documents)
-                    ids, held, documents, size = [], [], [], 0
-        if ids:
-            yield from close(ids, held, documents)
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                for doc_id, text, out in zip(*(some.column(c).to_pylist() for c in ("doc_id", "text", "held_out"))):
+                    block.add(doc_id, text, out)
+                    if block.size >= BLOCK_CHARS:
+                        yield from close(block)
+                        block = _Block(order)
+        if block.ids:
+            yield from close(block)
         yield spill()
 
     return docs.mapInArrow(run, DDL)
@@ -325,7 +348,6 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER) -> DataFrame:
     words = words.select(
         "block",
         "local",
-        "word",
         F.sum("n").over(by_word.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"),
         (F.row_number().over(by_word) == 1).alias("first"),
     )
@@ -333,17 +355,18 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER) -> DataFrame:
     def finish(words: pa.Table, block: pa.Table) -> pa.Table:
         import zstandard
 
+        unpack = zstandard.ZstdDecompressor().decompress
         by = np.argsort(words.column("local").to_numpy())
-        spelled = words.column("word").to_pylist()
-        spelled = [spelled[i] for i in by.tolist()]
         total, first = (words.column(c).to_numpy()[by] for c in ("total", "first"))
         row = block.to_pylist()[0]
-        numbers = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["ids"]), np.uint32)
+        numbers = np.frombuffer(unpack(row["ids"]), np.uint32)
+        spelled = [END, *unpack(row["spelled"]).split(END)]
+        model = _model(shared)
         sizes = np.array(row["sizes"], np.int64)
         ends = np.cumsum(sizes)
         log, known = np.log10(total + 1.0), (total > 0).astype(np.int64)
         running = np.concatenate([[0.0], np.cumsum(log[numbers])]), np.concatenate([[0], np.cumsum(known[numbers])])
-        documents = [[spelled[i] for i in numbers[a:b].tolist()] for a, b in zip(ends - sizes, ends)]
+        documents = [spell([spelled[i] for i in numbers[a:b].tolist()], model.order) for a, b in zip(ends - sizes, ends)]
         new = np.zeros(len(sizes), np.int64)
         new[0] = np.count_nonzero((total > 0) & first.astype(bool))
         return pa.table(
@@ -353,12 +376,12 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER) -> DataFrame:
                 "n_tokens": sizes + 1,
                 "n_known": running[1][ends] - running[1][ends - sizes] + known[0],
                 "base": running[0][ends] - running[0][ends - sizes] + log[0],
-                "score": _model(shared).score(documents),
+                "score": model.score(documents),
                 "new_words": new,
             }
         )
 
-    blocks = read(BLOCK).select("block", "ids", "doc_ids", "held_out", "sizes")
+    blocks = read(BLOCK).select("block", "ids", "spelled", "doc_ids", "held_out", "sizes")
     result = "doc_id string, held_out boolean, n_tokens long, n_known long, base double, score double, new_words long"
     scored = words.groupBy("block").cogroup(blocks.groupBy("block")).applyInArrow(finish, result)
     scored = staged(scored, "scored", folder)
