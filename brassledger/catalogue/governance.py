@@ -42,31 +42,26 @@ def mask_balance(ws):
 @query(
     "apply_masking",
     f"""SELECT 'dim_account' AS table_name, {MASK.format(c='account_id')} AS key_1,
-               {MASK.format(c='customer_id')} AS key_2, round(current_balance, -3)::DECIMAL(18,2) AS money_1
-        FROM dim_account
-        UNION ALL SELECT 'dim_customer', {MASK.format(c='customer_id')}, NULL, NULL FROM dim_customer
-        UNION ALL SELECT 'fact_transactions', {MASK.format(c='source_account_id')}, {MASK.format(c='counterparty_id')},
+               {MASK.format(c='customer_id')} AS key_2, NULL AS key_3,
+               round(current_balance, -3)::DECIMAL(18,2) AS money_1, NULL::DECIMAL(18,2) AS money_2 FROM dim_account
+        UNION ALL SELECT 'dim_customer', {MASK.format(c='customer_id')}, NULL, NULL, NULL, NULL FROM dim_customer
+        UNION ALL SELECT 'fact_transactions', {MASK.format(c='customer_id')}, {MASK.format(c='source_account_id')},
+               {MASK.format(c='counterparty_id')}, round(balance_before, -3)::DECIMAL(18,2),
                round(balance_after, -3)::DECIMAL(18,2) FROM fact""",
 )
 def apply_masking(ws):
-    """Three tables as the analyst sees them, one below the other."""
-    shown = {
-        "dim_account": (ws.dim_account, "account_id", "customer_id", "current_balance"),
-        "dim_customer": (ws.dim_customer, "customer_id", None, None),
-        "fact_transactions": (ws.fact, "source_account_id", "counterparty_id", "balance_after"),
-    }
+    """All nine bindings: three tables as the analyst sees them, one below the other."""
+    frames = {"dim_account": ws.dim_account, "dim_customer": ws.dim_customer, "fact_transactions": ws.fact}
     parts = []
-    for name, (df, key_1, key_2, money) in shown.items():
-        masked = G.apply_masking(df, name, G.ANALYST)
-        none = F.lit(None)
-        parts.append(
-            masked.select(
-                F.lit(name).alias("table_name"),
-                F.col(key_1).alias("key_1"),
-                (F.col(key_2) if key_2 else none.cast("string")).alias("key_2"),
-                (F.col(money) if money else none.cast("decimal(18,2)")).alias("money_1"),
-            )
-        )
+    for name, df in frames.items():
+        kinds = {"identifier": [], "balance": []}
+        for column, kind in G.MASKED[name].items():
+            kinds[kind].append(F.col(column))
+        keys = kinds["identifier"] + [F.lit(None).cast("string")] * 3
+        money = kinds["balance"] + [F.lit(None).cast("decimal(18,2)")] * 2
+        shown = [c.alias(f"key_{i}") for i, c in enumerate(keys[:3], 1)]
+        shown += [c.alias(f"money_{i}") for i, c in enumerate(money[:2], 1)]
+        parts.append(G.apply_masking(df, name, G.ANALYST).select(F.lit(name).alias("table_name"), *shown))
     return parts[0].unionAll(parts[1]).unionAll(parts[2])
 
 
@@ -102,25 +97,14 @@ TAGGED = {
 @query(
     "tag_columns",
     " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, '{tag}' AS classification, count(DISTINCT {c}) AS distinct_values FROM fact"
+        f"SELECT '{c}' AS column_name, '{tag}' AS classification, count({c}) AS filled_values FROM fact"
         for c, tag in TAGGED.items()
     ),
 )
 def tag_columns(ws):
-    """Tags survive a projection; each tagged column with the number of values it exposes."""
+    """Tags survive a projection; each tagged column with the values it covers, from one pass."""
     tagged = G.tag_columns(ws.fact, "fact_transactions").select(*TAGGED)
-    parts = [
-        tagged.agg(F.count_distinct(f.name).alias("distinct_values")).select(
-            F.lit(f.name).alias("column_name"),
-            F.lit(f.metadata[G.CLASSIFICATION]).alias("classification"),
-            "distinct_values",
-        )
-        for f in tagged.schema.fields
-    ]
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.unionAll(part)
-    return stacked
+    return G.tag_report(tagged, "fact_transactions").select("column_name", "classification", "filled_values")
 
 
 @query(
@@ -164,8 +148,8 @@ def masked_join_still_works(ws):
     """Rows and distinct keys of fact x customer, once on raw and once on hashed keys."""
 
     def joined(role):
-        fact = G.apply_masking(ws.fact, "fact_transactions", role).groupBy("customer_id")
-        per_customer = fact.agg(F.count(F.lit(1)).alias("n"))
+        per_customer = ws.fact.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
+        per_customer = G.apply_masking(per_customer, "fact_transactions", role)  # one hash per customer
         customers = G.apply_masking(ws.dim_customer, "dim_customer", role).select("customer_id")
         matched = per_customer.join(customers, "customer_id")
         return matched.agg(F.sum("n").alias("joined_rows"), F.count(F.lit(1)).alias("distinct_customers"))

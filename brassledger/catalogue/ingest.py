@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from brassledger import contracts as K
 from brassledger import fixtures as X
 from brassledger.catalogue.core import query
+from brassledger.operators import governance as G
 from brassledger.operators.validate import reason_counts
-from brassledger.plans import marts
+from brassledger.plans import marts, views
 from brassledger.plans.warehouse import Warehouse
 from brassledger.sources import files
 from brassledger.streaming import events as E
@@ -106,10 +107,13 @@ def write_quarantine(ws):
 
 @query("append_dq_history", "SELECT reason, ingest_source, row_count, run_id, run_ts FROM reason_history")
 def append_dq_history(ws):
+    """Three runs, each below its own folder; the last one is written twice, as by a retry."""
     path, history = ws.fresh("history"), ws.lake.reasons()
+    newest = reason_counts(ws.run.quarantine, "20240201T000000Z", X.AS_OF)
     for run_id in ("20240130T000000Z", "20240131T000000Z"):
-        files.append_history(history.filter(F.col("run_id") == run_id), path)
-    files.append_history(reason_counts(ws.run.quarantine, "20240201T000000Z", X.AS_OF), path)
+        files.write_table(history.filter(F.col("run_id") == run_id), f"{path}/run={run_id}")
+    for _ in range(2):
+        files.write_table(newest, f"{path}/run=20240201T000000Z")
     return files.read_table(ws.spark, path, K.REASON_COUNT_DDL)
 
 
@@ -120,22 +124,25 @@ def run_summary_row(ws):
 
 @query(
     "catalog_register",
-    """SELECT 'fact_transactions' AS table_name, count(*) AS row_count,
-              count(DISTINCT ("year", "month")) AS partition_count FROM fact
-       UNION ALL SELECT 'quarantine_transactions', count(*), 0 FROM quarantine""",
+    """SELECT 'fact_transactions' AS table_name, count(*) AS row_count FROM fact
+       UNION ALL SELECT 'dim_account', count(*) FROM dim_account
+       UNION ALL SELECT 'dim_customer', count(*) FROM dim_customer
+       UNION ALL SELECT 'dim_branch', count(*) FROM dim_branch
+       UNION ALL SELECT 'quarantine_transactions', count(*) FROM quarantine
+       UNION ALL SELECT 'quarantine_accounts', count(*) FROM all_account
+                 WHERE coalesce(account_status, '') NOT IN ('ACTIVE', 'DORMANT', 'CLOSED', 'FROZEN')
+       UNION ALL SELECT 'run_summary', count(*) FROM summary
+       UNION ALL SELECT 'rule_outcomes', count(*) FROM outcome_history
+       UNION ALL SELECT 'quarantine_reasons', count(*) FROM reason_history""",
 )
 def catalog_register(ws):
-    lake = ws.lake
-    fact_path = lake.curated(lake.published_run(), "fact_transactions")
-    fact = files.register(ws.spark, "brassledger_fact_transactions", fact_path, partitioned=True)
-    held = files.register(ws.spark, "brassledger_quarantine_transactions", lake.quarantine("transactions"))
-    folders = F.count_distinct("year", "month").alias("partition_count")
-    counted = fact.agg(F.count(F.lit(1)).alias("row_count"), folders)
-    none = F.lit(0).cast("bigint").alias("partition_count")
-    other = held.agg(F.count(F.lit(1)).alias("row_count")).select("row_count", none)
-    return counted.select(F.lit("fact_transactions").alias("table_name"), "*").unionAll(
-        other.select(F.lit("quarantine_transactions").alias("table_name"), "*")
-    )
+    """The lake's nine folders, by their names in the catalog."""
+    return counted(ws, views.register_lake(ws.spark, ws.lake, "brassledger_"), "table_name", "row_count")
+
+
+def counted(ws, names: dict[str, str], label: str, number: str):
+    parts = [f"SELECT '{shown}' AS {label}, count(*) AS {number} FROM {name}" for shown, name in names.items()]
+    return ws.spark.sql(" UNION ALL ".join(parts))
 
 
 @query(
@@ -166,13 +173,6 @@ def load_audit(ws):
     return house.audit()
 
 
-def open_marts(ws):
-    lake = ws.lake
-    return marts.all_open(
-        ws.fact, ws.dim_customer, ws.dim_account, ws.dim_branch, lake.outcomes(), lake.summary(), lake.reasons()
-    )
-
-
 MART_SIZES = """
     SELECT 'mart_daily_transactions' AS mart, count(*) AS {n} FROM daily
     UNION ALL SELECT 'mart_monthly_kpis', count(*) FROM kpis
@@ -190,23 +190,41 @@ MART_SIZES = """
 
 @query("create_mart_views", MART_SIZES.format(n="row_count"))
 def create_mart_views(ws):
-    names = files.create_views(open_marts(ws), prefix="brassledger_")
-    counts = [
-        f"SELECT '{name.removeprefix('brassledger_')}' AS mart, count(*) AS row_count FROM {name}" for name in names
-    ]
-    return ws.spark.sql(" UNION ALL ".join(counts))
+    tables = views.register_lake(ws.spark, ws.lake, "brassledger_")
+    return counted(ws, views.create_mart_views(ws.spark, tables, "brassledger_"), "mart", "row_count")
 
 
-@query("export_mart_csv", "SELECT * FROM kpis")
+@query(
+    "export_mart_csv",
+    "SELECT * REPLACE ('H_' || sha256(customer_id)[:16] AS customer_id) FROM customer_value "
+    "WHERE customer_id IN (SELECT customer_id FROM dim_customer)",
+)
 def export_mart_csv(ws):
-    path, mart = ws.fresh("export"), marts.monthly_kpis(ws.fact)
+    """The customer mart as the analyst exports it, read back from CSV."""
+    path, mart = ws.fresh("export"), ws.secure(G.ANALYST).customer_value()
     files.export_csv(mart, path)
     return files.read_export(ws.spark, path, mart.schema)
 
 
-@query("export_row_counts", MART_SIZES.format(n="rows_exported"))
+SECURE_SIZES = """
+    SELECT 'mart_daily_transactions' AS mart, count(*) AS rows_exported FROM daily
+    UNION ALL SELECT 'mart_monthly_kpis', count(*) FROM kpis
+    UNION ALL SELECT 'mart_monthly_segment', count(*) FROM segment
+    UNION ALL SELECT 'mart_customer_value', count(*) FROM customer_value
+    UNION ALL SELECT 'mart_merchant_monthly', count(*) FROM merchant
+    UNION ALL SELECT 'mart_branch_activity', count(DISTINCT (branch_id, channel, month_start)) FROM fact
+              WHERE branch_id IS NOT NULL
+    UNION ALL SELECT 'mart_dq_scorecard', count(*) FROM scorecard
+    UNION ALL SELECT 'mart_dq_rule_results', count(*) FROM newest_rules
+    UNION ALL SELECT 'mart_dq_run_history', count(*) FROM summary
+    UNION ALL SELECT 'mart_quarantine_reasons', count(*) FROM reason_history"""
+
+
+@query("export_row_counts", SECURE_SIZES)
 def export_row_counts(ws):
-    return files.export_counts(ws.spark, files.export_all(open_marts(ws), ws.fresh("exports")))
+    """All ten marts of the analyst, counted in the files."""
+    exported = files.export_all(marts.marts_as(ws.now, G.ANALYST), ws.fresh("exports"))
+    return files.export_counts(ws.spark, exported)
 
 
 DECODED = ", ".join(f"if(undecodable, '', coalesce({c}, '')) AS {c}" for c in K.RAW_TRANSACTION)

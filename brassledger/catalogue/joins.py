@@ -47,15 +47,13 @@ def join_enrich_account(ws):
 @query(
     "join_left_customer",
     """SELECT c.state, count(*) AS txn_count, count(*) FILTER (c.customer_id IS NULL) AS without_customer
-       FROM fact t LEFT JOIN (SELECT * FROM dim_customer WHERE risk_tier = 'LOW') c USING (customer_id)
-       GROUP BY ALL""",
+       FROM checked t LEFT JOIN dim_customer c ON t.customer_id = c.customer_id GROUP BY ALL""",
 )
 def join_left_customer(ws):
-    """Against the low-risk customers only, so that unmatched rows occur."""
-    per_customer = ws.fact.groupBy("customer_id").agg(rows("n"))
-    low = ws.dim_customer.filter(F.col("risk_tier") == "LOW")
-    low = low.select("customer_id", "state", F.lit(True).alias("found"))
-    joined = per_customer.join(low, "customer_id", "left")
+    """All checked raw rows, where owners are really missing, against the whole dimension."""
+    per_customer = ws.run.checked.groupBy(F.col("owner.customer_id").alias("customer_id")).agg(rows("n"))
+    known = ws.dim_customer.select("customer_id", "state", F.lit(True).alias("found"))
+    joined = per_customer.join(known, "customer_id", "left")
     missing = F.when(F.col("found").isNull(), F.col("n")).otherwise(F.lit(0))
     return joined.groupBy("state").agg(
         F.sum("n").alias("txn_count"), F.sum(missing).cast("bigint").alias("without_customer")
@@ -128,7 +126,7 @@ def join_account_fact(ws):
 )
 def bounds_cross_join(ws):
     """The one-row bound as a scalar subquery: no join is planned at all."""
-    newest = ws.fact.agg(F.max("transaction_date")).scalar()
+    newest = analysis.newest_date(ws.fact)
     return analysis.recent(ws.fact, 3).groupBy(newest.alias("newest"), "transaction_type").agg(rows("txn_count"))
 
 

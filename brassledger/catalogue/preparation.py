@@ -1,4 +1,4 @@
-"""Data preparation and defect injection."""
+"""Data preparation, and the defects of what arrived."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from brassledger import contracts as K
 from brassledger import fixtures as X
 from brassledger.catalogue.core import query
-from brassledger.catalogue.quality import MANIFEST
 from brassledger.functions import columns as C
 from brassledger.operators import prepare
 
@@ -56,34 +55,52 @@ def prep_holdout_newest(ws):
     return marked.select("transaction_id", "transaction_timestamp", "held_out")
 
 
-@query("inject_defects", f"SELECT n, {', '.join(K.RAW_TRANSACTION)} FROM raw")
+# What prepared data brings along, seen in what arrived.
+
+
+@query(
+    "inject_defects",
+    """SELECT ingest_source, array_to_string(reasons, ',') AS found, count(*) AS row_count FROM flagged GROUP BY ALL""",
+)
 def inject_defects(ws):
-    clean = X.clean_transactions(ws.spark, ws.sf_dir)
-    return prepare.inject_defects(clean, X.NUMBER).select(X.NUMBER, *K.RAW_TRANSACTION)
+    """Defects that arrived, by path and combination of reasons."""
+    found = F.concat_ws(",", "dq_fail_reasons").alias("found")
+    return ws.run.flagged.groupBy("ingest_source", found).agg(F.count(F.lit(1)).alias("row_count"))
 
 
 @query(
     "inject_cosmetic_noise",
-    """SELECT c.transaction_id, y.channel, y.transaction_type, true AS undone FROM clean c
-       JOIN noisy y USING (transaction_id)
-       WHERE c.channel <> y.channel OR c.transaction_type <> y.transaction_type""",
+    """SELECT transaction_id, channel, transaction_type, upper(trim(channel)) AS channel_code,
+              upper(trim(transaction_type)) AS type_code FROM raw
+       WHERE channel <> upper(trim(channel)) OR transaction_type <> upper(trim(transaction_type))""",
 )
 def inject_cosmetic_noise(ws):
-    """Rows that changed, and whether standardising restores them."""
-    kept = {"clean_channel": F.col("channel"), "clean_type": F.col("transaction_type")}
-    clean = X.clean_transactions(ws.spark, ws.sf_dir).withColumns(kept)
-    noisy = prepare.add_cosmetic_noise(clean, X.NUMBER)
-    changed = (F.col("channel") != F.col("clean_channel")) | (F.col("transaction_type") != F.col("clean_type"))
-    undone = (C.code("channel") == F.col("clean_channel")) & (C.code("transaction_type") == F.col("clean_type"))
-    return noisy.filter(changed).select("transaction_id", "channel", "transaction_type", undone.alias("undone"))
+    """Raw rows that differ from their standard form in case or padding only, and that form."""
+    codes = {"channel_code": C.code("channel"), "type_code": C.code("transaction_type")}
+    rows = ws.raw.transactions.withColumns(codes)
+    noisy = (F.col("channel") != F.col("channel_code")) | (F.col("transaction_type") != F.col("type_code"))
+    id_ = F.coalesce("transaction_id", F.lit("")).alias("transaction_id")
+    return rows.filter(noisy).select(id_, "channel", "transaction_type", "channel_code", "type_code")
 
 
-@query("inject_account_defects", "SELECT account_id, account_status FROM raw_account")
+@query(
+    "inject_account_defects",
+    """SELECT nullif(account_status, '') AS delivered_status, count(*) AS accounts,
+              coalesce(account_status, '') IN ('ACTIVE', 'DORMANT', 'CLOSED', 'FROZEN') AS accepted
+       FROM raw_account GROUP BY ALL""",
+)
 def inject_account_defects(ws):
-    accounts = X.clean_accounts(ws.spark, ws.sf_dir)
-    return prepare.inject_account_defects(accounts, X.NUMBER).select("account_id", "account_status")
+    """Delivered account statuses, and whether the check accepts them."""
+    accepted = F.coalesce(C.code("account_status").isin(*K.ACCOUNT_STATUSES), F.lit(False)).alias("accepted")
+    status = F.nullif("account_status", F.lit("")).alias("delivered_status")
+    return ws.raw.accounts.groupBy(status, accepted).agg(F.count(F.lit(1)).alias("accounts"))
 
 
-@query("defect_manifest", MANIFEST)
+@query(
+    "defect_manifest",
+    """SELECT reason AS defect, count(*) AS defect_rows FROM (SELECT unnest(reasons) AS reason FROM flagged) GROUP BY ALL""",
+)
 def defect_manifest(ws):
-    return prepare.defect_manifest(X.clean_transactions(ws.spark, ws.sf_dir), X.NUMBER)
+    """Rows per defect, as found."""
+    found = ws.run.flagged.select(F.explode("dq_fail_reasons").alias("defect"))
+    return found.groupBy("defect").agg(F.count(F.lit(1)).alias("defect_rows"))

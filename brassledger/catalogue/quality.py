@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from brassledger import contracts as K
+from brassledger import fixture_defects as D
 from brassledger import fixtures as X
 from brassledger.catalogue.core import query
-from brassledger.operators import prepare, quality, rules
+from brassledger.operators import quality, rules
 
 MAIN = "run_id = '20240201T000000Z'"
 
@@ -206,5 +207,5 @@ MANIFEST = """
 )
 def defect_reconciliation(ws):
     caught = ws.lake.reasons().filter(F.col("run_id") == "20240201T000000Z")
-    manifest = prepare.defect_manifest(X.clean_transactions(ws.spark, ws.sf_dir), X.NUMBER)
+    manifest = D.defect_manifest(X.clean_transactions(ws.spark, ws.sf_dir), X.NUMBER)
     return quality.defect_reconciliation(caught, manifest)

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from brassledger.catalogue.core import query
 from brassledger.catalogue.ingest import zone
-from brassledger.operators import validate
 
 SHOWN = (
     "transaction_id", "source_account_id", "raw_amount", "raw_transaction_timestamp", "transaction_type",
@@ -79,8 +78,8 @@ def dq_reason_array(ws):
               array_to_string(reasons, ',') AS dq_fail_reasons FROM flagged""",
 )
 def flag_transactions(ws):
-    flagged = validate.flag(ws.run.std, ws.run.account_master, ws.run.settings.as_of)
-    return flagged.select(
+    """From the raw files, read once, to flagged rows."""
+    return ws.new_run().flagged.select(
         "transaction_id", "transaction_ts", "source_account_id", "amount", "ingest_source",
         F.concat_ws(",", "dq_fail_reasons").alias("dq_fail_reasons"),
     )
@@ -116,4 +115,5 @@ def account_status_quarantine(ws):
 
 @query("quarantine_reason_counts", "SELECT * FROM reason_history WHERE run_id = '20240201T000000Z'")
 def quarantine_reason_counts(ws):
-    return ws.run.reasons
+    """From the raw files, read once, to counts."""
+    return ws.new_run().reasons

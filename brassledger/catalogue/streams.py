@@ -61,9 +61,27 @@ def stream_key_choice(ws):
     return keyed.groupBy("event_key").agg(F.count(F.lit(1)).alias("event_count"))
 
 
-@query("stream_corrupt", f"SELECT n, {', '.join(K.RAW_TRANSACTION)} FROM stream_events")
+@query(
+    "stream_corrupt",
+    """SELECT count(*) AS events, count(*) FILTER (undecodable) AS undecodable,
+              count(*) FILTER (NOT undecodable AND source_account_id IS NULL) AS without_account,
+              count(*) FILTER (NOT undecodable AND channel IS NULL) AS without_channel,
+              count(*) FILTER (NOT undecodable AND amount LIKE '-%') AS negative_amounts,
+              count(*) FILTER (NOT undecodable AND transaction_type = 'UNKNOWN') AS unknown_types
+       FROM stream_events""",
+)
 def stream_corrupt(ws):
-    return ws.corrupted_events().select(X.NUMBER, *K.RAW_TRANSACTION)
+    """Events that arrived broken, by what is wrong with them."""
+    events = E.decode(ws.spark.read.text(ws.events_root))
+    sound = ~F.col(E.BAD)
+    return events.agg(
+        F.count(F.lit(1)).alias("events"),
+        F.count_if(E.BAD).alias("undecodable"),
+        F.count_if(sound & (F.col("source_account_id") == "")).alias("without_account"),
+        F.count_if(sound & (F.col("channel") == "")).alias("without_channel"),
+        F.count_if(sound & F.col("amount").startswith("-")).alias("negative_amounts"),
+        F.count_if(sound & (F.col("transaction_type") == "UNKNOWN")).alias("unknown_types"),
+    )
 
 
 @query(

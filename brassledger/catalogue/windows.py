@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from brassledger import fixtures as X
 from brassledger.catalogue.core import query
 from brassledger.functions import columns as C
-from brassledger.operators import prepare, quality, validate
+from brassledger.operators import quality, validate
 from brassledger.plans import marts
 
 
@@ -194,10 +193,7 @@ def distinct_keys(ws):
        FROM raw WHERE transaction_id <> '' GROUP BY ALL HAVING count(*) > 1""",
 )
 def append_duplicates(ws):
-    clean = X.clean_transactions(ws.spark, ws.sf_dir)
-    broken = prepare.break_rows(clean, X.NUMBER)
-    rows_ = broken.unionByName(prepare.copies(broken, X.NUMBER)).filter(F.col("transaction_id") != "")
-    versions = rows_.groupBy("transaction_id").agg(
-        rows("versions"), F.count_distinct("transaction_timestamp").alias("distinct_times")
-    )
-    return versions.filter(F.col("versions") > 1)
+    """Versions of the ids that were delivered more than once."""
+    versions = ws.raw.transactions.filter(F.col("transaction_id") != "").groupBy("transaction_id")
+    counted = versions.agg(rows("versions"), F.count_distinct("transaction_timestamp").alias("distinct_times"))
+    return counted.filter(F.col("versions") > 1)

@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brassledger import contracts as K
+from brassledger import fixture_defects as D
 from brassledger import fixtures as X
-from brassledger.operators import prepare
 from brassledger.operators.quality import QualityGateBlocked
 from brassledger.plans.marts import SecureMarts
-from brassledger.plans.run import Lake, RawZone, Run, Settings, publish
+from brassledger.plans.run import Lake, RawZone, Run, Settings, Snapshot, publish
 from brassledger.session import shared_folder
 from brassledger.sources import files
 from brassledger.streaming import events as E
@@ -78,17 +78,21 @@ class Workspace:
         batch = files.read_raw(self.spark, f"{self.raw_root}/transactions/source=batch", K.RAW_TRANSACTION)
         return RawZone(batch, z.accounts, z.customers, z.branches)
 
-    @property
+    @cached_property
     def run(self) -> Run:
-        """The main run, lazily from the raw files."""
-        return Run(self.raw, Settings(X.AS_OF))
+        """The main run over tables staged once from the raw files."""
+        return self.new_run()
+
+    def new_run(self) -> Run:
+        """The main run, its raw files read now."""
+        return Run(self.raw, Settings(X.AS_OF)).stage_in(self.fresh("run"))
 
     @property
     def broken_run(self) -> Run:
         """The main run with amounts, channels and statuses broken as well."""
         clean = X.clean_transactions(self.spark, self.sf_dir)
-        noisy = prepare.inject_defects(clean, X.NUMBER)
-        rows = prepare.break_more(noisy, X.NUMBER).drop(X.NUMBER)
+        noisy = D.inject_defects(clean, X.NUMBER)
+        rows = D.break_more(noisy, X.NUMBER).drop(X.NUMBER)
         z = self.raw
         return Run(RawZone(rows, z.accounts, z.customers, z.branches), Settings(X.AS_OF))
 
@@ -104,21 +108,25 @@ class Workspace:
                 pass  # the middle run is meant to be blocked
         return lake
 
+    @cached_property
+    def now(self) -> Snapshot:
+        return self.lake.snapshot()
+
     @property
     def fact(self) -> DataFrame:
-        return self.lake.fact()
+        return self.now.fact()
 
     @property
     def dim_customer(self) -> DataFrame:
-        return self.lake.dimension("dim_customer")
+        return self.now.dimension("dim_customer")
 
     @property
     def dim_account(self) -> DataFrame:
-        return self.lake.dimension("dim_account")
+        return self.now.dimension("dim_account")
 
     @property
     def dim_branch(self) -> DataFrame:
-        return self.lake.dimension("dim_branch")
+        return self.now.dimension("dim_branch")
 
     def secure(self, role: str) -> SecureMarts:
         return SecureMarts(self.fact, self.dim_customer, role)
@@ -133,12 +141,12 @@ class Workspace:
 
     def numbered_events(self) -> DataFrame:
         """Stream transactions with defects and their number, before corruption."""
-        return prepare.inject_defects(X.clean_stream(self.spark, self.sf_dir), X.NUMBER)
+        return D.inject_defects(X.clean_stream(self.spark, self.sf_dir), X.NUMBER)
 
     def corrupted_events(self) -> DataFrame:
         n = F.pmod(F.col(X.NUMBER), F.lit(200))
         pick = F.when(n == 3, 0).when(n == 53, 1).when(n == 103, 2).when(n == 153, 3)
-        return E.corrupt(E.blank_to_null(self.numbered_events()), pick)
+        return D.corrupt(E.blank_to_null(self.numbered_events()), pick)
 
     def events(self) -> DataFrame:
         n = F.pmod(F.col(X.NUMBER), F.lit(500))

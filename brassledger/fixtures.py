@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brassledger import contracts as K
+from brassledger import fixture_defects as D
 from brassledger.functions import columns as C
-from brassledger.operators import prepare
 from brassledger.plans.run import RawZone, Run, Settings
 
 AS_OF = dt.datetime(2024, 2, 1)
@@ -133,7 +133,7 @@ def clean_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare.inject_defects(clean_transactions(spark, sf_dir), NUMBER).drop(NUMBER)
+    return D.inject_defects(clean_transactions(spark, sf_dir), NUMBER).drop(NUMBER)
 
 
 # ---------------------------------------------------------------- dimensions
@@ -182,7 +182,7 @@ def clean_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare.inject_account_defects(clean_accounts(spark, sf_dir), NUMBER).drop(NUMBER)
+    return D.inject_account_defects(clean_accounts(spark, sf_dir), NUMBER).drop(NUMBER)
 
 
 def raw_branches(spark: SparkSession, sf_dir: str) -> DataFrame:

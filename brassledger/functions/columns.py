@@ -103,14 +103,14 @@ def stable_bucket(c, buckets: int) -> Column:
     return F.pmod(F.conv(head, 16, 10).cast("bigint"), F.lit(buckets).cast("bigint"))
 
 
-def spread(key: Column, usable: Column, row: list[str], lanes: int = 4096) -> Column:
-    """The key where usable; elsewhere one of many filler values that match nothing.
+def spread(key: Column, usable: Column, row: list[str]) -> Column:
+    """The key where usable; elsewhere a filler made of the row's hash, which matches nothing.
 
     Rows that cannot match (no key, or already rejected) would otherwise all
     hash to one join task.  The join condition must also test `usable`, so a
     filler that happens to equal a key decides nothing.
     """
-    filler = F.concat(F.lit("~"), F.pmod(F.xxhash64(*row), F.lit(lanes)).cast("string"))
+    filler = F.concat(F.lit("~"), F.xxhash64(*row).cast("string"))
     return F.when(usable, key).otherwise(filler)
 
 

@@ -135,6 +135,7 @@ def status_line(summary: DataFrame) -> DataFrame:
     newest = latest_run(summary)
     parts = ("pipeline_status", "raw_rows", "quarantine_rate", "raw_dq_score", "curated_dq_score")
     shown = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in parts]
+    # --- fixed value: the message text
     template = "Status: %s | raw rows: %s | quarantine rate: %s | raw DQ score: %s | curated DQ score: %s"
     return newest.select(F.format_string(template, *shown).alias("message"))
 

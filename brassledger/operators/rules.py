@@ -23,6 +23,7 @@ class Rule:
     bound: float = 0
     domain: tuple[str, ...] = ()
     query: str = ""
+    condition: str = ""  # of a query that only counts the rows where it holds; then it joins the shared pass
 
     @property
     def label(self) -> str:
@@ -52,7 +53,12 @@ DEFAULT_RULES = (
     Rule("within", "channel", domain=K.CHANNELS),
     Rule("within", "transaction_status", domain=K.TRANSACTION_STATUSES),
     Rule("completeness", "channel", bound=0.98),
-    Rule("sql", query="select count(*) from primary where transaction_ts > :as_of", bound=0),
+    Rule(
+        "sql",
+        query="select count(*) from primary where transaction_ts > :as_of",
+        condition="transaction_ts > :as_of",
+        bound=0,
+    ),
 )
 
 
@@ -62,7 +68,7 @@ def _violates(rule: Rule, null_fails: bool) -> Column:
     return F.coalesce(breach, F.lit(null_fails))
 
 
-def _measure(rule: Rule, null_fails: bool) -> Column | None:
+def _measure(rule: Rule, null_fails: bool, as_of: dt.datetime) -> Column | None:
     """The rule's share of the single pass; None where it needs its own."""
     if rule.kind == "rows":
         return F.count(F.lit(1))
@@ -70,6 +76,8 @@ def _measure(rule: Rule, null_fails: bool) -> Column | None:
         return F.count_if(F.col(rule.column).isNull())
     if rule.kind in ("greater", "within"):
         return F.count_if(_violates(rule, null_fails))
+    if rule.kind == "sql" and rule.condition:
+        return F.count_if(F.expr(rule.condition.replace(":as_of", f"'{as_of.isoformat(sep=' ')}'")))
     return None
 
 
@@ -115,15 +123,18 @@ def evaluate(
 ) -> DataFrame:
     """One outcome row per rule.
 
-    All counting rules share one pass over `df`; each uniqueness rule adds a
-    grouped pass over its column, each SQL rule its query.  Decisions of this
+    All counting rules share one pass over `df`, SQL rules with a plain
+    condition as well; each uniqueness rule adds a grouped pass over its column,
+    each other SQL rule its query.  Decisions of this
     library: NULL does not break a ColumnValues rule unless `null_fails`, and
     IsUnique looks at non-NULL values.
     """
-    shared = {f"m{i}": _measure(r, null_fails) for i, r in enumerate(rules)}
-    profile = df.agg(
-        F.count(F.lit(1)).alias("rows"), *[c.alias(name) for name, c in shared.items() if c is not None]
-    )
+    shared = {f"m{i}": _measure(r, null_fails, as_of) for i, r in enumerate(rules)}
+    counted = [c.alias(name) for name, c in shared.items() if c is not None]
+    if counted:
+        profile = df.agg(F.count(F.lit(1)).alias("rows"), *counted)
+    else:  # only rules with a pass of their own
+        profile = df.sparkSession.range(1).select(F.lit(0).cast("long").alias("rows"))
     extra = {f"m{i}": _own_pass(df, r, as_of) for i, r in enumerate(rules) if shared[f"m{i}"] is None}
     profile = profile.withColumns(extra)
 

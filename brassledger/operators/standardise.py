@@ -41,12 +41,19 @@ def transactions(raw: DataFrame) -> DataFrame:
 def newest_per_key(df: DataFrame, key: str, newest_by: str) -> DataFrame:
     """One row per key: newest first, remaining columns as tie-breakers.
 
-    A maximum over a struct combines on the map side, so a key that holds a
-    third of the rows costs one partial row per task, which a window would not.
+    Keys are counted by hash; those that occur once, nearly all, are taken as
+    they are.  Rows of the others meet in a maximum over a struct, which
+    combines on the map side: a key that holds a third of the rows costs one
+    partial row per task, which a window would not.  (That maximum is a sorting
+    aggregate, so it should see few rows.)
     """
+    counts = df.groupBy(F.col(key).alias("_again")).agg(F.count(F.lit(1)).alias("_n"))
+    again = counts.filter(F.col("_n") > 1).select("_again")
+    same = F.col(key) == F.col("_again")
     rest = [c for c in df.columns if c not in (key, newest_by)]
-    best = df.groupBy(key).agg(F.max(F.struct(newest_by, *rest)).alias("_best"))
-    return best.select(*[F.col(c) if c == key else F.col(f"_best.{c}") for c in df.columns])
+    rivals = df.join(again, same, "left_semi").groupBy(key).agg(F.max(F.struct(newest_by, *rest)).alias("_best"))
+    best = rivals.select(*[F.col(c) if c == key else F.col(f"_best.{c}") for c in df.columns])
+    return df.join(again, same, "left_anti").unionByName(best)
 
 
 def accounts(raw: DataFrame) -> DataFrame:
@@ -80,14 +87,17 @@ def rejected_accounts(checked_accounts: DataFrame, run_id: str, at: dt.datetime)
     return bad.withColumns({"run_id": F.lit(run_id), "quarantined_at": instant(at)})
 
 
-def customers(raw: DataFrame, as_of: dt.datetime) -> DataFrame:
-    typed = raw.select(
+def typed_customers(raw: DataFrame) -> DataFrame:
+    return raw.select(
         C.code("customer_id").alias("customer_id"),
         C.date("customer_since").alias("customer_since"),
         *[C.code(c).alias(c) for c in ("state", "customer_segment", "risk_tier")],
         C.yes("digital_enrolled_flag").alias("digital_enrolled_flag"),
         C.code("home_branch_id").alias("home_branch_id"),
     ).filter(F.col("customer_id").isNotNull())
+
+
+def customers(typed: DataFrame, as_of: dt.datetime) -> DataFrame:
     today = F.lit(as_of.date())
     return newest_per_key(typed, "customer_id", "customer_since").withColumn(
         "tenure_years", C.tenure_years("customer_since", today)

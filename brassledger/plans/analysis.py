@@ -52,8 +52,9 @@ def deposits_trend(fact: DataFrame) -> DataFrame:
 def value_percentiles(fact: DataFrame, accuracy: int = 100_000) -> DataFrame:
     """Mean, median and p95 by type.
 
-    Quantile sketches merge, so a hot type is no issue.  Results are approximate
-    on large groups; `accuracy` bounds the error in rank and the sketch's size.
+    Quantile sketches merge, so a hot type is no issue.  Results are exact up to
+    about `accuracy` rows per group and approximate above (error in rank at most
+    rows / accuracy), so on larger data they can differ from an exact oracle.
     """
     both = F.percentile_approx("amount", [0.5, 0.95], accuracy)
     grouped = fact.groupBy("transaction_type").agg(
@@ -105,13 +106,21 @@ def top_state_segment(fact: DataFrame, customers: DataFrame, top: int = 15) -> D
     return best.withColumn("value_rank", rank).orderBy("value_rank", "state", "customer_segment")
 
 
+def newest_date(fact: DataFrame) -> Column:
+    """The newest transaction date as a scalar; with folder columns it is looked for in the newest folder only."""
+    if {"year", "month"} <= set(fact.columns):
+        folder = F.col("year") * 12 + F.col("month")
+        fact = fact.filter(folder == fact.agg(F.max(folder)).scalar())
+    return fact.agg(F.max("transaction_date")).scalar()
+
+
 def recent(fact: DataFrame, months: int = 3) -> DataFrame:
     """Rows dated after `months` months before the newest date.
 
     When the fact still has its folder columns, the same bound is put on them,
     so old folders are skipped although the caller filters by date only.
     """
-    start = F.add_months(fact.agg(F.max("transaction_date")).scalar(), -months)
+    start = F.add_months(newest_date(fact), -months)
     kept = fact.filter(F.col("transaction_date") > start)
     if {"year", "month"} <= set(fact.columns):
         kept = kept.filter(F.col("year") * 12 + F.col("month") >= F.year(start) * 12 + F.month(start))

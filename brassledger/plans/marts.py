@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from brassledger.functions import columns as C
 from brassledger.operators import governance as G
+from brassledger.operators import quality
 
 BAND_OUT, BAND_IN = "NET_OUTFLOW", "NET_INFLOW"
 
@@ -209,9 +210,11 @@ def rule_results(outcomes: DataFrame) -> DataFrame:
 
 
 def rule_results_ranked(outcomes: DataFrame) -> DataFrame:
-    """The same through a window maximum (a history table: few rows per dataset)."""
-    newest = F.max("run_ts").over(Window.partitionBy("dataset"))
-    return _rule_columns(outcomes.withColumn("_newest", newest).filter(F.col("run_ts") == F.col("_newest")))
+    """The same through a window maximum, over one row per run and dataset and never the history itself."""
+    runs = outcomes.groupBy("dataset", "run_ts").agg(F.max("run_ts").alias("_own"))
+    newest = F.max("_own").over(Window.partitionBy("dataset"))
+    runs = runs.withColumn("_newest", newest).filter(F.col("_own") == F.col("_newest"))
+    return _rule_columns(outcomes.join(runs.select("dataset", "run_ts"), ["dataset", "run_ts"], "left_semi"))
 
 
 def _rule_columns(outcomes: DataFrame) -> DataFrame:
@@ -278,7 +281,7 @@ def all_secure(seen: SecureMarts, dim_branch, scorecard, outcomes, summary, reas
         "mart_branch_activity": seen.branch_activity(dim_branch),
         "mart_dq_scorecard": scorecard,
         "mart_dq_run_history": run_history(summary),
-        "mart_dq_rule_results": rule_results_ranked(outcomes),
+        "mart_dq_rule_results": rule_results(outcomes),
         "mart_quarantine_reasons": quarantine_reasons(reasons),
     }
 
@@ -297,3 +300,11 @@ def all_open(fact, dim_customer, dim_account, dim_branch, outcomes, summary, rea
         "mart_dq_run_history": run_history(summary),
         "mart_quarantine_reasons": quarantine_reasons(reasons),
     }
+
+
+def marts_as(snapshot, role: str) -> dict[str, DataFrame]:
+    """The ten marts a role may export, all of one snapshot of the lake."""
+    seen = SecureMarts(snapshot.fact(), snapshot.dimension("dim_customer"), role)
+    summary, reasons = snapshot.summary(), snapshot.reasons()
+    card = quality.scorecard(summary, reasons)
+    return all_secure(seen, snapshot.dimension("dim_branch"), card, snapshot.outcomes(), summary, reasons)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from brassledger import contracts as K
 from brassledger.operators import enrich, governance, quality, rules, standardise, validate
-from brassledger.session import shared_folder
+from brassledger.session import discard, exists, staged
 from brassledger.sources import files
 
 
@@ -49,12 +50,34 @@ class Settings:
 
 
 class Run:
-    """The frames of one run.  Nothing executes until a frame is used."""
+    """The frames of one run.  Nothing executes until a frame is used.
+
+    `stage_in` gives the same run over tables written once: the raw rows are
+    read a single time, however many branches use the checked or flagged rows.
+    """
 
     def __init__(self, raw: RawZone, settings: Settings):
         self.raw = raw
         self.settings = settings
 
+    def stage_in(self, folder: str) -> Run:
+        """Write what several outputs need below `folder`: masters, checked rows, repeated ids, flagged rows.
+
+        Nothing is cached, so a lost executor only repeats its own tasks, and
+        the planner gets true sizes: a small account master or a short list of
+        repeated ids is broadcast, a large one is not.
+        """
+        run = Run(self.raw, self.settings)
+        run.checked_accounts = staged(run.checked_accounts, "accounts", folder)
+        run.typed_customers = staged(run.typed_customers, "customers", folder)
+        run.account_master = staged(run.account_master, "account_master", folder)
+        checked = staged(run.checked.drop(validate.LANE), "checked", folder)
+        run.checked = checked.withColumn(validate.LANE, F.monotonically_increasing_id())
+        run.repeated = staged(run.repeated, "repeated_ids", folder)
+        run.flagged = staged(run.flagged, "flagged", folder)
+        run.rule_rows = run.checked
+        return run
+
     # ------------------------------------------------------------ dimensions
     @cached_property
     def checked_accounts(self) -> DataFrame:
@@ -73,9 +96,13 @@ class Run:
         s = self.settings
         return standardise.rejected_accounts(self.checked_accounts, s.run_id, s.as_of)
 
+    @cached_property
+    def typed_customers(self) -> DataFrame:
+        return standardise.typed_customers(self.raw.customers)
+
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return standardise.customers(self.raw.customers, self.settings.as_of)
+        return standardise.customers(self.typed_customers, self.settings.as_of)
 
     @cached_property
     def dim_branch(self) -> DataFrame:
@@ -90,9 +117,13 @@ class Run:
     def checked(self) -> DataFrame:
         return validate.check_rows(self.std, self.account_master, self.settings.as_of)
 
+    @cached_property
+    def repeated(self) -> DataFrame:
+        return validate.repeated_ids(self.checked)
+
     @cached_property
     def flagged(self) -> DataFrame:
-        return validate.mark_repeats(self.checked)
+        return validate.mark_repeats(self.checked, self.repeated)
 
     @cached_property
     def valid(self) -> DataFrame:
@@ -115,9 +146,14 @@ class Run:
         s = self.settings
         return rules.evaluate(df.select(*K.RULE_COLUMNS), dataset, s.run_id, s.as_of, s.as_of, s.rules)
 
+    @cached_property
+    def rule_rows(self) -> DataFrame:
+        """Rows the raw rules look at; checked rows hold all their columns."""
+        return self.std
+
     @cached_property
     def raw_outcomes(self) -> DataFrame:
-        return self._evaluate(self.std, K.RAW_DATASET)
+        return self._evaluate(self.rule_rows, K.RAW_DATASET)
 
     @cached_property
     def curated_outcomes(self) -> DataFrame:
@@ -152,51 +188,111 @@ DIMENSIONS = {"dim_account": K.ACCOUNT_DDL, "dim_customer": K.CUSTOMER_DDL, "dim
 
 
 # ---------------------------------------------------------------- publication
+class NothingPublished(LookupError):
+    """A lake was read before a run was published in it."""
+
+
 class Lake:
-    """Folder layout of a lake and what its newest published run holds.
+    """Folder layout of a lake, and what its runs have committed.
 
-    Curated tables of a run live below the run's own folder, and the run's
-    summary row is appended last.  Readers follow the newest PUBLISHED summary,
-    so they see the old run or the new one and never a mixture, although plain
-    folders cannot be swapped atomically.
+    Everything a run writes lies below a folder of its own (``run=<id>``), and
+    its summary row is written last.  Readers look at the summary first: they
+    follow the newest PUBLISHED run, and take history of runs with a summary
+    only, so a run that broke off is not seen at all.  A run that is repeated
+    withdraws its summary, overwrites its folders, and commits again.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
+    # ------------------------------------------------------------ folders
     def curated(self, run_id: str, table: str) -> str:
         return f"{self.root}/curated/run={run_id}/{table}"
 
-    def quarantine(self, table: str) -> str:
-        return f"{self.root}/quarantine/{table}"
+    def quarantine(self, run_id: str, table: str) -> str:
+        return f"{self.root}/quarantine/run={run_id}/{table}"
 
-    def history(self, table: str) -> str:
-        return f"{self.root}/dq-results/{table}"
+    def history(self, table: str, run_id: str | None = None) -> str:
+        return f"{self.root}/dq-results/{table}" + (f"/run={run_id}" if run_id else "")
 
+    def stage(self, run_id: str) -> str:
+        """A fresh folder for the tables of one attempt; shared like the lake itself, and deleted at its end."""
+        return f"{self.root}/stage/{run_id}-{uuid.uuid4().hex}"
+
+    # ------------------------------------------------------------ what is committed
     def summary(self) -> DataFrame:
+        if not exists(self.spark, self.history("run_summary")):
+            raise NothingPublished(f"no run has been committed in {self.root}")
         return files.read_table(self.spark, self.history("run_summary"), K.SUMMARY_DDL)
 
+    def _committed(self, table: str, ddl: str) -> DataFrame:
+        rows = files.read_table(self.spark, self.history(table), ddl)
+        return rows.join(self.summary().select("run_id"), "run_id", "left_semi").select(*rows.columns)
+
     def outcomes(self) -> DataFrame:
-        return files.read_table(self.spark, self.history("rule_outcomes"), K.OUTCOME_DDL)
+        return self._committed("rule_outcomes", K.OUTCOME_DDL)
 
     def reasons(self) -> DataFrame:
-        return files.read_table(self.spark, self.history("quarantine_reasons"), K.REASON_COUNT_DDL)
+        return self._committed("quarantine_reasons", K.REASON_COUNT_DDL)
+
+    def snapshot(self) -> Snapshot:
+        run = F.struct("run_ts", "run_id")
+        newest = F.max(run).alias("newest")
+        published = F.max(F.when(F.col("pipeline_status") == K.PUBLISHED, run)).alias("published")
+        row = self.summary().agg(newest, published).first()  # one row
+        if row["published"] is None:
+            raise NothingPublished(f"no run has been published in {self.root}")
+        return Snapshot(self, row["published"]["run_id"], row["newest"]["run_id"], row["newest"]["run_ts"])
+
+    def published_run(self) -> str:
+        return self.snapshot().run_id
 
     def quarantined(self) -> DataFrame:
-        return files.read_table(self.spark, self.quarantine("transactions"), K.QUARANTINE_DDL)
+        return self.snapshot().quarantined()
+
+    def fact(self) -> DataFrame:
+        return self.snapshot().fact()
+
+    def dimension(self, table: str) -> DataFrame:
+        return self.snapshot().dimension(table)
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """The lake at one moment.  Runs were looked up once; all tables taken from here belong together.
+
+    Curated tables are those of the newest published run.  Quarantine and
+    history go up to the newest run, which may have been blocked.
+    """
 
-    def published_run(self) -> str | None:
-        newest = quality.latest_run(self.summary().filter(F.col("pipeline_status") == K.PUBLISHED))
-        row = newest.select("run_id").first()  # one row by construction
-        return row["run_id"] if row else None
+    lake: Lake
+    run_id: str
+    newest_run: str
+    newest_ts: dt.datetime
 
     def fact(self) -> DataFrame:
         """The published fact with its year/month folders, so date filters can prune."""
-        return files.read_fact(self.spark, self.curated(self.published_run(), "fact_transactions"))
+        return files.read_fact(self.lake.spark, self.lake.curated(self.run_id, "fact_transactions"))
 
     def dimension(self, table: str) -> DataFrame:
-        return files.read_table(self.spark, self.curated(self.published_run(), table), DIMENSIONS[table])
+        return files.read_table(self.lake.spark, self.lake.curated(self.run_id, table), DIMENSIONS[table])
+
+    def quarantined(self) -> DataFrame:
+        path = self.lake.quarantine(self.newest_run, "transactions")
+        return files.read_table(self.lake.spark, path, K.QUARANTINE_DDL)
+
+    def _until_now(self, rows: DataFrame) -> DataFrame:
+        return rows.filter(F.col("run_ts") <= standardise.instant(self.newest_ts))
+
+    def summary(self) -> DataFrame:
+        return self._until_now(self.lake.summary())
+
+    def outcomes(self) -> DataFrame:
+        return self._until_now(self.lake.outcomes())
+
+    def reasons(self) -> DataFrame:
+        return self._until_now(self.lake.reasons())
 
 
 def documented(df: DataFrame, table: str) -> DataFrame:
@@ -211,72 +307,68 @@ def together(*actions) -> None:
             job.result()
 
 
-def publish(raw: RawZone, settings: Settings, lake: Lake, work: str | None = None) -> dict:
+def publish(raw: RawZone, settings: Settings, lake: Lake) -> dict:
     """Run the pipeline into the lake; raises `QualityGateBlocked` after writing the history.
 
-    The raw files are read once: checked rows are staged as a table in the
-    shared folder, and every later step reads the columns it needs from there.
-    Nothing is cached, so a lost executor only repeats its own tasks.  Staging
-    also gives the planner true sizes: a small account master or a short list
-    of repeated ids is broadcast, a large one is not.
+    The raw files are read once.  Outputs that do not depend on each other are
+    written at the same time, each into its own folder; the rule outcomes of raw
+    and curated rows share a folder and are one write.  Repeating a run with the
+    same settings gives the same lake.
     """
     spark, run_id, limit = lake.spark, settings.run_id, settings.max_quarantine_rate
-    run = Run(raw, settings)
-    stage = work or shared_folder(spark, f"stage-{run_id}")
-
-    def staged(df: DataFrame, name: str) -> DataFrame:
-        path = f"{stage}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    run.account_master = staged(run.account_master, "account_master")
-    checked = run.checked.drop(validate.LANE)
-    run.checked = staged(checked, "checked").withColumn(validate.LANE, F.monotonically_increasing_id())
-    repeated = staged(validate.repeated_ids(run.checked), "repeated_ids")
-    run.flagged = validate.mark_repeats(run.checked, repeated)
-    run.std = run.checked  # the rule columns are a subset of the staged ones
-
-    # The gate needs two narrow counts, not the ranked rows.
-    counted = quality.with_rate(validate.count_quarantined(run.checked, repeated))
+    discard(spark, lake.history("run_summary", run_id))  # from here until the commit, readers see the run before
+    stage = lake.stage(run_id)
+    try:
+        row = _write_run(Run(raw, settings).stage_in(stage), lake)
+    finally:
+        discard(spark, stage)
+    if row["pipeline_status"] != K.PUBLISHED:
+        raise quality.QualityGateBlocked(
+            f"run {run_id}: quarantine rate {row['quarantine_rate']:.4%} exceeds {limit:.2%}; "
+            "curated tables keep their previous run"
+        )
+    return row
+
+
+def _write_run(run: Run, lake: Lake) -> dict:
+    spark, run_id, limit = lake.spark, run.settings.run_id, run.settings.max_quarantine_rate
+    counted = run.totals
     totals = counted.first()  # one row
     run.totals = spark.createDataFrame([totals], counted.schema)
     passed = totals["quarantine_rate"] <= limit
 
-    def write_outcomes(outcomes: DataFrame) -> None:
-        files.append_history(outcomes, lake.history("rule_outcomes"))
-
     def write_quarantine() -> None:
-        files.write_table(run.quarantine, lake.quarantine("transactions"))
-        run.quarantine = lake.quarantined()
-        files.append_history(run.reasons, lake.history("quarantine_reasons"))
+        path = lake.quarantine(run_id, "transactions")
+        files.write_table(run.quarantine, path)
+        run.quarantine = files.read_table(spark, path, K.QUARANTINE_DDL)
+        files.write_table(run.reasons, lake.history("quarantine_reasons", run_id))
 
     def write_account_quarantine() -> None:
-        files.write_table(run.account_quarantine, lake.quarantine("accounts"))
+        path = lake.quarantine(run_id, "accounts")
+        rejected = run.account_quarantine
+        files.write_table(rejected, path)
+        run.account_quarantine = spark.read.schema(rejected.schema).parquet(path)
 
     def write_fact() -> None:
         path = lake.curated(run_id, "fact_transactions")
         files.write_fact(documented(run.fact, "fact_transactions"), path)
         run.fact = files.read_fact(spark, path)
-        write_outcomes(run.curated_outcomes)
 
     def write_dimensions() -> None:
         for table in DIMENSIONS:
             files.write_table(documented(getattr(run, table), table), lake.curated(run_id, table))
 
     # Quarantine and history are written whatever the gate says, curated tables only if it passes.
-    always = [write_quarantine, write_account_quarantine, lambda: write_outcomes(run.raw_outcomes)]
-    together(*([write_fact, write_dimensions] if passed else []), *always)
-
-    mine = lake.outcomes().filter(F.col("run_id") == run_id)
-    raw_score = rules.score(mine.filter(F.col("dataset") == K.RAW_DATASET))
-    curated_score = rules.score(mine.filter(F.col("dataset") == K.CURATED_DATASET)) if passed else None
-    rejected = spark.read.schema(run.account_quarantine.schema).parquet(lake.quarantine("accounts"))
-    summary = quality.run_summary(run.totals, raw_score, curated_score, rejected, run_id, settings.as_of, limit)
+    together(*([write_fact, write_dimensions] if passed else []), write_quarantine, write_account_quarantine)
+
+    outcomes = run.raw_outcomes.unionByName(run.curated_outcomes) if passed else run.raw_outcomes
+    files.write_table(outcomes, lake.history("rule_outcomes", run_id))
+    written = files.read_table(spark, lake.history("rule_outcomes", run_id), K.OUTCOME_DDL)
+    raw_score = rules.score(written.filter(F.col("dataset") == K.RAW_DATASET))
+    curated_score = rules.score(written.filter(F.col("dataset") == K.CURATED_DATASET)) if passed else None
+    summary = quality.run_summary(
+        run.totals, raw_score, curated_score, run.account_quarantine, run_id, run.settings.as_of, limit
+    )
     row = summary.first()  # one row
-    files.append_history(spark.createDataFrame([row], summary.schema), lake.history("run_summary"))  # commit point
-    if not passed:
-        raise quality.QualityGateBlocked(
-            f"run {run_id}: quarantine rate {totals['quarantine_rate']:.4%} exceeds {limit:.2%}; "
-            "curated tables keep their previous run"
-        )
+    files.write_table(spark.createDataFrame([row], summary.schema), lake.history("run_summary", run_id))  # commit point
     return row.asDict()

@@ -1,0 +1,113 @@
+"""The lake and its open marts as lasting views of the catalog.
+
+Views hold a path, not rows: readers see what the files hold, partitions need no
+registration, and after a new run `register_lake` points them to it with one
+CREATE OR REPLACE each, so a name is never absent.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+from brassledger.plans.run import DIMENSIONS, Lake
+
+MONEY = "decimal(28,2)"
+MARTS = {
+    "mart_daily_transactions": f"""
+        SELECT transaction_date, transaction_type, flow_direction, channel, digital_channel_flag, ingest_source,
+               count(*) AS txn_count, CAST(sum(amount) AS {MONEY}) AS txn_value,
+               count_if(is_failed) AS failed_txn_count, count_if(is_fraud_flag = 1) AS fraud_labelled_count
+        FROM {{fact_transactions}}
+        GROUP BY transaction_date, transaction_type, flow_direction, channel, digital_channel_flag, ingest_source""",
+    "mart_monthly_kpis": f"""
+        SELECT month_start, txn_count, txn_value, round(CAST(txn_value AS double) / txn_count, 6) AS avg_txn_value,
+               deposit_value, outflow_value, net_flow, active_customers, active_accounts,
+               round(CAST(txn_count AS double) / nullif(active_customers, 0), 6) AS txns_per_customer,
+               round(CAST(failed AS double) / txn_count, 6) AS failed_rate,
+               round(CAST(digital AS double) / txn_count, 6) AS digital_share
+        FROM (SELECT CAST(date_trunc('MONTH', transaction_date) AS date) AS month_start, count(*) AS txn_count,
+                     CAST(sum(amount) AS {MONEY}) AS txn_value,
+                     CAST(coalesce(sum(amount) FILTER (WHERE flow_direction = 'INFLOW'), 0) AS {MONEY}) AS deposit_value,
+                     CAST(coalesce(sum(amount) FILTER (WHERE flow_direction = 'OUTFLOW'), 0) AS {MONEY}) AS outflow_value,
+                     CAST(sum(signed_amount) AS {MONEY}) AS net_flow,
+                     count(DISTINCT customer_id) AS active_customers,
+                     count(DISTINCT source_account_id) AS active_accounts,
+                     count_if(is_failed) AS failed, count_if(digital_channel_flag) AS digital
+              FROM {{fact_transactions}} GROUP BY 1)""",
+    "mart_monthly_segment": f"""
+        SELECT CAST(date_trunc('MONTH', transaction_date) AS date) AS month_start, customer_segment, state, risk_tier,
+               digital_enrolled_flag, count(*) AS txn_count, CAST(sum(amount) AS {MONEY}) AS txn_value,
+               count(DISTINCT t.customer_id) AS active_customers
+        FROM {{fact_transactions}} t LEFT JOIN {{dim_customer}} c ON t.customer_id = c.customer_id
+        GROUP BY 1, customer_segment, state, risk_tier, digital_enrolled_flag""",
+    "mart_customer_value": f"""
+        SELECT v.customer_id, customer_segment, state, risk_tier, tenure_years, digital_enrolled_flag, txn_count,
+               txn_value, inflow_value, outflow_value, net_flow, digital_share, last_txn_date,
+               IF(net_flow < 0, 'NET_OUTFLOW', 'NET_INFLOW') AS flow_band
+        FROM (SELECT customer_id, count(*) AS txn_count, CAST(sum(amount) AS {MONEY}) AS txn_value,
+                     CAST(coalesce(sum(amount) FILTER (WHERE flow_direction = 'INFLOW'), 0) AS {MONEY}) AS inflow_value,
+                     CAST(coalesce(sum(amount) FILTER (WHERE flow_direction = 'OUTFLOW'), 0) AS {MONEY}) AS outflow_value,
+                     CAST(sum(signed_amount) AS {MONEY}) AS net_flow,
+                     round(CAST(count_if(digital_channel_flag) AS double) / count(*), 6) AS digital_share,
+                     max(transaction_date) AS last_txn_date
+              FROM {{fact_transactions}} WHERE NOT is_failed GROUP BY customer_id) v
+        LEFT JOIN {{dim_customer}} c ON v.customer_id = c.customer_id""",
+    "mart_merchant_monthly": f"""
+        SELECT CAST(date_trunc('MONTH', transaction_date) AS date) AS month_start, merchant_category, channel,
+               count(*) AS txn_count, CAST(sum(amount) AS {MONEY}) AS txn_value
+        FROM {{fact_transactions}} WHERE merchant_category IS NOT NULL GROUP BY 1, merchant_category, channel""",
+    "mart_branch_activity": f"""
+        SELECT b.branch_id, branch_name, city, b.state, region, channel, month_start,
+               CAST(sum(n) AS bigint) AS txn_count, CAST(sum(spent) AS {MONEY}) AS txn_value
+        FROM (SELECT branch_id, channel, CAST(date_trunc('MONTH', transaction_date) AS date) AS month_start,
+                     count(*) AS n, sum(amount) AS spent
+              FROM {{fact_transactions}} GROUP BY branch_id, channel, 3) t
+        JOIN {{dim_branch}} b ON t.branch_id = b.branch_id
+        GROUP BY b.branch_id, branch_name, city, b.state, region, channel, month_start""",
+    "mart_account_book": f"""
+        SELECT CAST(date_trunc('YEAR', open_date) AS date) AS open_year, account_type, account_status,
+               count(*) AS accounts, CAST(sum(current_balance) AS {MONEY}) AS total_balance,
+               round(CAST(sum(current_balance) AS double) / count(current_balance), 6) AS avg_balance
+        FROM {{dim_account}} GROUP BY 1, account_type, account_status""",
+    "mart_dq_rule_results": """
+        SELECT run_id, run_ts, dataset, rule, outcome, failure_reason, IF(outcome = 'Passed', 1, 0) AS passed_flag
+        FROM {rule_outcomes}
+        WHERE (dataset, run_ts) IN (SELECT dataset, max(run_ts) FROM {rule_outcomes} GROUP BY dataset)""",
+    "mart_dq_run_history": """
+        SELECT run_id, run_ts, pipeline_status, raw_rows, curated_rows, quarantined_rows, quarantine_rate,
+               max_quarantine_rate, raw_dq_score, curated_dq_score, accounts_quarantined FROM {run_summary}""",
+    "mart_quarantine_reasons": """
+        SELECT run_id, run_ts, reason, ingest_source, row_count FROM {quarantine_reasons}""",
+}
+
+
+def _create(spark: SparkSession, name: str, select: str) -> None:
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {select}")
+
+
+def register_lake(spark: SparkSession, lake: Lake, prefix: str = "") -> dict[str, str]:
+    """The lake's nine folders by name; curated ones of the newest published run, history of committed runs."""
+    now = lake.snapshot()
+    names = {t: f"{prefix}{t}" for t in ("fact_transactions", *DIMENSIONS)}
+    for table, name in names.items():
+        _create(spark, name, f"SELECT * FROM parquet.`{lake.curated(now.run_id, table)}`")
+    for table in ("transactions", "accounts"):
+        names[f"quarantine_{table}"] = f"{prefix}quarantine_{table}"
+        path = lake.quarantine(now.newest_run, table)
+        _create(spark, names[f"quarantine_{table}"], f"SELECT * FROM parquet.`{path}`")
+    summary = f"parquet.`{lake.history('run_summary')}`"
+    names["run_summary"] = f"{prefix}run_summary"
+    _create(spark, names["run_summary"], f"SELECT * EXCEPT (run) FROM {summary}")
+    for table in ("rule_outcomes", "quarantine_reasons"):
+        names[table] = f"{prefix}{table}"
+        rows = f"SELECT * EXCEPT (run) FROM parquet.`{lake.history(table)}`"
+        _create(spark, names[table], f"{rows} WHERE run_id IN (SELECT run_id FROM {summary})")
+    return names
+
+
+def create_mart_views(spark: SparkSession, tables: dict[str, str], prefix: str = "") -> dict[str, str]:
+    """The ten open marts over registered tables; any session of the catalog can query them."""
+    names = {mart: f"{prefix}{mart}" for mart in MARTS}
+    for mart, name in names.items():
+        _create(spark, name, MARTS[mart].format(**tables))
+    return names

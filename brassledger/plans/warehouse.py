@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from brassledger import contracts as K
+from brassledger.operators import quality
+from brassledger.plans import marts
 from brassledger.plans.run import Lake
 from brassledger.sources import files
 
@@ -16,6 +18,16 @@ AUDITED = (
     "curated.dim_account",
     "dq.quarantine_transactions",
 )
+TABLES = {
+    "curated.fact_transactions": K.FACT_DDL,
+    "curated.dim_customer": K.CUSTOMER_DDL,
+    "curated.dim_account": K.ACCOUNT_DDL,
+    "curated.dim_branch": K.BRANCH_DDL,
+    "dq.quarantine_transactions": K.QUARANTINE_DDL,
+    "dq.rule_outcomes": K.OUTCOME_DDL,
+    "dq.run_summary": K.SUMMARY_DDL,
+    "dq.quarantine_reasons": K.REASON_COUNT_DDL,
+}
 
 
 class Warehouse:
@@ -35,16 +47,16 @@ class Warehouse:
         Every table is overwritten from the lake's current run, so repeating a
         refresh changes nothing but the audit.
         """
-        run_id = lake.published_run()
+        now = lake.snapshot()  # one run for all tables
         sources = {
-            "curated.fact_transactions": (lake.curated(run_id, "fact_transactions"), K.FACT_DDL),
-            "curated.dim_customer": (lake.curated(run_id, "dim_customer"), K.CUSTOMER_DDL),
-            "curated.dim_account": (lake.curated(run_id, "dim_account"), K.ACCOUNT_DDL),
-            "curated.dim_branch": (lake.curated(run_id, "dim_branch"), K.BRANCH_DDL),
-            "dq.quarantine_transactions": (lake.quarantine("transactions"), K.QUARANTINE_DDL),
-            "dq.rule_outcomes": (lake.history("rule_outcomes"), K.OUTCOME_DDL),
-            "dq.run_summary": (lake.history("run_summary"), K.SUMMARY_DDL),
-            "dq.quarantine_reasons": (lake.history("quarantine_reasons"), K.REASON_COUNT_DDL),
+            "curated.fact_transactions": (now.fact(), K.FACT_DDL),
+            "curated.dim_customer": (now.dimension("dim_customer"), K.CUSTOMER_DDL),
+            "curated.dim_account": (now.dimension("dim_account"), K.ACCOUNT_DDL),
+            "curated.dim_branch": (now.dimension("dim_branch"), K.BRANCH_DDL),
+            "dq.quarantine_transactions": (now.quarantined(), K.QUARANTINE_DDL),
+            "dq.rule_outcomes": (now.outcomes(), K.OUTCOME_DDL),
+            "dq.run_summary": (now.summary(), K.SUMMARY_DDL),
+            "dq.quarantine_reasons": (now.reasons(), K.REASON_COUNT_DDL),
         }
         loaded = {
             table: files.refresh(self.spark, source, self.path(table), ddl)
@@ -53,3 +65,14 @@ class Warehouse:
         counts = files.load_audit({name: loaded[name] for name in AUDITED}, loaded_at)
         files.append_history(counts, self.path("dq.load_audit"))
         return loaded
+
+    def table(self, name: str) -> DataFrame:
+        return files.read_table(self.spark, self.path(name), TABLES[name])
+
+    def marts_as(self, role: str) -> dict[str, DataFrame]:
+        """The ten marts the role may export, over the refreshed tables."""
+        seen = marts.SecureMarts(self.table("curated.fact_transactions"), self.table("curated.dim_customer"), role)
+        summary, reasons = self.table("dq.run_summary"), self.table("dq.quarantine_reasons")
+        card = quality.scorecard(summary, reasons)
+        branches, outcomes = self.table("curated.dim_branch"), self.table("dq.rule_outcomes")
+        return marts.all_secure(seen, branches, card, outcomes, summary, reasons)

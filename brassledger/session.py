@@ -69,6 +69,11 @@ def staged(df: DataFrame, label: str, root: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def discard(spark: SparkSession, *paths: str) -> None:
     """Delete folders of intermediate tables through Spark's own file systems."""
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()

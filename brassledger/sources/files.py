@@ -61,7 +61,7 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def append_history(df: DataFrame, path: str) -> None:
-    """Append the few rows one run adds to a history table."""
+    """Append a few rows to a log that one writer at a time adds to (commits into one folder must not overlap)."""
     df.hint("rebalance").write.mode("append").parquet(path)
 
 
@@ -92,9 +92,10 @@ def match_by_name(df: DataFrame, ddl: str) -> DataFrame:
     return df.select(*[pick(field) for field in K.layout(ddl).fields])
 
 
-def refresh(spark: SparkSession, source: str, target: str, ddl: str) -> DataFrame:
-    """Full refresh of one table; repeating it changes nothing."""
-    write_table(match_by_name(spark.read.parquet(source), ddl), target)
+def refresh(spark: SparkSession, source: str | DataFrame, target: str, ddl: str) -> DataFrame:
+    """Full refresh of one table from a folder or a frame; repeating it changes nothing."""
+    rows = spark.read.parquet(source) if isinstance(source, str) else source
+    write_table(match_by_name(rows, ddl), target)
     return spark.read.schema(K.layout(ddl)).parquet(target)
 
 
@@ -112,28 +113,6 @@ def load_audit(tables: dict[str, DataFrame], loaded_at: dt.datetime) -> DataFram
     return stacked
 
 
-# ---------------------------------------------------------------- catalog
-def register(spark: SparkSession, name: str, path: str, partitioned: bool = False) -> DataFrame:
-    """Make a folder a catalog table; partitions found on disk are added, so a re-run updates in place.
-
-    The schema is the folder's own, read from Parquet footers, as the catalog
-    sees it.
-    """
-    spark.sql(f"DROP TABLE IF EXISTS {name}")  # an external table: the files stay
-    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
-    if partitioned:
-        spark.sql(f"MSCK REPAIR TABLE {name}")
-    return spark.table(name)
-
-
-def create_views(views: dict[str, DataFrame], prefix: str = "") -> list[str]:
-    names = []
-    for name, df in views.items():
-        df.createOrReplaceTempView(f"{prefix}{name}")
-        names.append(f"{prefix}{name}")
-    return names
-
-
 # ---------------------------------------------------------------- exports
 def export_csv(mart: DataFrame, path: str) -> None:
     """A mart as CSV with header; NULL stays empty, text is quoted where needed.

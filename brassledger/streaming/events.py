@@ -20,25 +20,6 @@ def event_key(row_number: Column) -> Column:
     )
 
 
-def corrupt(events: DataFrame, pick: Column) -> DataFrame:
-    """Test-data job: break an event in one of four ways where `pick` is 0..3, else keep it."""
-    nothing = F.lit(None).cast("string")
-    return events.withColumns(
-        {
-            "source_account_id": F.when(pick == 0, nothing).otherwise(F.col("source_account_id")),
-            "amount": F.when(pick == 1, F.concat(F.lit("-"), F.col("amount"))).otherwise(F.col("amount")),
-            "transaction_type": F.when(pick == 2, "UNKNOWN").otherwise(F.col("transaction_type")),
-            "channel": F.when(pick == 3, nothing).otherwise(F.col("channel")),
-        }
-    )
-
-
-def hashed_pick(key: Column, per_thousand: int) -> Column:
-    """Which of the four ways, for about `per_thousand` of 1000 events; NULL for the others."""
-    h = F.pmod(F.xxhash64(key), F.lit(1000))
-    return F.when(h < per_thousand, F.pmod(F.xxhash64(key, F.lit("way")), F.lit(4)))
-
-
 def blank_to_null(events: DataFrame) -> DataFrame:
     return events.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in K.RAW_TRANSACTION})
 

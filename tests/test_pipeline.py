@@ -7,9 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from brassledger import contracts as K
+from brassledger import fixture_defects as D
 from brassledger import fixtures as X
 from brassledger.catalogue.workspace import Workspace
-from brassledger.operators import prepare, quality, validate
+from brassledger.operators import quality, validate
 from brassledger.plans import analysis, marts
 from brassledger.plans.run import Lake, RawZone, Run, Settings, publish
 from brassledger.sources import files
@@ -20,7 +21,7 @@ EXPECTED = {
     "0.01": (25091, 416, 24675, 6, 0.016580, [13, 52, 52, 52, 39, 39, 13, 65, 91]),
     "0.1": (250875, 4000, 246875, 45, 0.015944, [125, 500, 500, 500, 375, 375, 125, 625, 875]),
 }
-ORDER = tuple(prepare.RESIDUES)
+ORDER = tuple(D.RESIDUES)
 
 
 @pytest.mark.parametrize("sf", list(EXPECTED))
@@ -32,7 +33,7 @@ def test_caught_equals_injected(spark, sf):
     assert tuple(totals) == (raw_rows, raw_rows - held, held, rate)
     reasons = run.reasons.groupBy("reason").agg(F.sum("row_count").alias("n")).collect()
     assert {r["reason"]: r["n"] for r in reasons} == dict(zip(ORDER, per_reason))
-    manifest = prepare.defect_manifest(X.clean_transactions(spark, d), X.NUMBER).collect()
+    manifest = D.defect_manifest(X.clean_transactions(spark, d), X.NUMBER).collect()
     assert {r["defect"]: r["defect_rows"] for r in manifest} == dict(zip(ORDER, per_reason))
     assert run.account_quarantine.count() == bad_accounts
 

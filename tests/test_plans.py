@@ -5,10 +5,13 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from brassledger import fixtures as X
+from brassledger.catalogue import queries
 from brassledger.catalogue.workspace import Workspace
 from brassledger.operators import governance as G
 from brassledger.operators import validate
 from brassledger.plans import analysis, marts
+from brassledger.plans.run import Run, Settings
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +23,11 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def lazy(space) -> Run:
+    """The main run with nothing staged."""
+    return Run(space.raw, Settings(X.AS_OF))
+
+
 def frames(space):
     fact, customer, branch, account = space.fact, space.dim_customer, space.dim_branch, space.dim_account
     secure = space.secure(G.REGIONAL)
@@ -34,8 +42,8 @@ def frames(space):
         "outflow": analysis.net_outflow_recent(fact, customer),
         "dormant": analysis.dormant_active(fact, account),
         "adoption": analysis.digital_adoption(fact, customer),
-        "flagged": space.run.flagged,
-        "fact": space.run.fact,
+        "flagged": lazy(space).flagged,
+        "fact": lazy(space).fact,
     }
 
 
@@ -80,7 +88,7 @@ def test_large_dimensions_are_not_broadcast(spark, space):
         value = marts.customer_value(space.fact, space.dim_customer)
         assert "BroadcastHashJoin" not in plan(value)
         assert sorted(map(str, value.collect())) == sorted(map(str, small))
-        flagged = space.run.flagged
+        flagged = lazy(space).flagged
         assert "BroadcastHashJoin" not in plan(flagged)
         counts = flagged.agg(F.count("*").alias("n"), F.count_if(F.size("dq_fail_reasons") > 0).alias("bad")).first()
         assert tuple(counts) == (2514, 64)
@@ -91,7 +99,7 @@ def test_large_dimensions_are_not_broadcast(spark, space):
 
 def test_single_ids_are_never_ranked(space):
     """Only the branch of repeated ids has windows; the settled branch has none."""
-    text = plan(validate.mark_repeats(space.run.checked))
+    text = plan(validate.mark_repeats(lazy(space).checked))
     settled = text[: text.index("Window")]
     assert "LeftAnti" in settled and "Sort [transaction_id" not in settled.split("LeftAnti")[0]
 
@@ -102,7 +110,7 @@ def test_lanes_of_a_hot_id_go_to_different_tasks(spark, space, threshold):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-        text = plan(validate.mark_repeats(space.run.checked))
+        text = plan(validate.mark_repeats(lazy(space).checked))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert len(re.findall(r"Exchange hashpartitioning\(transaction_id#\d+, _lane#\d+L?, \d+\)", text)) == 2
@@ -125,3 +133,34 @@ def test_secure_marts_aggregate_before_they_meet_customers(spark, space):
 
 def test_fixed_tables_have_a_known_size(space):
     assert "BroadcastHashJoin" in plan(G.visible_rows(space.dim_customer, G.REGIONAL))
+
+
+RAW_SCAN = re.compile(r"FileScan csv \[[^\]]*transaction_timestamp")
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["flag_transactions", "split_valid", "split_quarantine", "quarantine_reason_counts", "dq_quarantine_rate",
+     "run_summary_row", "win_dedupe_row_number", "standardize_transactions", "dq_evaluate_rules"],
+)
+def test_raw_files_are_scanned_at_most_once(spark, small_dir, name):
+    assert len(RAW_SCAN.findall(plan(queries()[name](spark, small_dir)))) <= 1
+
+
+def test_staging_scans_the_raw_files_once(space):
+    assert len(RAW_SCAN.findall(plan(lazy(space).checked))) == 1
+    staged = space.run
+    for frame in (staged.checked, staged.flagged, staged.fact, staged.reasons, staged.summary, staged.account_master):
+        assert not RAW_SCAN.findall(plan(frame))
+
+
+def test_the_newest_date_comes_from_the_newest_folder(space):
+    text = plan(analysis.recent(space.fact, 3))
+    assert re.search(r"PartitionFilters: \[[^\]]*year[^\]]*= *Subquery", text) or text.count("Subquery") >= 2
+
+
+def test_no_sorting_aggregate_over_all_keys(space):
+    """Only rows of keys that repeat reach the maximum over a struct."""
+    text = plan(lazy(space).account_master)
+    for at in [m.start() for m in re.finditer("SortAggregate", text)]:
+        assert "LeftSemi" in text[at:]

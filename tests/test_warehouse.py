@@ -39,12 +39,15 @@ def test_by_name_matching(spark):
     assert tuple(out.first()) == (1, "b", None)
 
 
-def test_analyst_export_is_masked(spark, space, tmp_path):
-    lake = space.lake
-    card = quality.scorecard(lake.summary(), lake.reasons())
-    seen = space.secure(G.ANALYST)
-    chosen = marts.all_secure(seen, space.dim_branch, card, lake.outcomes(), lake.summary(), lake.reasons())
-    paths = files.export_all(chosen, str(tmp_path))
+@pytest.mark.parametrize("source", ["lake", "warehouse"])
+def test_analyst_export_is_masked(spark, space, tmp_path, source):
+    if source == "lake":
+        chosen = marts.marts_as(space.now, G.ANALYST)
+    else:
+        house = Warehouse(spark, str(tmp_path / "house"))
+        house.refresh(space.lake, dt.datetime(2024, 2, 1))
+        chosen = house.marts_as(G.ANALYST)
+    paths = files.export_all(chosen, str(tmp_path / "out"))
     counts = {r["mart"]: r["rows_exported"] for r in files.export_counts(spark, paths).collect()}
     assert len(counts) == 10 and counts["mart_dq_scorecard"] == 12 and counts["mart_customer_value"] == 150
     value = chosen["mart_customer_value"]
@@ -54,7 +57,10 @@ def test_analyst_export_is_masked(spark, space, tmp_path):
 
 
 def test_job_runs_from_files(spark, space, tmp_path, capsys):
-    job.main(["--raw", space.raw_root, "--lake", str(tmp_path), "--as-of", "2024-02-01"])
+    out = f"{tmp_path}/out"
+    job.main(["--raw", space.raw_root, "--lake", str(tmp_path), "--as-of", "2024-02-01", "--export", out, "--role", G.ANALYST])
+    exported = spark.read.option("header", "true").csv(f"{out}/mart_customer_value")
+    assert exported.filter(F.col("customer_id").startswith("H_")).count() == exported.count() > 0
     assert capsys.readouterr().out.startswith("Status: PUBLISHED | raw rows: 2514 | quarantine rate: 0.025457")
     assert Lake(spark, str(tmp_path)).published_run() == "20240201T000000Z"
     with pytest.raises(quality.QualityGateBlocked):
