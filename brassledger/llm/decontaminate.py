@@ -3,10 +3,11 @@
 Texts are words: lower case, ASCII punctuation and blanks between them.  A document is contaminated by an item of n
 words if some window of it is within ``floor(edits * n)`` word edits (insert, delete, replace) of the whole item.
 
-For each length of items, with windows of that length (counting is done for classes of lengths):
+For each length of items, with windows of that length (rare words are looked up for classes of lengths):
 
-1. Counting.  A window within reach holds nearly all of an item's words, so windows with too few words of the whole
-   benchmark are passed over.  This loses nothing.
+1. Rare words.  If k edits are allowed, r of the k + r rarest words of an item must stand in a window within reach.
+   So only places are looked at where r rare words of the class stand close enough, and where n - k of the words in
+   reach are words of the class at all.  This loses nothing.
 2. CGK embedding.  A random walk reads the words of a window: each step writes the word it stands on and moves on or
    stays by a random bit of (step, word).  The same walk over an edited text falls back into step soon after an edit,
    so a small edit distance becomes a small Hamming distance between what is written.
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 
 EDITS = 0.2  # edits allowed per word of an item
 MIN_WORDS = 5
-SAMPLED = 3
+SAMPLED = 2
 RECALL = 0.99
 SHARD_WORDS = 1_000_000  # of the benchmark, in one pass over the documents
 _BLANKED = bytes(32 if chr(b) in string.punctuation or b < 32 else b for b in range(256))
@@ -70,6 +71,71 @@ def within(item: np.ndarray, window: np.ndarray, most: int) -> int | None:
     return least if least <= most else None
 
 
+class LengthClass:
+    """Items of about one length: which words are theirs, which of them rare, and their walks."""
+
+    def __init__(self, low: int, words: int):
+        self.low, self.reach = low, low  # reach: words of the longest window within the edits
+        self.needed = max(1, low // 4)
+        self.words, self.rare = np.zeros(words, bool), np.zeros(words, bool)
+        self.walks: list[Walks] = []
+
+    def starts(self, words: np.ndarray) -> np.ndarray:
+        """Places where a window can begin: with a word of an item, and with enough rare words in reach."""
+        at = np.flatnonzero(self.rare[words])
+        if len(at) < self.needed:
+            return at[:0]
+        first, last = at[: len(at) - self.needed + 1], at[self.needed - 1 :]
+        low = np.maximum(last - self.reach + 1, 0)
+        fits = low <= first
+        low, size = low[fits], (first - low)[fits] + 1
+        places = np.repeat(low - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
+        places = np.unique(places)
+        return places[self.words[words[places]]]
+
+
+class Walks:
+    """All walks of 2n steps for the items of n words, which read about n words, and the items' keys under them."""
+
+    def __init__(self, rng, items: list[np.ndarray], members: list[int], repeats: int):
+        self.n = len(items[0])
+        steps = 2 * self.n
+        self.coins = rng.integers(1, 1 << 62, (steps, repeats, 1), dtype=np.int64).astype(np.uint64) | np.uint64(1)
+        self.sampled = np.zeros((steps, repeats), bool)
+        for r in range(repeats):
+            self.sampled[rng.choice(steps, SAMPLED, replace=False), r] = True
+        starts = np.arange(len(items)) * self.n
+        keys = self._keys(np.concatenate([*items, [0]]), starts, starts + self.n)
+        self.buckets = []  # per walk: rising keys, and the items of each
+        for row in keys:
+            order = np.argsort(row, kind="stable")
+            self.buckets.append((row[order], np.array(members)[order]))
+
+    def _keys(self, words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Per walk and window a hash of the words written at the sampled steps (0 past the end)."""
+        at = np.repeat(starts[None], self.coins.shape[1], axis=0)
+        key = np.zeros(at.shape, np.uint64)
+        for step in range(int(np.flatnonzero(self.sampled.any(1))[-1]) + 1):
+            word = np.where(at < ends, words[np.minimum(at, len(words) - 1)], 0).astype(np.uint64)
+            wanted = self.sampled[step]
+            if wanted.any():
+                mixed = (key[wanted] ^ word[wanted]) * np.uint64(0x9E3779B97F4A7C15)
+                key[wanted] = mixed ^ (mixed >> np.uint64(29))
+            at += ((word + np.uint64(1)) * self.coins[step] >> np.uint64(61)).astype(np.int64) & 1
+        return key
+
+    def candidates(self, words: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        """(window, item) whose keys are equal under some walk."""
+        for a in range(0, len(starts), 8192):
+            part = slice(a, a + 8192)
+            keys = self._keys(words, starts[part], np.minimum(starts[part] + self.n, ends[part]))
+            for row, (known, items) in zip(keys, self.buckets):
+                low, high = np.searchsorted(known, row, "left"), np.searchsorted(known, row, "right")
+                for hit in np.flatnonzero(high > low).tolist():
+                    for item in items[low[hit] : high[hit]].tolist():
+                        yield a + hit, item
+
+
 class Index:
     """The items of one shard, by length class and bucket; `search` finds them in batches of documents."""
 
@@ -81,43 +147,26 @@ class Index:
         self.vocabulary: dict[bytes, int] = {}
         number = self.vocabulary.setdefault
         self.items = [(i, np.array([number(w, len(self.vocabulary) + 1) for w in ws], np.int64)) for i, ws in split]
-        self.classes = []  # (shortest, longest, lengths); lengths: (words, walks); walks: (coins, sampled, keys, buckets)
+        seen = Counter(w for _, ws in split for w in ws)
+        rank = {w: i for i, w in enumerate(sorted(seen, key=lambda w: (seen[w], -len(w), w)))}
+        rarity = np.empty(len(self.vocabulary) + 1, np.int64)
+        for word, n in self.vocabulary.items():
+            rarity[n] = rank[word]
+
         by_length: dict[int, list[int]] = defaultdict(list)
         for k, (_, w) in enumerate(self.items):
             by_length[len(w)].append(k)
+        self.classes: list[LengthClass] = []
         for n, members in sorted(by_length.items()):
-            if not self.classes or n > 1.2 * self.classes[-1][0] + 1:
-                self.classes.append((n, n, []))
-            low, _, lengths = self.classes[-1]
-            lengths.append((n, self._walks(rng, n, members, repeats)))
-            self.classes[-1] = (low, n, lengths)
-
-    def _walks(self, rng, n: int, members: list[int], repeats: int) -> list[tuple]:
-        """Walks of 2n steps, which read about n words, and the items' buckets under them."""
-        words = np.concatenate([*(self.items[k][1] for k in members), [0]])
-        starts = np.arange(len(members)) * n
-        walks = []
-        for _ in range(repeats):
-            sampled = np.sort(rng.choice(2 * n, SAMPLED, replace=False))
-            coins = rng.integers(1, 1 << 62, 2 * n, dtype=np.int64).astype(np.uint64) | np.uint64(1)
-            buckets = defaultdict(list)
-            for k, key in zip(members, self._walk(words, starts, starts + n, coins, sampled).tolist()):
-                buckets[key].append(k)
-            keys = np.array(sorted(buckets), np.uint64)
-            walks.append((coins, sampled, keys, [buckets[key] for key in keys.tolist()]))
-        return walks
-
-    @staticmethod
-    def _walk(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, coins: np.ndarray, sampled: np.ndarray) -> np.ndarray:
-        """The key of each window: a hash of the words written at the sampled steps (0 past the end)."""
-        at, key, wanted = starts.copy(), np.zeros(len(starts), np.uint64), set(sampled.tolist())
-        for step in range(sampled[-1] + 1):
-            word = np.where(at < ends, words[np.minimum(at, len(words) - 1)], 0).astype(np.uint64)
-            if step in wanted:
-                key = (key ^ word) * np.uint64(0x9E3779B97F4A7C15)
-                key ^= key >> np.uint64(29)
-            at += ((word + np.uint64(1)) * coins[step] >> np.uint64(61)).astype(np.int64) & 1
-        return key
+            if not self.classes or n > 1.2 * self.classes[-1].low + 1:
+                self.classes.append(LengthClass(n, len(self.vocabulary) + 1))
+            c = self.classes[-1]
+            c.reach = n + int(edits * n)
+            for k in members:
+                w = self.items[k][1]
+                c.words[w] = True
+                c.rare[w[np.argsort(rarity[w], kind="stable")[: int(edits * n) + c.needed]]] = True
+            c.walks.append(Walks(rng, [self.items[k][1] for k in members], members, repeats))
 
     def search(self, texts: list[str | None]) -> list[tuple[int, int, int, int]]:
         """(text, item, edits, first word) of the best window found for each text and item."""
@@ -128,29 +177,21 @@ class Index:
             ids.extend([number(w, 0) for w in words_of(text)])
             bounds.append(len(ids))
         words, bounds = np.array([*ids, 0], np.int64), np.array(bounds)
-        known = np.concatenate([[0], np.cumsum(words[:-1] > 0)])
-        starts = np.flatnonzero(words[:-1] > 0)  # a best window can begin with a word of the item
-        text_of = np.searchsorted(bounds, starts, "right") - 1
         found: dict[tuple[int, int], tuple[int, int]] = {}
-        for low, high, lengths in self.classes:
-            most = int(self.edits * high)
-            ends = np.minimum(starts + high + most, bounds[text_of + 1])
-            enough = known[ends] - known[starts] >= low - int(self.edits * low)
-            at, last, text = starts[enough], ends[enough], text_of[enough]
-            if not len(at):
+        for c in self.classes:
+            starts = c.starts(words)
+            text_of = np.searchsorted(bounds, starts, "right") - 1
+            ends = bounds[text_of + 1]
+            if not len(starts):
                 continue
-            tried = set()
-            for n, walks in lengths:
-                reach = np.minimum(at + n, last)
-                for coins, sampled, keys, buckets in walks:
-                    key = self._walk(words, at, reach, coins, sampled)
-                    place = np.searchsorted(keys, key)
-                    place[place == len(keys)] = 0
-                    for hit in np.flatnonzero(keys[place] == key).tolist():
-                        for item in buckets[place[hit]]:
-                            if (hit, item) not in tried:
-                                tried.add((hit, item))
-                                self._verify(words, int(at[hit]), int(last[hit]), int(text[hit]), item, found)
+            known = np.concatenate([[0], np.cumsum(c.words[words])])
+            for walks in c.walks:
+                most = int(self.edits * walks.n)
+                full = known[np.minimum(starts + walks.n + most, ends)] - known[starts] >= walks.n - most
+                at = np.flatnonzero(full)
+                for hit, item in set(walks.candidates(words, starts[at], ends[at])):
+                    hit = at[hit]
+                    self._verify(words, int(starts[hit]), int(ends[hit]), int(text_of[hit]), item, found)
         return [(t, k, edits, int(start - bounds[t])) for (t, k), (edits, start) in sorted(found.items())]
 
     def _verify(self, words, start, end, text, item, found) -> None:
@@ -165,7 +206,7 @@ class Index:
             found[text, item] = (edits, start)
 
 
-def _batches(texts: list, size: int = 1 << 22):
+def _batches(texts: list, size: int = 1 << 23):
     start, held = 0, 0
     for i, text in enumerate(texts):
         held += len(text or "")
