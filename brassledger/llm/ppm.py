@@ -336,7 +336,7 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER) -> DataFrame:
     spark = docs.sparkSession
     folder = shared_folder(spark, "lm")
     chosen = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    _read_blocks(chosen, order).write.parquet(f"{folder}/blocks")
+    _read_blocks(chosen, order).write.option("compression", "zstd").parquet(f"{folder}/blocks")
     read = lambda kind: spark.read.schema(DDL).parquet(f"{folder}/blocks").filter(F.col("kind") == kind)
 
     grams = read(GRAM).groupBy(F.col("block").alias("gram")).agg(F.sum("n").alias("n"))
