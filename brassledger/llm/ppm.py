@@ -4,19 +4,20 @@ Tokens are the words of the text with A-Z in lower case, then one end.  The mode
 words, each followed by a space, then one end byte, and predicts every byte from up to `ORDER` bytes before it, across
 word borders; before a document stand end bytes.
 
-* Training: all byte strings of length ORDER + 1 in the training documents are counted.  Every task sums its own, and
-  one shuffle sums the rest, so what is gathered follows the corpus.  The trie of contexts of all shorter orders follows
-  from these counts.
+* Training: tasks cut the documents into blocks (`BLOCK_CHARS` of text) and write each block's distinct byte strings of
+  length ORDER + 1 with their counts in its training documents.  One shuffle sums them; counts of shorter contexts
+  follow from these.  All counts of all orders are used, whatever the size of the corpus.
 * Prediction: method C.  A context with total n and u distinct next bytes gives a seen byte c / (n + u) and escapes
   with u / (n + u) to the context without its oldest byte, where the bytes seen before are excluded from both parts;
   below order 0 the bytes never seen share what is left equally.  Scores are pretrained: nothing is learned from the
   document being scored.
-* The trie becomes one row of probabilities and one of next states per context, so scoring is two look-ups per byte,
-  thousands of places of a block at a time.  Its size is bounded: the order is the largest up to `ORDER` whose trie has
-  at most `MAX_GRAMS` counts and `MAX_CELLS` table cells (order 1 always fits).  All counts of that order are used.
+* The trie never stands in one place.  The probability of a byte depends on its string alone, so it is found once per
+  distinct string: strings whose contexts end in the same two bytes meet in one task, with every context of order 2 and
+  more they need; orders 0 and 1 are one table of 256 x 256 counts that every task gets.  The probabilities go back to
+  the blocks that hold the string: a string meets as many rows as there are such blocks, never its occurrences.
 
 The base score needs the training count of every word of every document.  Tasks number the distinct words of a block of
-documents (`BLOCK_CHARS` of text) and write the block as numbers; counts are summed per word over blocks, in one
+documents and write the block as numbers; counts are summed per word over blocks, in one
 shuffle by word, and go back to their blocks in one shuffle by block, where the documents are scored.  A word meets as
 many rows as there are blocks that hold it, never its occurrences, and texts are read once.
 
@@ -29,8 +30,10 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
@@ -39,23 +42,20 @@ from pyspark.sql import functions as F
 from brassledger.session import shared_folder, staged
 
 ORDER = 4
-MAX_GRAMS = 3_000_000
-MAX_CELLS = 16_000_000
-BLOCK_CHARS = 8 << 20
-SLICE = 1 << 21  # bytes whose strings are sorted at a time
-HELD_GRAMS = 1_000_000  # strings a task holds before it passes their counts on
-LANES = 8192
+BLOCK_CHARS = 16 << 20
+SLICE = 1 << 21  # bytes whose strings are sorted or looked up at a time
+BAG_GRAMS = 100_000  # distinct strings in one task of the model, on average
 END = b"\n"  # no word holds it
 
 WORD, BLOCK, GRAM = 0, 1, 2
 SCHEMA = pa.schema(
     [
-        ("block", pa.int64()), ("local", pa.int32()), ("word", pa.binary()), ("n", pa.int64()),
+        ("block", pa.int64()), ("local", pa.int32()), ("word", pa.binary()), ("gram", pa.int64()), ("n", pa.int64()),
         ("ids", pa.binary()), ("spelled", pa.binary()), ("doc_ids", pa.list_(pa.string())), ("held_out", pa.list_(pa.bool_())),
         ("sizes", pa.list_(pa.int32())), ("kind", pa.int32()),
     ]
 )
-DDL = "block long, local int, word binary, n long, ids binary, spelled binary, doc_ids array<string>, held_out array<boolean>, sizes array<int>, kind int"
+DDL = "block long, local int, word binary, gram long, n long, ids binary, spelled binary, doc_ids array<string>, held_out array<boolean>, sizes array<int>, kind int"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -76,177 +76,108 @@ def _stream(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 # ---------------------------------------------------------------- counting
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, rising, and the sum of each one's counts."""
     order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-class Grams:
-    """Counts of byte strings of length order + 1: the last byte is the low one, the oldest the highest."""
+def _slices(data: np.ndarray, order: int):
+    """Strings of length order + 1 by the place of their last byte, which is the low one; the oldest is the highest."""
+    for at in range(order, len(data), SLICE):
+        end = min(at + SLICE, len(data))
+        keys = np.zeros(end - at, np.int64)
+        for back in range(order, -1, -1):
+            keys = (keys << 8) | data[at - back : end - back]
+        yield slice(at, end), keys
 
-    def __init__(self, order: int):
-        self.order = order
-        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
-        self.loose = 0
-
-    def add(self, documents: list[bytes]) -> None:
-        """Count spelled documents."""
-        if not documents:
-            return
-        data, bounds = _stream(documents)
-        counted = np.ones(len(data), bool)
-        counted[(bounds[:-1, None] + np.arange(self.order)).ravel()] = False  # the end bytes before a document
-        for at in range(self.order, len(data), SLICE):
-            end = min(at + SLICE, len(data))
-            keys = np.zeros(end - at, np.int64)
-            for back in range(self.order, -1, -1):
-                keys = (keys << 8) | data[at - back : end - back]
-            keys = np.sort(keys[counted[at:end]])
-            if len(keys):
-                first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-                self.parts.append((keys[first], np.diff(np.append(first, len(keys)))))
-                self.loose += len(first)
-        if self.loose > HELD_GRAMS // 2:
-            self.parts = [self.take()]
-            self.loose = 0
-
-    def held(self) -> int:
-        return sum(len(k) for k, _ in self.parts)
-
-    def take(self) -> tuple[np.ndarray, np.ndarray]:
-        if not self.parts:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        found = _summed(*(np.concatenate(x) for x in zip(*self.parts)))
-        self.parts, self.loose = [], 0
-        return found
 
+def _before(bounds: np.ndarray, order: int) -> np.ndarray:
+    """Places of the end bytes that stand before each document; they are not predicted."""
+    return (bounds[:-1, None] + np.arange(order)).ravel()
 
-# ---------------------------------------------------------------- the model
-def _shorter(keys: np.ndarray, counts: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    return _summed(keys & ((1 << 8 * (order + 1)) - 1), counts)
 
+def count(documents: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct strings of spelled documents, rising, and their counts."""
+    if not documents:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    data, bounds = _stream(documents)
+    counted = np.ones(len(data), bool)
+    counted[_before(bounds, order)] = False
+    parts = [_summed(keys[counted[at]], np.ones(counted[at].sum(), np.int64)) for at, keys in _slices(data, order)]
+    return _summed(*(np.concatenate(x) for x in zip(*parts)))
 
-class Model:
-    """The trie as tables: log10 probability and next state per (context, byte)."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, order: int):
-        tables = [(keys, counts)]
-        for k in range(order - 1, -1, -1):
-            tables.append(_shorter(*tables[-1], k))
-        tables.reverse()
-        self.order = order
-        symbols = (tables[0][0] & 255).astype(np.int64)
-        m = len(symbols)
-        self.width = m + 1
-        self.column = np.full(256, m, np.int64)  # the last column stands for each byte never seen
-        self.column[symbols] = np.arange(m)
-        if not m:
-            self.next = np.zeros(1, np.int32)
-            self.log = np.full(1, -math.log10(256), np.float32)
-            return
-        rows, nexts, offset, before = [], [], 0, None
-        contexts = []
-        for k, (key, count) in enumerate(tables):
-            context, node = np.unique(key >> 8, return_inverse=True)
-            column = self.column[key & 255]
-            n, u = np.bincount(node, count, len(context)), np.bincount(node, minlength=len(context)).astype(float)
-            if k == 0:
-                row = np.full((1, self.width), math.log10(u[0] / (n[0] + u[0])) - math.log10(max(256 - m, 1)), np.float32)
-                nxt = np.zeros((1, self.width), np.int32)
-            else:
-                p_key, p_count, p_context, p_row, p_next, p_n, p_u, p_seen = before
-                parent = np.searchsorted(p_context, context & ((1 << 8 * (k - 1)) - 1))
-                same = np.searchsorted(p_key, key & ((1 << 8 * k) - 1))
-                n_left = p_n[parent] - np.bincount(node, p_count[same], len(context))
-                u_left = p_u[parent] - u
-                whole = np.log10(p_n[parent] + p_u[parent])
-                left = np.log10(np.maximum(n_left + u_left, 1))
-                seen = whole - left
-                unseen = np.where(u_left > 0, np.log10(np.maximum(u_left, 1)) - left, 0.0) - np.log10(p_u[parent]) + whole
-                escape = np.log10(u) - np.log10(n + u)
-                row = p_row[parent]
-                row += np.where(p_seen[parent], *((escape + x).astype(np.float32)[:, None] for x in (seen, unseen)))
-                nxt = p_next[parent]
-            row[node, column] = np.log10(count) - np.log10(n + u)[node]
-            has = np.zeros((len(context), self.width), bool)
-            has[node, column] = True
-            before = (key, count, context, row, nxt, n, u, has)
-            rows.append(row)
-            nexts.append(nxt)
-            contexts.append((offset, context))
-            offset += len(context)
-            # Contexts of this order are where the ones a byte shorter go on to; states of the order before learn it now,
-            # and this order inherits it through its parents below.
-            if k:
-                p_offset, p_ctx = contexts[k - 1]
-                prefix = context >> 8
-                at = np.minimum(np.searchsorted(p_ctx, prefix), len(p_ctx) - 1)
-                fits = p_ctx[at] == prefix
-                nexts[k - 1][at[fits], self.column[context[fits] & 255]] = contexts[k][0] + np.flatnonzero(fits)
-                nxt[:] = nexts[k - 1][parent]
-        self.log, self.next = np.concatenate(rows).ravel(), np.concatenate(nexts).ravel()
-
-    def score(self, documents: list[bytes]) -> np.ndarray:
-        """log10 probability of each spelled document."""
-        if not documents:
-            return np.zeros(0)
-        data, bounds = _stream(documents)
-        steps = -(-len(data) // LANES)
-        lanes = -(-len(data) // steps)
-        padded = np.full(self.order + lanes * steps, self.width - 1, np.int16)
-        padded[: self.order] = self.column[END[0]]
-        padded[self.order : self.order + len(data)] = self.column.astype(np.int16)[data]
-        at = np.arange(lanes) * steps  # a lane starts `order` bytes early, to find its state
-        state = np.zeros(lanes, np.int64)
-        found = np.empty((steps, lanes), np.float32)
-        for step in range(-self.order, steps):
-            cell = state * self.width + padded[at + step + self.order]
-            if step >= 0:
-                found[step] = self.log[cell]
-            state = self.next[cell].astype(np.int64)
-        values = found.T.ravel()[: len(data)]
-        values[(bounds[:-1, None] + np.arange(self.order)).ravel()] = 0
-        return np.add.reduceat(values, bounds[:-1], dtype=np.float64)
-
-
-def _cells(keys: np.ndarray, counts: np.ndarray, order: int) -> int:
-    nodes, width = 0, 0
-    for k in range(order, -1, -1):
-        if k < order:
-            keys, counts = _shorter(keys, counts, k)
-        nodes += len(np.unique(keys >> 8))
-        width = len(keys)
-    return nodes * (width + 1)
-
-
-def _fitting(grams: DataFrame, order: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """The counts of the largest order whose trie stays within the bounds; only then do they reach the driver."""
-    while True:
-        if order == 1 or grams.count() <= MAX_GRAMS:
-            table = grams.toArrow()
-            keys, counts = (table.column(c).to_numpy() for c in ("gram", "n"))
-            by = np.argsort(keys)
-            keys, counts = keys[by], counts[by]
-            while order > 1 and _cells(keys, counts, order) > MAX_CELLS:
-                order -= 1
-                keys, counts = _shorter(keys, counts, order)
-            return keys, counts, order
-        order -= 1
-        shorter = F.col("gram").bitwiseAND(F.lit((1 << 8 * (order + 1)) - 1)).alias("gram")
-        grams = staged(grams.groupBy(shorter).agg(F.sum("n").alias("n")), "grams")
-
-
-_models: dict[str, Model] = {}
-
-
-def _model(shared) -> Model:
-    """The tables, built once per Python worker and broadcast."""
-    name, keys, counts, order = shared.value
-    if name not in _models:
-        _models.clear()
-        _models[name] = Model(keys, counts, order)
-    return _models[name]
+# ---------------------------------------------------------------- the model
+def _longer(c, n, u, log, shorter_c, shorter_n, shorter_u, covered):
+    """log10 probabilities in contexts one byte longer.
+
+    c: a byte's count; n, u: total and distinct bytes of its context; log, shorter_c, shorter_n, shorter_u: the same in
+    the shorter context; covered: counts there of the bytes seen in the longer one.  An escape takes the probability of
+    the shorter context with these bytes excluded: only the share it gave to seen bytes, or to its own escape, changes,
+    because whatever it excludes further down contains them.
+    """
+    log10 = lambda x: np.log10(np.maximum(x, 1))
+    left_u = shorter_u - u
+    left = log10(shorter_n - covered + left_u)
+    seen = log10(shorter_n + shorter_u) - left
+    unseen = np.where(left_u > 0, log10(left_u) - left, 0.0) - log10(shorter_u) + log10(shorter_n + shorter_u)
+    escaped = log + log10(u) - log10(n + u) + np.where(shorter_c > 0, seen, unseen)
+    return np.where(c > 0, log10(c) - log10(n + u), np.where(n > 0, escaped, log))
+
+
+class LowOrders:
+    """Orders 0 and 1: counts of pairs of bytes, and the log10 probability of the second after the first."""
+
+    def __init__(self, pairs: np.ndarray, counts: np.ndarray):
+        """pairs: first byte * 256 + second."""
+        self.c = np.zeros(1 << 16)
+        self.c[pairs] = counts
+        c = self.c.reshape(256, 256)
+        single = c.sum(0)
+        n, u = single.sum(), np.count_nonzero(single)
+        if u:
+            never = math.log10(u / (n + u)) - math.log10(max(256 - u, 1))
+            log = np.where(single > 0, np.log10(np.maximum(single, 1)) - math.log10(n + u), never)
+        else:
+            log = np.full(256, -math.log10(256))
+        seen = c > 0
+        own_n, own_u = c.sum(1, keepdims=True), seen.sum(1, keepdims=True)
+        self.log = _longer(c, own_n, own_u, log, single, n, u, (seen * single).sum(1, keepdims=True)).ravel()
+        self.n, self.u = np.repeat(own_n.ravel(), 256), np.repeat(own_u.ravel(), 256)
+
+
+def predict(keys: np.ndarray, counts: np.ndarray, order: int, low: LowOrders) -> np.ndarray:
+    """log10 probability of the last byte of each string after the others.
+
+    keys: distinct, rising, and with all strings whose contexts end in the same two bytes; counts may be 0.
+    """
+    tables = [(keys, counts)]
+    for k in range(order - 1, 1, -1):
+        tables.append(_summed(tables[-1][0] & ((1 << 8 * (k + 1)) - 1), tables[-1][1]))
+    if order == 1:
+        return low.log[keys]
+    held, shorter = low, np.arange(1 << 16)
+    for k, (key, c) in enumerate(reversed(tables), 2):
+        at = np.searchsorted(shorter, key & ((1 << 8 * k) - 1))
+        node = np.unique(key >> 8, return_inverse=True)[1]
+        n, u = np.bincount(node, c)[node], np.bincount(node, c > 0)[node]
+        covered = np.bincount(node, np.where(c > 0, held.c[at], 0))[node]
+        log = _longer(c, n, u, held.log[at], held.c[at], held.n[at], held.u[at], covered)
+        held, shorter = SimpleNamespace(c=c, n=n, u=u, log=log), key
+    return held.log
+
+
+def log10_of(documents: list[bytes], order: int, keys: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """Sum of its bytes' log10 probabilities for each spelled document; keys: all their strings."""
+    data, bounds = _stream(documents)
+    index = pd.Index(keys)
+    found = np.zeros(len(data), np.float32)
+    for at, some in _slices(data, order):
+        found[at] = logs[index.get_indexer(some)]
+    found[_before(bounds, order)] = 0
+    return np.add.reduceat(found, bounds[:-1], dtype=np.float64)
 
 
 # ---------------------------------------------------------------- passes
@@ -258,20 +189,20 @@ class _Block:
         self.number: defaultdict = defaultdict()
         self.number.default_factory = self.number.__len__
         self.number[END]  # has number 0
-        self.ids, self.held, self.numbers, self.spelled, self.size = [], [], [], [], 0
+        self.ids, self.held, self.numbers, self.size = [], [], [], 0
+        self.spelled: dict[bool, list[bytes]] = {False: [], True: []}  # by held out or not
 
     def add(self, doc_id: str | None, text: str | None, held_out: bool) -> None:
         words = words_of(text)
         self.ids.append(doc_id)
         self.held.append(held_out)
         self.numbers.append(np.fromiter(map(self.number.__getitem__, words), np.uint32, len(words)))
-        if not held_out:
-            self.spelled.append(spell(words, self.order))
+        self.spelled[held_out].append(spell(words, self.order))
         self.size += len(text or "")
 
 
 def _read_blocks(docs: DataFrame, order: int) -> DataFrame:
-    """Rows of three kinds: a block's distinct words, the block in numbers, counts of byte strings."""
+    """Rows of three kinds: a block's distinct words, its distinct byte strings, the block in numbers."""
 
     def rows(kind: int, size: int, **columns) -> pa.RecordBatch:
         arrays = []
@@ -288,7 +219,7 @@ def _read_blocks(docs: DataFrame, order: int) -> DataFrame:
     def run(batches):
         import zstandard
 
-        grams, serial = Grams(order), 0
+        serial = 0
         first = TaskContext.get().partitionId() << 32
 
         def close(block):
@@ -307,13 +238,9 @@ def _read_blocks(docs: DataFrame, order: int) -> DataFrame:
             yield rows(
                 BLOCK, 1, block=[at], ids=[packed], spelled=[spelled], doc_ids=[block.ids], held_out=[block.held], sizes=sizes
             )
-            grams.add(block.spelled)
-            if grams.held() > HELD_GRAMS:
-                yield spill()
-
-        def spill():
-            keys, counts = grams.take()
-            return rows(GRAM, len(keys), block=keys, n=counts.astype(np.int64))
+            (keys, counts), (others, zeros) = (count(block.spelled[out], order) for out in (False, True))
+            keys, counts = _summed(np.concatenate([keys, others]), np.concatenate([counts, 0 * zeros]))
+            yield rows(GRAM, len(keys), block=np.full(len(keys), at), gram=keys, n=counts)
 
         block = _Block(order)
         for batch in batches:
@@ -326,7 +253,6 @@ def _read_blocks(docs: DataFrame, order: int) -> DataFrame:
                         block = _Block(order)
         if block.ids:
             yield from close(block)
-        yield spill()
 
     return docs.mapInArrow(run, DDL)
 
@@ -339,34 +265,51 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER) -> DataFrame:
     _read_blocks(chosen, order).write.option("compression", "zstd").parquet(f"{folder}/blocks")
     read = lambda kind: spark.read.schema(DDL).parquet(f"{folder}/blocks").filter(F.col("kind") == kind)
 
-    grams = read(GRAM).groupBy(F.col("block").alias("gram")).agg(F.sum("n").alias("n"))
-    keys, counts, order = _fitting(staged(grams, "grams", folder), order)
-    shared = spark.sparkContext.broadcast((folder, keys, counts, order))
+    grams = read(GRAM).select("block", "gram", "n")
+    totals = staged(grams.groupBy("gram").agg(F.sum("n").alias("n")), "grams", folder)
+    pair = F.col("gram").bitwiseAND(F.lit(0xFFFF)).alias("pair")
+    pairs = totals.groupBy(pair).agg(F.sum("n").alias("n")).toPandas()  # at most 256 x 256 rows
+    low = LowOrders(pairs["pair"].to_numpy(), pairs["n"].to_numpy())
+
+    def judge(table: pa.Table) -> pa.Table:
+        keys, counts = (table.column(c).to_numpy() for c in ("gram", "n"))
+        keys, counts = _summed(keys, counts)
+        return pa.table({"gram": keys, "log": predict(keys, counts, order, low)})
+
+    context_end = F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF))
+    bag = F.pmod(F.xxhash64(context_end), F.lit(totals.count() // BAG_GRAMS + 1))
+    logs = staged(totals.withColumn("bag", bag).groupBy("bag").applyInArrow(judge, "gram long, log double"), "logs", folder)
 
     by_word = Window.partitionBy("word").orderBy("block")
     words = read(WORD).select("block", "local", "word", "n")
     words = words.select(
         "block",
-        "local",
-        F.sum("n").over(by_word.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"),
+        F.lit(WORD).alias("kind"),
+        F.col("local").cast("long").alias("key"),
+        F.sum("n").over(by_word.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).cast("double").alias("value"),
         (F.row_number().over(by_word) == 1).alias("first"),
     )
 
-    def finish(words: pa.Table, block: pa.Table) -> pa.Table:
+    known_grams = grams.join(logs, "gram").select(
+        "block", F.lit(GRAM).alias("kind"), F.col("gram").alias("key"), F.col("log").alias("value"), F.lit(False).alias("first")
+    )
+
+    def finish(known: pa.Table, block: pa.Table) -> pa.Table:
         import zstandard
 
         unpack = zstandard.ZstdDecompressor().decompress
-        by = np.argsort(words.column("local").to_numpy())
-        total, first = (words.column(c).to_numpy()[by] for c in ("total", "first"))
+        kind, key, value, first = (known.column(c).to_numpy() for c in ("kind", "key", "value", "first"))
+        by = np.flatnonzero(kind == WORD)
+        by = by[np.argsort(key[by])]
+        total, first, gram = value[by], first[by], kind == GRAM
         row = block.to_pylist()[0]
         numbers = np.frombuffer(unpack(row["ids"]), np.uint32)
         spelled = [END, *unpack(row["spelled"]).split(END)]
-        model = _model(shared)
         sizes = np.array(row["sizes"], np.int64)
         ends = np.cumsum(sizes)
-        log, known = np.log10(total + 1.0), (total > 0).astype(np.int64)
-        running = np.concatenate([[0.0], np.cumsum(log[numbers])]), np.concatenate([[0], np.cumsum(known[numbers])])
-        documents = [spell([spelled[i] for i in numbers[a:b].tolist()], model.order) for a, b in zip(ends - sizes, ends)]
+        log, met = np.log10(total + 1.0), (total > 0).astype(np.int64)
+        running = np.concatenate([[0.0], np.cumsum(log[numbers])]), np.concatenate([[0], np.cumsum(met[numbers])])
+        documents = [spell([spelled[i] for i in numbers[a:b].tolist()], order) for a, b in zip(ends - sizes, ends)]
         new = np.zeros(len(sizes), np.int64)
         new[0] = np.count_nonzero((total > 0) & first.astype(bool))
         return pa.table(
@@ -374,16 +317,16 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER) -> DataFrame:
                 "doc_id": pa.array(row["doc_ids"], pa.string()),
                 "held_out": pa.array(row["held_out"], pa.bool_()),
                 "n_tokens": sizes + 1,
-                "n_known": running[1][ends] - running[1][ends - sizes] + known[0],
+                "n_known": running[1][ends] - running[1][ends - sizes] + met[0],
                 "base": running[0][ends] - running[0][ends - sizes] + log[0],
-                "score": model.score(documents),
+                "score": log10_of(documents, order, key[gram], value[gram]),
                 "new_words": new,
             }
         )
 
     blocks = read(BLOCK).select("block", "ids", "spelled", "doc_ids", "held_out", "sizes")
     result = "doc_id string, held_out boolean, n_tokens long, n_known long, base double, score double, new_words long"
-    scored = words.groupBy("block").cogroup(blocks.groupBy("block")).applyInArrow(finish, result)
+    scored = words.unionAll(known_grams).groupBy("block").cogroup(blocks.groupBy("block")).applyInArrow(finish, result)
     scored = staged(scored, "scored", folder)
     sums = scored.agg(F.sum(F.when(~F.col("held_out"), F.col("n_tokens"))).alias("n"), F.sum("new_words").alias("v")).first()
     n, v = sums["n"] or 0, sums["v"] or 0

@@ -214,25 +214,35 @@ def ppm_by_hand(training, order):
     return score
 
 
-@pytest.mark.parametrize("order", [1, 2, 4])
-def test_tables_equal_the_definition(order):
+def predicted(training, asked, order):
+    """log10 probabilities, by string, of what stands in training documents or in others asked for."""
+    keys, counts = ppm.count([ppm.spell(t, order) for t in training], order)
+    others, zeros = ppm.count([ppm.spell(t, order) for t in asked], order)
+    keys, counts = ppm._summed(np.concatenate([keys, others]), np.concatenate([counts, 0 * zeros]))
+    pairs, n = ppm._summed(keys & 0xFFFF, counts)
+    return keys, ppm.predict(keys, counts, order, ppm.LowOrders(pairs, n))
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_probabilities_equal_the_definition(order):
     training = [b"the cat sat on the mat".split(), b"the rat".split(), [], b"abracadabra abrac".split()]
-    grams = ppm.Grams(order)
-    for words in training:
-        grams.add([ppm.spell(words, order)])
-    model = ppm.Model(*grams.take(), order)
-    by_hand = ppm_by_hand(training, order)
     texts = [*training, b"the zebra sat".split(), [b"\xff\xfe"], b"mat on abra".split()]
-    assert np.allclose(model.score([ppm.spell(t, order) for t in texts]), [by_hand(t) for t in texts], rtol=1e-5)
+    keys, logs = predicted(training, texts, order)
+    by_hand = ppm_by_hand(training, order)
+    found = ppm.log10_of([ppm.spell(t, order) for t in texts], order, keys, logs)
+    assert np.allclose(found, [by_hand(t) for t in texts], rtol=1e-5)
 
 
 def test_probabilities_sum_to_one(documents):
-    grams = ppm.Grams(3)
-    grams.add([ppm.spell(ppm.words_of(r.text), 3) for r in documents.limit(20).collect()])
-    model = ppm.Model(*grams.take(), 3)
-    p = 10.0 ** model.log.reshape(-1, model.width).astype(float)
-    p[:, -1] *= 256 - (model.width - 1)
-    assert np.allclose(p.sum(1), 1, atol=1e-4)
+    training = [ppm.words_of(r.text) for r in documents.limit(20).collect()]
+    keys, counts = ppm.count([ppm.spell(t, 3) for t in training], 3)
+    contexts = np.append(np.unique(keys >> 8)[::50], [0x616161, 0x7A7A7A])
+    every = (contexts[:, None] << 8 | np.arange(256)).ravel()
+    asked, n = ppm._summed(np.concatenate([keys, every]), np.concatenate([counts, 0 * every]))
+    pairs, total = ppm._summed(asked & 0xFFFF, n)
+    logs = ppm.predict(asked, n, 3, ppm.LowOrders(pairs, total))
+    p = 10.0 ** logs[np.searchsorted(asked, every)].reshape(-1, 256)
+    assert np.allclose(p.sum(1), 1, atol=1e-9)
 
 
 def base_by_hand(rows):
@@ -247,8 +257,9 @@ def base_by_hand(rows):
         yield doc_id, len(words), sum(w in counts for w in words), total, round(base, 5)
 
 
-@pytest.mark.parametrize("block", [8 << 20, 3000])
+@pytest.mark.parametrize("block", [16 << 20, 3000])
 def test_scores_and_base(spark, documents, odd, monkeypatch, block):
+    monkeypatch.setattr(ppm, "BLOCK_CHARS", block)
     df = documents.select("doc_id", "text").limit(60).unionAll(odd.select("doc_id", "text"))
     rows = [(r.doc_id, r.text) for r in df.collect()]
     held_out = queries.fold("doc_id", 7) == 2
@@ -258,10 +269,20 @@ def test_scores_and_base(spark, documents, odd, monkeypatch, block):
     assert all(r.score < 0 for r in found)
 
 
-def test_model_order_falls_to_fit(spark, documents, monkeypatch):
-    monkeypatch.setattr(ppm, "MAX_GRAMS", 500)
-    df = documents.select("doc_id", "text").limit(30)
-    assert all(-1e6 < r.score < 0 for r in ppm.score(df, queries.fold("doc_id", 7) == 2).collect())
+@pytest.mark.parametrize("block,bag", [(16 << 20, 100_000), (3000, 40)])
+def test_model_scores_equal_the_definition(spark, documents, odd, monkeypatch, block, bag):
+    monkeypatch.setattr(ppm, "BLOCK_CHARS", block)
+    monkeypatch.setattr(ppm, "BAG_GRAMS", bag)
+    df = documents.select("doc_id", "text").filter("length(text) < 3000").limit(30).unionAll(odd.select("doc_id", "text"))
+    rows = [(r.doc_id, ppm.words_of(r.text)) for r in df.collect()]
+    out = lambda doc_id: zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % 7 == 2
+    by_hand = ppm_by_hand([words for doc_id, words in rows if not out(doc_id)], ppm.ORDER)
+    found = ppm.score(df, queries.fold("doc_id", 7) == 2).collect()
+    key = lambda r: (str(r[0]), r[1])
+    found = sorted(((r.doc_id, r.score) for r in found), key=key)
+    expected = sorted(((doc_id, by_hand(words)) for doc_id, words in rows), key=key)
+    assert [f[0] for f in found] == [e[0] for e in expected]
+    assert np.allclose([f[1] for f in found], [e[1] for e in expected], rtol=1e-5)
 
 
 def test_no_training_documents(spark, odd):
