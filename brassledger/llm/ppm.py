@@ -44,6 +44,7 @@ from brassledger.session import shared_folder, staged
 ORDER = 4
 BLOCK_CHARS = 16 << 20
 SLICE = 1 << 21  # bytes whose strings are sorted or looked up at a time
+BATCH_ROWS = 1 << 15
 BAG_GRAMS = 100_000  # distinct strings in one task of the model, on average
 END = b"\n"  # no word holds it
 
@@ -105,7 +106,11 @@ def count(documents: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     data, bounds = _stream(documents)
     counted = np.ones(len(data), bool)
     counted[_before(bounds, order)] = False
-    parts = [_summed(keys[counted[at]], np.ones(counted[at].sum(), np.int64)) for at, keys in _slices(data, order)]
+    parts = []
+    for at, keys in _slices(data, order):
+        keys = np.sort(keys[counted[at]])
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+        parts.append((keys[first], np.diff(np.append(first, len(keys)))))
     return _summed(*(np.concatenate(x) for x in zip(*parts)))
 
 
@@ -190,7 +195,8 @@ class _Block:
         self.number.default_factory = self.number.__len__
         self.number[END]  # has number 0
         self.ids, self.held, self.numbers, self.size = [], [], [], 0
-        self.spelled: dict[bool, list[bytes]] = {False: [], True: []}  # by held out or not
+        self.spelled: dict[bool, list[bytes]] = {False: [], True: []}  # by held out or not, until counted
+        self.loose, self.grams = 0, []
 
     def add(self, doc_id: str | None, text: str | None, held_out: bool) -> None:
         words = words_of(text)
@@ -199,12 +205,28 @@ class _Block:
         self.numbers.append(np.fromiter(map(self.number.__getitem__, words), np.uint32, len(words)))
         self.spelled[held_out].append(spell(words, self.order))
         self.size += len(text or "")
+        self.loose += len(self.spelled[held_out][-1])
+        if self.loose >= SLICE:
+            self.count()
+
+    def count(self) -> None:
+        for held_out, documents in self.spelled.items():
+            keys, counts = count(documents, self.order)
+            self.grams.append((keys, 0 * counts if held_out else counts))
+            documents.clear()
+        self.loose = 0
+
+    def take_grams(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct strings of all its documents, and their counts in training documents."""
+        self.count()
+        return _summed(*(np.concatenate(x) for x in zip(*self.grams)))
 
 
 def _read_blocks(docs: DataFrame, order: int) -> DataFrame:
     """Rows of three kinds: a block's distinct words, its distinct byte strings, the block in numbers."""
 
-    def rows(kind: int, size: int, **columns) -> pa.RecordBatch:
+    def rows(kind: int, size: int, **columns):
+        """Batches of at most BATCH_ROWS rows; columns not named are null."""
         arrays = []
         for field in SCHEMA:
             if field.name == "kind":
@@ -214,7 +236,8 @@ def _read_blocks(docs: DataFrame, order: int) -> DataFrame:
                 arrays.append(value if isinstance(value, pa.Array) else pa.array(value, field.type))
             else:
                 arrays.append(pa.nulls(size, field.type))
-        return pa.RecordBatch.from_arrays(arrays, schema=SCHEMA)
+        batch = pa.RecordBatch.from_arrays(arrays, schema=SCHEMA)
+        return (batch.slice(at, BATCH_ROWS) for at in range(0, size, BATCH_ROWS))
 
     def run(batches):
         import zstandard
@@ -226,21 +249,20 @@ def _read_blocks(docs: DataFrame, order: int) -> DataFrame:
             nonlocal serial
             n, at = len(block.number), first + serial
             serial += 1
+            keys, counts = block.take_grams()
+            yield from rows(GRAM, len(keys), block=np.full(len(keys), at), gram=keys, n=counts)
             trained = [x for x, out in zip(block.numbers, block.held) if not out]
             counts = np.bincount(np.concatenate(trained), minlength=n) if trained else np.zeros(n, int)
             counts[0] = len(trained)
             words = list(block.number)
             local = np.arange(n, dtype=np.int32)
-            yield rows(WORD, n, block=np.full(n, at), local=local, word=words, n=counts.astype(np.int64))
+            yield from rows(WORD, n, block=np.full(n, at), local=local, word=words, n=counts.astype(np.int64))
             pack = zstandard.ZstdCompressor(level=1).compress
             packed, spelled = pack(np.concatenate(block.numbers).tobytes()), pack(END.join(words[1:]))
             sizes = [[len(x) for x in block.numbers]]
-            yield rows(
+            yield from rows(
                 BLOCK, 1, block=[at], ids=[packed], spelled=[spelled], doc_ids=[block.ids], held_out=[block.held], sizes=sizes
             )
-            (keys, counts), (others, zeros) = (count(block.spelled[out], order) for out in (False, True))
-            keys, counts = _summed(np.concatenate([keys, others]), np.concatenate([counts, 0 * zeros]))
-            yield rows(GRAM, len(keys), block=np.full(len(keys), at), gram=keys, n=counts)
 
         block = _Block(order)
         for batch in batches:
