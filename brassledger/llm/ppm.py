@@ -12,14 +12,15 @@ word borders; before a document stand end bytes.
   below order 0 the bytes never seen share what is left equally.  Scores are pretrained: nothing is learned from the
   document being scored.
 * The trie never stands in one place.  The probability of a byte depends on its string alone, so it is found once per
-  distinct string: strings whose contexts end in the same two bytes meet in one task (256^3 at most), with every context of order
-  2 and more they need; orders 0 and 1 are one table of 256 x 256 counts that every task gets.  The probabilities go back to
-  the blocks that hold the string: a string meets as many rows as there are such blocks, never its occurrences.
+  distinct string: strings whose contexts end in the same two bytes (256^3 at most) meet in one task, with every context
+  of order 2 and more they need; orders 0 and 1 are one table of 256 x 256 counts that every task gets.  The
+  probabilities go back to the blocks that hold the string: a string meets as many rows as there are such blocks, never
+  its occurrences.
 
 The base score needs the training count of every word of every document.  Tasks number the distinct words of a block of
-documents and write the block as numbers; counts are summed per word over blocks, in one
-shuffle by word, and go back to their blocks in one shuffle by block, where the documents are scored.  A word meets as
-many rows as there are blocks that hold it, never its occurrences, and texts are read once.
+documents and write the block as numbers; counts are summed per word over blocks, in one shuffle by word, and go back to
+their blocks in one shuffle by block, where the documents are scored.  A word meets as many rows as there are blocks
+that hold it, never its occurrences, and texts are read once.
 
 Nulls and odd rows: a null text is an empty one, a single end; rows with a null id belong to training; rows with
 repeated ids are documents of their own; an empty table gives no rows; without training documents the model is uniform
