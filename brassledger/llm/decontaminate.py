@@ -3,11 +3,14 @@
 Texts are words: lower case, ASCII punctuation and blanks between them.  A document is contaminated by an item of n
 words if some window of it is within ``floor(edits * n)`` word edits (insert, delete, replace) of the whole item.
 
-For each length of items, with windows of that length (rare words are looked up for classes of lengths):
+For each length of items (rare words are looked up for classes of lengths):
 
 1. Rare words.  If k edits are allowed, r of the k + r rarest words of an item must stand in a window within reach.
    So only places are looked at where r rare words of the class stand close enough, and where n - k of the words in
    reach are words of the class at all.  This loses nothing.
+
+Items of up to `WALKED` words, where the walks reach their target for every kind of edits:
+
 2. CGK embedding.  A random walk reads the words of a window: each step writes the word it stands on and moves on or
    stays by a random bit of (step, word).  The same walk over an edited text falls back into step soon after an edit,
    so a small edit distance becomes a small Hamming distance between what is written.
@@ -16,10 +19,17 @@ For each length of items, with windows of that length (rare words are looked up
    equal keys always.
 4. Verification.  Items met in a bucket are compared by the exact edit distance, so nothing false is reported.
 
+Walks drift apart with the number of edits, so longer items are found without them, and none is lost:
+
+2. Rare words of each item, looked up one by one: r of its own k + r rarest words stand within its reach.
+3. Words of each item: some window there has n - k words that are words of the item.
+4. Edit distance of the item to all windows of such a region at once, so nothing false is reported.
+
 All this is one narrow pass over the documents; nothing is shuffled, so passages that many documents share do no harm.
 The items go to the tasks in shards of bounded size; a larger benchmark means further passes, not larger tasks.
 
-`repeats` for a wanted recall is given by `repeats_for`; tests measure the recall against brute force.
+`repeats` for a wanted recall is given by `repeats_for`; tests measure the recall against brute force, and by length
+and kind of edits at the full budget.
 
 Nulls and odd rows: null and empty texts hold nothing; items of fewer than `min_words` words are not searched, because
 such words prove nothing; rows with repeated or null ids are judged each; equal items are all reported; an empty table
@@ -41,6 +51,9 @@ EDITS = 0.2  # edits allowed per word of an item
 MIN_WORDS = 5
 SAMPLED = 2
 RECALL = 0.99
+WALKED = 12  # words of the longest item that is looked up by walks
+PAIRS = 1 << 21  # (item, place of a rare word) held at a time
+CELLS = 1 << 18  # of edit distances held at a time
 SHARD_WORDS = 1_000_000  # of the benchmark, in one pass over the documents
 _BLANKED = bytes(32 if chr(b) in string.punctuation or b < 32 else b for b in range(256))
 _SEED = 20_240_607
@@ -78,20 +91,20 @@ class LengthClass:
         self.low, self.reach = low, low  # reach: words of the longest window within the edits
         self.needed = max(1, low // 4)
         self.words, self.rare = np.zeros(words, bool), np.zeros(words, bool)
-        self.walks: list[Walks] = []
+        self.lengths: list[Walks | Exact] = []
 
-    def starts(self, words: np.ndarray) -> np.ndarray:
-        """Places where a window can begin: with a word of an item, and with enough rare words in reach."""
+    def starts(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of rare words; places where a window can begin: with a word of an item, and with enough of them in reach."""
         at = np.flatnonzero(self.rare[words])
         if len(at) < self.needed:
-            return at[:0]
+            return at, at[:0]
         first, last = at[: len(at) - self.needed + 1], at[self.needed - 1 :]
         low = np.maximum(last - self.reach + 1, 0)
         fits = low <= first
         low, size = low[fits], (first - low)[fits] + 1
         places = np.repeat(low - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
         places = np.unique(places)
-        return places[self.words[words[places]]]
+        return at, places[self.words[words[places]]]
 
 
 class Walks:
@@ -136,6 +149,101 @@ class Walks:
                         yield a + hit, item
 
 
+def _runs(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... of each run, one run after the other."""
+    return np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
+class Exact:
+    """The items of n words with their rare words; `windows` finds every place within reach of an item."""
+
+    def __init__(self, items: list[np.ndarray], members: list[int], most: int, needed: int, rarity: np.ndarray):
+        self.n, self.most, self.needed, self.reach = len(items[0]), most, needed, len(items[0]) + most
+        self.items, self.members = np.array(items), np.array(members)
+        rows, self.words = np.arange(len(items))[:, None], len(rarity)
+        rarest = np.argsort(rarity[self.items], axis=1, kind="stable")[:, : most + needed]
+        pairs = np.unique(np.take_along_axis(self.items, rarest, 1) * len(items) + rows)
+        self.rare, self.rare_of = pairs // len(items), pairs % len(items)
+        self.known = np.unique(rows * self.words + self.items)
+
+    def windows(self, words: np.ndarray, at: np.ndarray, starts: np.ndarray, bounds: np.ndarray):
+        """(item, edits, start) of the best window of each region; `at`: places of rare words, `starts`: of windows."""
+        near = np.searchsorted(starts, at, "right") - 1
+        at = at[(near >= 0) & (starts[np.maximum(near, 0)] > at - self.reach)]
+        low, high = np.searchsorted(self.rare, words[at], "left"), np.searchsorted(self.rare, words[at], "right")
+        at, low, size = at[high > low], low[high > low], (high - low)[high > low]
+        total, a = np.cumsum(size), 0
+        while a < len(at):  # what stands within reach is whole in one of two parts that follow each other
+            b = int(np.searchsorted(total, total[a] - size[a] + PAIRS, "right"))
+            b = min(max(b, a + 2 * self.reach), len(at))
+            regions = self._regions(self.rare_of[_runs(low[a:b], size[a:b])], np.repeat(at[a:b], size[a:b]), bounds)
+            order = np.argsort(regions[2] - regions[1], kind="stable")
+            width, i = (regions[2] - regions[1])[order] + self.reach + 1, 0
+            while i < len(order):
+                j = i + 1
+                while j < len(order) and (j - i + 1) * width[j] <= CELLS:
+                    j += 1
+                yield from self._compare(words, *(x[order[i:j]] for x in regions))
+                i = j
+            if b == len(at):
+                break
+            a = int(np.searchsorted(at, at[b - 1] - self.reach, "right"))
+
+    def _regions(self, item: np.ndarray, place: np.ndarray, bounds: np.ndarray):
+        """(item, first start, last start, end of the text) where enough rare words of an item stand within its reach."""
+        order = np.lexsort((place, item))
+        item, place, more = item[order], place[order], self.needed - 1
+        text = np.searchsorted(bounds, place, "right") - 1
+        i = np.arange(max(len(item) - more, 0))
+        i = i[(item[i + more] == item[i]) & (text[i + more] == text[i]) & (place[i + more] - place[i] < self.reach)]
+        low, high = np.maximum(place[i + more] - self.reach + 1, bounds[text[i]]), place[i]
+        item, end = item[i], bounds[text[i] + 1]
+        fresh = np.ones(len(i), bool)
+        fresh[1:] = (item[1:] != item[:-1]) | (low[1:] > high[:-1] + 1)
+        first = np.flatnonzero(fresh)
+        low, high = low[first], high[np.append(first[1:], len(i)) - 1] if len(i) else high
+        # Long regions are cut, so that a repetitive text is compared in pieces of bounded size.
+        step = 4 * self.n
+        pieces = (high - low) // step + 1
+        lows = np.repeat(low, pieces) + step * _runs(np.zeros_like(pieces), pieces)
+        return np.repeat(item[first], pieces), lows, np.minimum(lows + step - 1, np.repeat(high, pieces)), np.repeat(end[first], pieces)
+
+    def _compare(self, words, item, low, high, end):
+        last = (high - low)[:, None]  # of the starts, from the beginning of a region
+        columns = np.arange(int(last.max()) + self.reach)
+        place = low[:, None] + columns
+        text = np.where(place < end[:, None], words[np.minimum(place, len(words) - 1)], 0)
+        key = item[:, None] * self.words + text
+        known = self.known[np.minimum(np.searchsorted(self.known, key), len(self.known) - 1)] == key
+        begins = known & (columns <= last)
+        seen = np.zeros((len(item), len(columns) + self.reach + 1), np.int32)
+        seen[:, 1 : len(columns) + 1] = np.cumsum(known, axis=1)
+        seen[:, len(columns) + 1 :] = seen[:, len(columns), None]
+        begins &= seen[:, self.reach : -1] - seen[:, : len(columns)] >= self.n - self.most
+        some = np.flatnonzero(begins.any(1))
+        text, begins, item, low = text[some, ::-1], begins[some], item[some], low[some]
+        # From the back: the last row holds, per start, the least edits of the item to a window that begins there.
+        steps = np.arange(len(columns) + 1, dtype=np.int32)
+        row = np.zeros((len(some), len(steps)), np.int32)
+        for i in range(1, self.n + 1):
+            fresh = np.empty_like(row)
+            fresh[:, 0] = i
+            np.minimum(row[:, 1:] + 1, row[:, :-1] + (text != self.items[item, -i][:, None]), out=fresh[:, 1:])
+            fresh -= steps
+            row = np.minimum.accumulate(fresh, axis=1) + steps
+            if i % 8 == 0 or i == self.n:
+                open_ = row.min(1) <= self.most
+                if not open_.all():
+                    row, text, begins, item, low = row[open_], text[open_], begins[open_], item[open_], low[open_]
+                if not len(item):
+                    return
+        edits = np.where(begins, row[:, :0:-1], self.most + 1)
+        best = edits.argmin(1)
+        least = edits[np.arange(len(item)), best]
+        hit = least <= self.most
+        yield from zip(self.members[item[hit]].tolist(), least[hit].tolist(), (low + best)[hit].tolist())
+
+
 class Index:
     """The items of one shard, by length class and bucket; `search` finds them in batches of documents."""
 
@@ -166,7 +274,11 @@ class Index:
                 w = self.items[k][1]
                 c.words[w] = True
                 c.rare[w[np.argsort(rarity[w], kind="stable")[: int(edits * n) + c.needed]]] = True
-            c.walks.append(Walks(rng, [self.items[k][1] for k in members], members, repeats))
+            own = [self.items[k][1] for k in members]
+            if n <= WALKED:
+                c.lengths.append(Walks(rng, own, members, repeats))
+            else:
+                c.lengths.append(Exact(own, members, int(edits * n), c.needed, rarity))
 
     def search(self, texts: list[str | None]) -> list[tuple[int, int, int, int]]:
         """(text, item, edits, first word) of the best window found for each text and item."""
@@ -179,17 +291,25 @@ class Index:
         words, bounds = np.array([*ids, 0], np.int64), np.array(bounds)
         found: dict[tuple[int, int], tuple[int, int]] = {}
         for c in self.classes:
-            starts = c.starts(words)
+            rare, starts = c.starts(words)
             text_of = np.searchsorted(bounds, starts, "right") - 1
             ends = bounds[text_of + 1]
             if not len(starts):
                 continue
             known = np.concatenate([[0], np.cumsum(c.words[words])])
-            for walks in c.walks:
-                most = int(self.edits * walks.n)
-                full = known[np.minimum(starts + walks.n + most, ends)] - known[starts] >= walks.n - most
+            for same in c.lengths:
+                most = int(self.edits * same.n)
+                full = known[np.minimum(starts + same.n + most, ends)] - known[starts] >= same.n - most
                 at = np.flatnonzero(full)
-                for hit, item in set(walks.candidates(words, starts[at], ends[at])):
+                if not len(at):
+                    continue
+                if isinstance(same, Exact):
+                    for item, edits, start in same.windows(words, rare, starts[at], bounds):
+                        key = int(np.searchsorted(bounds, start, "right") - 1), item
+                        if (edits, start) < found.get(key, (most + 1, 0)):
+                            found[key] = (edits, start)
+                    continue
+                for hit, item in set(same.candidates(words, starts[at], ends[at])):
                     hit = at[hit]
                     self._verify(words, int(starts[hit]), int(ends[hit]), int(text_of[hit]), item, found)
         return [(t, k, edits, int(start - bounds[t])) for (t, k), (edits, start) in sorted(found.items())]

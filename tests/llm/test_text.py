@@ -114,6 +114,64 @@ def test_recall_against_brute_force(spark, planted):
     assert {r.doc_id for r in clean.collect()} == {d for d, _ in docs} - {d for d, _ in found}
 
 
+def edited_as(rng, kind, words, vocabulary, edits):
+    words = list(words)
+    for _ in range(edits):
+        at, how = int(rng.integers(0, len(words))), kind
+        if kind == "mixed":
+            how = str(rng.choice(["replace", "insert", "delete"]))
+        if how == "replace":
+            words[at] = str(rng.choice(vocabulary))
+        elif how == "insert":
+            words.insert(at, str(rng.choice(vocabulary)))
+        else:
+            del words[at]
+    return words
+
+
+def recall_at_full_budget(n, kind, trials):
+    rng = np.random.default_rng(n)
+    vocabulary = [f"v{i}" for i in range(3000)]
+    items = [(i, rng.choice(vocabulary, n).tolist()) for i in range(trials)]
+    around = lambda: rng.choice(vocabulary, 20).tolist()
+    docs = [[*around(), *edited_as(rng, kind, w, vocabulary, int(0.2 * n)), *around()] for _, w in items]
+    repeats = decontaminate.repeats_for(decontaminate.RECALL)
+    index = decontaminate.Index([(i, " ".join(w)) for i, w in items], 0.2, repeats, 5)
+    found = {(t, index.items[k][0]) for t, k, _, _ in index.search([" ".join(w) for w in docs])}
+    return sum((i, i) in found for i in range(trials)) / trials
+
+
+@pytest.mark.parametrize("kind", ["mixed", "insert", "delete", "replace"])
+@pytest.mark.parametrize("n", [5, 10, 12, 13, 40, 100, 200, 300])
+def test_recall_at_the_full_budget_by_length(n, kind):
+    recall = recall_at_full_budget(n, kind, 60)
+    assert recall >= (decontaminate.RECALL if n <= decontaminate.WALKED else 1)
+
+
+@pytest.mark.parametrize("seed, cells, pairs", [(0, 1 << 18, 1 << 21), (1, 300, 1), (2, 300, 50)])
+def test_longer_items_equal_brute_force(monkeypatch, seed, cells, pairs):
+    """Few words, so that much is alike, and pieces cut small: every place, with its least edits and first word."""
+    monkeypatch.setattr(decontaminate, "CELLS", cells)
+    monkeypatch.setattr(decontaminate, "PAIRS", pairs)
+    rng = np.random.default_rng(seed)
+    vocabulary = [f"v{i}" for i in range(12)]
+    items = [rng.choice(vocabulary, rng.integers(13, 30)).tolist() for _ in range(6)]
+    docs = [[]]
+    for n in range(12):
+        copy = edited(rng, items[n % 6], vocabulary, int(rng.integers(0, 6)))
+        docs.append([*rng.choice(vocabulary, rng.integers(0, 30)).tolist(), *copy, *rng.choice(vocabulary, 9).tolist()])
+    index = decontaminate.Index([(i, " ".join(w)) for i, w in enumerate(items)], 0.2, 17, 5)
+    found = {(t, index.items[k][0]): (e, s) for t, k, e, s in index.search([" ".join(w) for w in docs])}
+    expected = {}
+    for t, words in enumerate(docs):
+        for i, item in enumerate(items):
+            most = int(0.2 * len(item))
+            at = [(edits_by_hand(item, words[s : s + len(item) + most]), s) for s, w in enumerate(words) if w in item]
+            if min(at, default=(most + 1,))[0] <= most:
+                expected[t, i] = min(at)
+    assert found == expected and len(found) >= 6
+
+
 def test_shards_find_the_same(spark, planted, monkeypatch):
     items, docs = planted
     bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
