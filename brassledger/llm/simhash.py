@@ -62,18 +62,19 @@ def fingerprint(text: str | None, words: int = 4) -> int:
     return sum(1 << b for b in np.flatnonzero(2 * votes > len(starts)).tolist())
 
 
-def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
-    """(doc_id long, fp long) per row; fp holds the bits as a signed number."""
+def fingerprints(docs: DataFrame, words: int = 4, row: str | None = None) -> DataFrame:
+    """(doc_id long, fp long) per row, and its number if a column `row` is named; fp holds the bits as a signed number."""
+    numbers = [row] if row else []
 
     def run(frames):
         for frame in frames:
             bits = np.array([fingerprint(t, words) for t in frame["text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "fp": bits})
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "fp": bits, **{c: frame[c] for c in numbers}})
 
     # Ids pass pandas as text: there, whole numbers beside nulls would become floats.
-    chosen = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), "text")
-    found = chosen.mapInPandas(run, "doc_id string, fp long")
-    return found.select(F.col("doc_id").cast("long").alias("doc_id"), "fp")
+    chosen = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), "text", *numbers)
+    found = chosen.mapInPandas(run, ", ".join(["doc_id string, fp long", *[f"{c} long" for c in numbers]]))
+    return found.select(F.col("doc_id").cast("long").alias("doc_id"), "fp", *numbers)
 
 
 # ---------------------------------------------------------------- anchors
@@ -185,32 +186,39 @@ def links(nodes: DataFrame, n: int, distance: int, parts: int) -> DataFrame:
     return tasks.groupBy("bag", "bi", "bj").applyInPandas(compare, "a long, b long")
 
 
+def _rooted(nodes: DataFrame, distance: int) -> DataFrame:
+    """Distinct fingerprints `fp` with the `root` of their component."""
+    n = nodes.count()
+    roots = connected(links(nodes, n, distance, parts_for(n, distance)))
+    roots = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    return staged(roots.withColumn("root", F.coalesce("root", "fp")), "fingerprint-roots")
+
+
 def components(docs: DataFrame, distance: int = 4, words: int = 4) -> DataFrame:
     """Per document row: doc_id, fp, component_id (the smallest id reachable over links, itself included)."""
     prints = staged(fingerprints(docs, words), "fingerprints")
     nodes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    n = nodes.count()
-    roots = connected(links(nodes, n, distance, parts_for(n, distance)))
-    roots = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    roots = staged(roots.select("fp", "least", F.coalesce("root", "fp").alias("root")), "fingerprint-roots")
+    roots = _rooted(nodes, distance)
     least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
     named = roots.join(least, "root").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, distance: int = 4, words: int = 4) -> DataFrame:
-    """The documents whose id is the smallest of their component, in their own columns.
+    """Of each component the row of the smallest id, in its own columns; decided by row, never by id.
 
-    Rows that share an id count as one document, and one of them stays.  Rows
-    without an id cannot be named in a decision: they stay as they are.
+    Rows are numbered as they are staged: of rows that share an id only those
+    of one component compete, and the first of them stays.  Rows without an id
+    compete among themselves, so of each component one of them stays, too.
     """
-    found = components(docs, distance, words)
-    gone = found.filter(F.col("doc_id") > F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
-    # Ids on several rows are rare; only their rows are shuffled.
-    again = found.groupBy(F.col("doc_id").alias("_again")).count().filter("count > 1 and _again is not null")
-    again = staged(again.select("_again"), "repeated-ids")
-    if again.isEmpty():
-        return kept
-    same = F.col("doc_id").cast("long") == F.col("_again")
-    return kept.join(again, same, "left_anti").unionAll(kept.join(again, same, "left_semi").dropDuplicates(["doc_id"]))
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
+    docs = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered-documents")
+    prints = staged(fingerprints(docs, words, row), "fingerprints")
+    first = F.min(F.struct("doc_id", row)).alias("first")
+    own = staged(prints.groupBy("fp", F.isnull("doc_id").alias("unnamed")).agg(first), "first-rows")
+    nodes = staged(own.select("fp").distinct(), "distinct-fingerprints")
+    firsts = own.join(_rooted(nodes, distance), "fp").groupBy("root", "unnamed").agg(F.min("first").alias("first"))
+    gone = prints.select(row).join(firsts.select(F.col("first")[row].alias(row)), row, "left_anti")
+    return docs.join(staged(gone, "gone-rows"), row, "left_anti").drop(row)

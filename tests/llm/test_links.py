@@ -6,6 +6,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from brassledger.llm import embedding_dedup, graph, simhash
 from brassledger.session import ship_package
@@ -227,3 +228,14 @@ def test_repeated_and_missing_ids(spark):
     assert sorted((r.doc_id for r in simhash.keep_first(df).collect()), key=str) == [1, None, None]
     none = df.limit(0)
     assert simhash.components(none).count() == 0 and simhash.keep_first(none).count() == 0
+
+
+def test_rows_are_kept_by_component_and_not_by_id(spark):
+    a, b, c = "a b c d e", "other words entirely here now", "third text of some more words"
+    rows = [(1, a), (5, a), (5, b), (5, c), (5, c), (7, b), (None, c), (None, "x y z"), (None, "x y z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_row", F.lit("own")).repartition(3)
+    kept = simhash.keep_first(df)
+    assert kept.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [(1, a), (5, b), (5, c), (None, c), (None, "x y z")], key=str
+    )
