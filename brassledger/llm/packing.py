@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from brassledger.llm.tokens import batches, encoder
 from brassledger.session import staged
 
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECES = "doc_id string, piece int, start long, length long, ids_crc32 long"
 LANE_ROWS = 50_000  # pieces of one length that one window group ranks
 CHUNK = 4096  # slots that one row of the spread plan stands for
 
@@ -51,10 +51,11 @@ def tokenise(docs: DataFrame, path: str, end_id: int, capacity: int) -> DataFram
                     ids = np.concatenate([np.frombuffer(ids, model.dtype).astype("<u4"), end])
                     for k, (start, n) in enumerate(cut(len(ids), capacity)):
                         rows.append((doc_id, k, start, n, zlib.crc32(ids[start : start + n].tobytes())))
-                out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-                yield out.astype({"doc_id": "Int64"})
+                yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, PIECES)
+    # Ids pass pandas as text: there, whole numbers beside nulls would become floats.
+    chosen = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), "text")
+    return chosen.mapInPandas(run, PIECES).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def best_fit(histogram: dict[int, int], capacity: int) -> list[tuple[int, tuple | None]]:

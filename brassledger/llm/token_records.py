@@ -72,6 +72,10 @@ def decode_document(payload: bytes) -> tuple[int | None, np.ndarray]:
     return (None if missing else doc_id), np.frombuffer(payload, f"<u{width}", offset=HEAD.size)
 
 
+def _as_text(schema: str) -> str:
+    return schema.replace("doc_id long", "doc_id string")
+
+
 def file_system(path: str):
     """pyarrow's file system of a folder, and the folder's path in it."""
     from pyarrow import fs
@@ -104,21 +108,22 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int, file_bytes: int
                             store.create_dir(root, recursive=True)
                             out = store.open_output_stream(f"{root}/{name}")
                         ids += end
-                        doc_id = None if pd.isna(doc_id) else int(doc_id)
+                        doc_id = None if pd.isna(doc_id) else doc_id
                         data = frame(encode_document(doc_id, ids, width))
                         out.write(data)
                         n = len(ids) // width
                         rows.append((part, roll, name, position, len(data), doc_id, n, before))
                         position, before = position + len(data), before + n
-                    index = pd.DataFrame(rows, columns=[c.split()[0] for c in INDEX.split(", ")])
-                    yield index.astype({"doc_id": "Int64"})
+                    yield pd.DataFrame(rows, columns=[c.split()[0] for c in INDEX.split(", ")])
         finally:
             if out is not None:
                 out.close()
 
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ordered = chosen.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInPandas(run, INDEX).write.mode("overwrite").parquet(f"{folder}/index")
+    # Ids pass pandas as text: there, whole numbers beside nulls would become floats.
+    named = ordered.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, _as_text(INDEX))
+    named.withColumn("doc_id", F.col("doc_id").cast("long")).write.mode("overwrite").parquet(f"{folder}/index")
     return spark.read.schema(INDEX).parquet(f"{folder}/index")
 
 
@@ -135,11 +140,12 @@ def read(index: DataFrame, folder: str) -> DataFrame:
                 if r.file != name:
                     name, source = r.file, store.open_input_file(f"{root}/{r.file}")
                 doc_id, ids = decode_document(unframe(source.read_at(r.size, r.position)))
+                doc_id = None if doc_id is None else str(doc_id)
                 rows.append((r.part, r.roll, r.before, doc_id, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in READ.split(", ")]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in READ.split(", ")])
 
     by_file = index.repartition(max(files, 1), "file").sortWithinPartitions("file", "position")
-    return by_file.mapInPandas(run, READ)
+    return by_file.mapInPandas(run, _as_text(READ)).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def with_starts(records: DataFrame, index: DataFrame) -> DataFrame:

@@ -122,3 +122,12 @@ def test_damage_is_found():
     for i in range(len(data)):
         with pytest.raises(token_records.BadRecord):
             token_records.unframe(data[:i] + bytes([data[i] ^ 1]) + data[i + 1 :])
+
+
+def test_large_ids_beside_null_ids(spark):
+    ids = [None, 9007199254740993, -9007199254740995, (1 << 63) - 1]
+    df = spark.createDataFrame([(i, "some words") for i in ids], "doc_id long, text string").coalesce(1)
+    folder = shared_folder(spark, "large-ids")
+    index = token_records.write(df, folder, PATH, end_id=0)
+    for found in (index, token_records.read(index.coalesce(1), folder), packing.tokenise(df, PATH, 0, 64), packing.pack(df, PATH, 0, 64)):
+        assert {r.doc_id for r in found.collect()} == set(ids) and found.schema["doc_id"].dataType.simpleString() == "bigint"
