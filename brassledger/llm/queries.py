@@ -198,3 +198,10 @@ WITH RECURSIVE pairs AS (
 SELECT x AS vec_id, coalesce(any_value(n), 0)::BIGINT AS n_links, min(y) AS component_id, x = min(y) AS kept
 FROM reach LEFT JOIN links USING (x) GROUP BY x
 """
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from brassledger.llm import whitening
+
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=8)
