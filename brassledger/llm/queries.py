@@ -200,6 +200,53 @@ FROM reach LEFT JOIN links USING (x) GROUP BY x
 """
 
 
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from brassledger.llm import prefix_trie
+
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+# The checksum is taken byte by byte, from a table of the remainders of 0..255.
+_ORACLES["op11_prefix_trie"] = """
+WITH RECURSIVE bits(b, k, r) AS (
+    SELECT b, 0, b FROM range(256) t(b)
+    UNION ALL SELECT b, k + 1, CASE WHEN r % 2 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END FROM bits WHERE k < 8
+), remainders AS (SELECT list(r ORDER BY b) AS t FROM bits WHERE k = 8
+), own AS (
+    SELECT conv_id AS c, list(coalesce(role, '') ORDER BY turn NULLS FIRST, role) AS roles,
+           list(coalesce(text, '') ORDER BY turn NULLS FIRST, role) AS texts
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), counted AS (
+    SELECT c, roles, texts, xor(list_reduce(
+        list_transform(string_split(c::VARCHAR, ''), lambda s: ascii(s)::BIGINT),
+        lambda a, s: xor(a >> 8, remainders.t[(xor(a, s) & 255) + 1]), 4294967295), 4294967295) % 9 AS h
+    FROM own, remainders
+), rebuilt AS (
+    SELECT o.c, list_concat(coalesce(b.roles[1:o.h], []), o.roles[o.h + 1:]) AS roles,
+           list_concat(coalesce(b.texts[1:o.h], []), o.texts[o.h + 1:]) AS texts
+    FROM counted o LEFT JOIN own b ON b.c = o.c - o.c % 5
+), members AS (
+    SELECT c, d, roles[1:d] AS roles, texts[1:d] AS texts, len(texts) = d AS ends
+    FROM rebuilt, LATERAL (SELECT unnest(range(len(texts) + 1)) AS d)
+), nodes AS (
+    SELECT roles, texts, any_value(d) AS d, min(c) AS c, count(*) AS n, string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends) AS ends
+    FROM members GROUP BY roles, texts
+), tree AS (
+    SELECT n.*, p.c AS parent, (SELECT count(*) FROM nodes k WHERE k.d = n.d + 1 AND k.roles[1:n.d] = n.roles AND k.texts[1:n.d] = n.texts) AS children
+    FROM nodes n LEFT JOIN nodes p ON p.d = n.d - 1 AND p.roles = n.roles[1:n.d - 1] AND p.texts = n.texts[1:n.d - 1]
+), below AS (
+    SELECT a.roles, a.texts, count(*) FILTER (WHERE t.children = 0) AS leaves,
+           sum(CASE WHEN t.d = 0 THEN 0 ELSE (t.n - 1) * strlen(t.texts[t.d]) END) AS saved
+    FROM tree t, LATERAL (SELECT unnest(range(t.d + 1)) AS k) s
+    JOIN nodes a ON a.d = s.k AND a.roles = t.roles[1:s.k] AND a.texts = t.texts[1:s.k] GROUP BY a.roles, a.texts
+)
+SELECT t.c AS conv_id, t.d AS depth, t.parent AS parent_conv_id, t.n AS n_convs, t.children AS n_children,
+       b.leaves AS n_leaves, b.saved::BIGINT AS saved_tokens, sha256(coalesce(t.ends, '')) AS ends_sha256
+FROM tree t JOIN below b USING (roles, texts)
+"""
+
+
 @query
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     from brassledger.llm import whitening
