@@ -247,6 +247,13 @@ FROM tree t JOIN below b USING (roles, texts)
 """
 
 
+@query
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from brassledger.llm import wrapper
+
+    return wrapper.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     from brassledger.llm import whitening
