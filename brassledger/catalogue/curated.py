@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from brassledger import fixtures as X
 from brassledger.catalogue.core import query
-from brassledger.operators import governance as G
 from brassledger.operators import quality
 from brassledger.plans import analysis, marts
 
@@ -95,7 +94,7 @@ VISIBLE = f"customer_id IN (SELECT customer_id FROM dim_customer WHERE state IN
         FROM fact WHERE {VISIBLE} GROUP BY ALL""",
 )
 def mart_daily_transactions_secure(ws):
-    return ws.secure(G.REGIONAL).daily_transactions()
+    return ws.secure_view("mart_daily_transactions")
 
 
 @query(
@@ -112,12 +111,12 @@ def mart_daily_transactions_secure(ws):
         FROM fact WHERE {VISIBLE} GROUP BY ALL""",
 )
 def mart_monthly_kpis_secure(ws):
-    return ws.secure(G.REGIONAL).monthly_kpis()
+    return ws.secure_view("mart_monthly_kpis")
 
 
 @query("mart_monthly_segment_secure", f"SELECT * FROM segment WHERE state IN {STATES}")
 def mart_monthly_segment_secure(ws):
-    return ws.secure(G.REGIONAL).monthly_segment()
+    return ws.secure_view("mart_monthly_segment")
 
 
 @query(
@@ -126,7 +125,7 @@ def mart_monthly_segment_secure(ws):
         WHERE state IN {STATES}""",
 )
 def mart_customer_value_secure(ws):
-    return ws.secure(G.REGIONAL).customer_value()
+    return ws.secure_view("mart_customer_value")
 
 
 @query(
@@ -135,27 +134,27 @@ def mart_customer_value_secure(ws):
         FROM fact WHERE merchant_category IS NOT NULL AND {VISIBLE} GROUP BY ALL""",
 )
 def mart_merchant_monthly_secure(ws):
-    return ws.secure(G.REGIONAL).merchant_monthly()
+    return ws.secure_view("mart_merchant_monthly")
 
 
 @query("mart_branch_activity_secure", BRANCH_ACTIVITY.format(more=f"WHERE {VISIBLE}"))
 def mart_branch_activity_secure(ws):
-    return ws.secure(G.REGIONAL).branch_activity(ws.dim_branch)
+    return ws.secure_view("mart_branch_activity")
 
 
 @query("mart_dq_rule_results_secure", "SELECT * FROM newest_rules")
 def mart_dq_rule_results_secure(ws):
-    return marts.rule_results_ranked(ws.lake.outcomes())
+    return ws.secure_view("mart_dq_rule_results")
 
 
 @query("mart_dq_run_history_secure", "SELECT * FROM summary")
 def mart_dq_run_history_secure(ws):
-    return marts.run_history(ws.lake.summary())
+    return ws.secure_view("mart_dq_run_history")
 
 
 @query("mart_quarantine_reasons_secure", "SELECT * FROM reason_history")
 def mart_quarantine_reasons_secure(ws):
-    return marts.quarantine_reasons(ws.lake.reasons())
+    return ws.secure_view("mart_quarantine_reasons")
 
 
 # ---------------------------------------------------------------- KPIs

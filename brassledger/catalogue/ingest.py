@@ -9,7 +9,7 @@ from brassledger import fixtures as X
 from brassledger.catalogue.core import query
 from brassledger.operators import governance as G
 from brassledger.operators.validate import reason_counts
-from brassledger.plans import marts, views
+from brassledger.plans import marts
 from brassledger.plans.warehouse import Warehouse
 from brassledger.sources import files
 from brassledger.streaming import events as E
@@ -136,8 +136,8 @@ def run_summary_row(ws):
        UNION ALL SELECT 'quarantine_reasons', count(*) FROM reason_history""",
 )
 def catalog_register(ws):
-    """The lake's nine folders, by their names in the catalog."""
-    return counted(ws, views.register_lake(ws.spark, ws.lake, "brassledger_"), "table_name", "row_count")
+    """The lake's nine tables: partitioned, with statistics, by their names in the catalog."""
+    return counted(ws, ws.catalog.register(), "table_name", "row_count")
 
 
 def counted(ws, names: dict[str, str], label: str, number: str):
@@ -190,8 +190,7 @@ MART_SIZES = """
 
 @query("create_mart_views", MART_SIZES.format(n="row_count"))
 def create_mart_views(ws):
-    tables = views.register_lake(ws.spark, ws.lake, "brassledger_")
-    return counted(ws, views.create_mart_views(ws.spark, tables, "brassledger_"), "mart", "row_count")
+    return counted(ws, ws.catalog.open_views(), "mart", "row_count")
 
 
 @query(

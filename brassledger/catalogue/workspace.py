@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from brassledger import contracts as K
 from brassledger import fixture_defects as D
 from brassledger import fixtures as X
+from brassledger.operators import governance as G
 from brassledger.operators.quality import QualityGateBlocked
+from brassledger.plans.catalog import Catalog
 from brassledger.plans.marts import SecureMarts
 from brassledger.plans.run import Lake, RawZone, Run, Settings, Snapshot, publish
 from brassledger.session import shared_folder
@@ -128,6 +130,23 @@ class Workspace:
     def dim_branch(self) -> DataFrame:
         return self.now.dimension("dim_branch")
 
+    @cached_property
+    def catalog(self) -> Catalog:
+        """The lake's nine tables in a schema of their own."""
+        catalog = Catalog(self.spark, self.lake, f"bank_{self.lake.root[-12:]}")
+        catalog.register()
+        return catalog
+
+    @cached_property
+    def _session_views(self) -> dict[str, str]:
+        return self.catalog.session_views(G.REGIONAL)
+
+    def secure_view(self, mart: str, role: str = G.REGIONAL) -> DataFrame:
+        """A mart through the session's views, acting for a role."""
+        name = self._session_views[mart]
+        self.catalog.act_as(role)
+        return self.spark.table(name)
+
     def secure(self, role: str) -> SecureMarts:
         return SecureMarts(self.fact, self.dim_customer, role)
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from brassledger import contracts as K
 from brassledger.functions import columns as C
+from brassledger.functions.relations import over
 from brassledger.operators.standardise import instant
 
 
@@ -158,27 +159,25 @@ def newest_by_rank(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")
 
 
+def _reason_values() -> str:
+    rows = ", ".join(f"('{reason}', '{dimension}', '{rule}')" for reason, (dimension, rule) in K.REASONS.items())
+    return f"SELECT * FROM VALUES {rows} AS t(rule_code, dq_dimension, business_rule)"
+
+
+#: Pass rate per reason code for the newest run, over named relations; codes without rows pass at 100.
+SCORECARD = f"""
+    WITH newest AS (SELECT max(struct(run_ts, run_id, raw_rows)) AS run FROM {{run_summary}}),
+    failing AS (SELECT reason, CAST(sum(row_count) AS bigint) AS failing FROM {{quarantine_reasons}}
+                WHERE run_id = (SELECT run.run_id FROM newest) GROUP BY reason),
+    codes AS (SELECT *, (SELECT run FROM newest) AS run FROM ({_reason_values()}))
+    SELECT dq_dimension, rule_code, business_rule, coalesce(failing, 0L) AS failing_rows, run.raw_rows AS evaluated_rows,
+           round(100D * CAST(run.raw_rows - coalesce(failing, 0L) AS double) / nullif(CAST(run.raw_rows AS double), 0D), 4)
+               AS pass_rate_pct, run.run_id AS run_id
+    FROM codes LEFT JOIN failing ON reason = rule_code WHERE run IS NOT NULL"""
+
+
 def scorecard(summary: DataFrame, reasons: DataFrame) -> DataFrame:
-    """Pass rate per reason code for the newest run; codes without rows pass at 100."""
-    newest = latest_run(summary).select(F.struct("run_id", "raw_rows")).scalar()
-    failing = (
-        reasons.filter(F.col("run_id") == newest["run_id"])
-        .groupBy("reason")
-        .agg(F.sum("row_count").alias("failing"))
-    )
-    codes = reason_table(summary.sparkSession).withColumn("_run", newest)
-    failing_rows = F.coalesce(F.col("failing"), F.lit(0)).cast("bigint")
-    raw_rows = F.col("_run.raw_rows")
-    joined = codes.filter(F.col("_run").isNotNull()).join(failing, "reason", "left")
-    return joined.select(
-        "dq_dimension",
-        F.col("reason").alias("rule_code"),
-        "business_rule",
-        failing_rows.alias("failing_rows"),
-        raw_rows.alias("evaluated_rows"),
-        F.round(C.share(raw_rows - failing_rows, raw_rows, 100.0), 4).alias("pass_rate_pct"),
-        F.col("_run.run_id").alias("run_id"),
-    )
+    return over(SCORECARD, run_summary=summary, quarantine_reasons=reasons)
 
 
 def load_reconciliation(summary: DataFrame, fact: DataFrame, quarantine: DataFrame) -> DataFrame:

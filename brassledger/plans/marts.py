@@ -1,212 +1,59 @@
-"""Marts over the star schema.
+"""Marts over the star schema, as frames.
 
-Open marts see everything; secure marts see the fact through the customers a
-role may see.  Two habits keep them cheap on a large fact:
-
-* the fact is aggregated before it meets a dimension, so joins handle one row
-  per key and a hot customer or branch is already a single row;
-* distinct customers are counted as rows of such an aggregate, or on key pairs alone.
+Open marts see everything; secure marts see the fact through the customers a role may see.  What a mart is, stands in
+`mart_sql`; here it is applied to frames.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from brassledger.functions import columns as C
+from brassledger.functions.relations import over
 from brassledger.operators import governance as G
 from brassledger.operators import quality
+from brassledger.plans import mart_sql as M
 
-BAND_OUT, BAND_IN = "NET_OUTFLOW", "NET_INFLOW"
-
-
-def _rows() -> Column:
-    return F.count(F.lit(1))
-
-
-def _inflow() -> Column:
-    return F.col("flow_direction") == "INFLOW"
-
-
-def _outflow() -> Column:
-    return F.col("flow_direction") == "OUTFLOW"
-
-
-def _month() -> Column:
-    return C.month_start("transaction_date").alias("month_start")
-
-
-def _again(name: str) -> Column:
-    """Total of an already counted column."""
-    return F.sum(name).cast("bigint").alias(name)
-
-
-def _money_again(name: str) -> Column:
-    return C.total(name).alias(name)
-
-
-def _rate(part: Column, whole: Column) -> Column:
-    return F.round(C.share(part, whole), 6)
+BAND_OUT, BAND_IN = M.BAND_OUT, M.BAND_IN
 
 
-# ---------------------------------------------------------------- open marts
-def _totals(fact: DataFrame, keys: list, counts: dict[str, Column], money: dict[str, Column], visible=None):
-    """Counts and sums of money per key, over all rows or over those of visible customers.
-
-    With `visible` the fact is first aggregated per key and customer.  Joining
-    rows instead would place them by customer, the aggregate would reuse that
-    placement, and one hot customer would hold up one task.
-    """
-    measures = [
-        *[c.alias(name) for name, c in counts.items()],
-        *[C.total(c).alias(name) for name, c in money.items()],
-    ]
-    if visible is None:
-        return fact.groupBy(*keys).agg(*measures)
-    fine = fact.groupBy(*keys, "customer_id").agg(*measures)
-    names = [c for c in fine.columns if c != "customer_id" and c not in counts and c not in money]
-    seen = fine.join(visible.select("customer_id"), "customer_id", "left_semi")
-    return seen.groupBy(*names).agg(*[_again(c) for c in counts], *[_money_again(c) for c in money])
+def _seen_by(visible: DataFrame | None) -> dict[str, DataFrame]:
+    return {} if visible is None else {"visible": visible}
 
 
+# ---------------------------------------------------------------- open marts, or with the customers a role may see
 def daily_transactions(fact: DataFrame, visible: DataFrame | None = None) -> DataFrame:
-    keys = [
-        "transaction_date", "transaction_type", "flow_direction", "channel", "digital_channel_flag", "ingest_source",
-    ]
-    counts = {
-        "txn_count": _rows(),
-        "failed_txn_count": F.count_if("is_failed"),
-        "fraud_labelled_count": F.count_if(F.col("is_fraud_flag") == 1),
-    }
-    return _totals(fact, keys, counts, {"txn_value": F.col("amount")}, visible).select(
-        *keys, "txn_count", "txn_value", "failed_txn_count", "fraud_labelled_count"
-    )
+    return over(M.daily_transactions(visible is not None), fact_transactions=fact, **_seen_by(visible))
 
 
 def monthly_kpis(fact: DataFrame, visible: DataFrame | None = None) -> DataFrame:
-    """Totals and distinct counts take separate paths and meet per month.
+    return over(M.monthly_kpis(visible is not None), fact_transactions=fact, **_seen_by(visible))
 
-    They read almost disjoint columns, so the second scan costs little, while
-    one combined aggregate would drag all totals through the expansion for the
-    two distinct counts.
-    """
-    counts = {
-        "txn_count": _rows(),
-        "failed": F.count_if("is_failed"),
-        "digital": F.count_if("digital_channel_flag"),
-    }
-    money = {
-        "txn_value": F.col("amount"),
-        "deposit_value": C.money_if(_inflow()),
-        "outflow_value": C.money_if(_outflow()),
-        "net_flow": F.col("signed_amount"),
-    }
-    totals = _totals(fact, [_month()], counts, money, visible)
-
-    pairs = fact.select(_month(), "customer_id", "source_account_id").distinct()
-    if visible is not None:
-        pairs = pairs.join(visible.select("customer_id"), "customer_id", "left_semi")
-    active = pairs.groupBy(F.col("month_start").alias("_month")).agg(
-        F.count_distinct("customer_id").alias("active_customers"),
-        F.count_distinct("source_account_id").alias("active_accounts"),
-    )
-    n = F.col("txn_count")
-    joined = totals.join(active, F.col("month_start").eqNullSafe(F.col("_month")))
-    return joined.select(
-        "month_start",
-        "txn_count",
-        "txn_value",
-        _rate(F.col("txn_value"), n).alias("avg_txn_value"),
-        "deposit_value",
-        "outflow_value",
-        "net_flow",
-        "active_customers",
-        "active_accounts",
-        _rate(n, F.col("active_customers")).alias("txns_per_customer"),
-        _rate(F.col("failed"), n).alias("failed_rate"),
-        _rate(F.col("digital"), n).alias("digital_share"),
-    )
 
+def monthly_segment(fact: DataFrame, customers: DataFrame, secure: bool = False) -> DataFrame:
+    return over(M.monthly_segment(secure), fact_transactions=fact, **{"visible" if secure else "dim_customer": customers})
 
-def monthly_segment(fact: DataFrame, customers: DataFrame, how: str = "left", digital: bool = False) -> DataFrame:
-    per_customer = fact.groupBy(_month(), "customer_id").agg(
-        _rows().alias("txn_count"),
-        C.total("amount").alias("txn_value"),
-        F.count_if("digital_channel_flag").alias("digital"),
-    )
-    traits = ("customer_segment", "state", "risk_tier", "digital_enrolled_flag")
-    joined = per_customer.join(customers.select("customer_id", *traits), "customer_id", how)
-    grouped = joined.groupBy("month_start", *traits).agg(
-        _again("txn_count"),
-        _money_again("txn_value"),
-        F.count("customer_id").alias("active_customers"),  # one row per month and customer
-        _again("digital"),
-    )
-    if digital:
-        grouped = grouped.withColumn("digital_share", _rate(F.col("digital"), F.col("txn_count")))
-    return grouped.drop("digital")
-
-
-def customer_value(fact: DataFrame, customers: DataFrame, how: str = "left") -> DataFrame:
-    per_customer = (
-        fact.filter(~F.col("is_failed"))
-        .groupBy("customer_id")
-        .agg(
-            _rows().alias("txn_count"),
-            C.total("amount").alias("txn_value"),
-            C.total(C.money_if(_inflow())).alias("inflow_value"),
-            C.total(C.money_if(_outflow())).alias("outflow_value"),
-            C.total("signed_amount").alias("net_flow"),
-            F.count_if("digital_channel_flag").alias("digital"),
-            F.max("transaction_date").alias("last_txn_date"),
-        )
-    )
-    traits = ("customer_segment", "state", "risk_tier", "tenure_years", "digital_enrolled_flag")
-    joined = per_customer.join(customers.select("customer_id", *traits), "customer_id", how)
-    return joined.select(
-        "customer_id",
-        *traits,
-        "txn_count",
-        "txn_value",
-        "inflow_value",
-        "outflow_value",
-        "net_flow",
-        _rate(F.col("digital"), F.col("txn_count")).alias("digital_share"),
-        "last_txn_date",
-        F.when(F.col("net_flow") < 0, BAND_OUT).otherwise(BAND_IN).alias("flow_band"),
-    )
+
+def customer_value(fact: DataFrame, customers: DataFrame, secure: bool = False) -> DataFrame:
+    return over(M.customer_value(secure), fact_transactions=fact, **{"visible" if secure else "dim_customer": customers})
 
 
 def merchant_monthly(fact: DataFrame, visible: DataFrame | None = None) -> DataFrame:
-    spent = fact.filter(F.col("merchant_category").isNotNull())
-    keys = [_month(), "merchant_category", "channel"]
-    return _totals(spent, keys, {"txn_count": _rows()}, {"txn_value": F.col("amount")}, visible)
+    return over(M.merchant_monthly(visible is not None), fact_transactions=fact, **_seen_by(visible))
 
 
 def branch_activity(fact: DataFrame, branches: DataFrame, visible: DataFrame | None = None) -> DataFrame:
-    at_branch = fact.filter(F.col("branch_id").isNotNull())
-    keys = ["branch_id", "channel", _month()]
-    counted = _totals(at_branch, keys, {"txn_count": _rows()}, {"txn_value": F.col("amount")}, visible)
-    place = ("branch_id", "branch_name", "city", "state", "region")
-    joined = counted.join(branches.select(*place), "branch_id")
-    # Branch ids may repeat in the master; the last step keeps the mart's grain.
-    return joined.groupBy(*place, "channel", "month_start").agg(_again("txn_count"), _money_again("txn_value"))
+    return over(M.branch_activity(visible is not None), fact_transactions=fact, dim_branch=branches, **_seen_by(visible))
 
 
 def account_book(accounts: DataFrame) -> DataFrame:
-    n = _rows()
-    return accounts.groupBy(C.year_start("open_date").alias("open_year"), "account_type", "account_status").agg(
-        n.alias("accounts"),
-        C.total("current_balance").alias("total_balance"),
-        _rate(F.sum("current_balance"), F.count("current_balance")).alias("avg_balance"),
-    )
+    return over(M.ACCOUNT_BOOK, dim_account=accounts)
 
 
 # ---------------------------------------------------------------- quality marts
 def rule_results(outcomes: DataFrame) -> DataFrame:
     """Outcomes of the newest run of each dataset, by joining the newest time."""
-    newest = outcomes.groupBy("dataset").agg(F.max("run_ts").alias("run_ts"))
-    return _rule_columns(outcomes.join(newest, ["dataset", "run_ts"], "left_semi"))
+    return over(M.RULE_RESULTS, rule_outcomes=outcomes)
 
 
 def rule_results_ranked(outcomes: DataFrame) -> DataFrame:
@@ -225,24 +72,19 @@ def _rule_columns(outcomes: DataFrame) -> DataFrame:
 
 
 def run_history(summary: DataFrame) -> DataFrame:
-    return summary.select(
-        "run_id", "run_ts", "pipeline_status", "raw_rows", "curated_rows", "quarantined_rows",
-        "quarantine_rate", "max_quarantine_rate", "raw_dq_score", "curated_dq_score", "accounts_quarantined",
-    )
+    return over(M.RUN_HISTORY, run_summary=summary)
 
 
 def quarantine_reasons(reasons: DataFrame) -> DataFrame:
-    return reasons.select("run_id", "run_ts", "reason", "ingest_source", "row_count")
+    return over(M.QUARANTINE_REASONS, quarantine_reasons=reasons)
 
 
 # ---------------------------------------------------------------- secure marts
 class SecureMarts:
     """The marts as one role sees them.
 
-    Facts reach a mart only through customers the row policy lets through, and
-    always after a first aggregation.  Identifiers are masked last: grouping by
-    the key or by its hash is the same, and this way each customer is hashed
-    once.
+    Here the role is known when the frame is made; for views that follow whoever reads them, see `catalog`.
+    Identifiers are masked last: grouping by the key or by its hash is the same, and each customer is hashed once.
     """
 
     def __init__(self, fact: DataFrame, customers: DataFrame, role: str):
@@ -257,10 +99,10 @@ class SecureMarts:
         return monthly_kpis(self.fact, self.customers)
 
     def monthly_segment(self) -> DataFrame:
-        return monthly_segment(self.fact, self.customers, "inner", digital=True)
+        return monthly_segment(self.fact, self.customers, secure=True)
 
     def customer_value(self) -> DataFrame:
-        mart = customer_value(self.fact, self.customers, "inner")
+        mart = customer_value(self.fact, self.customers, secure=True)
         return mart.withColumn("customer_id", G.mask_identifier("customer_id", self.role))
 
     def merchant_monthly(self) -> DataFrame:

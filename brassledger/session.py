@@ -18,6 +18,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.cbo.enabled": "true",  # tables of the catalog have statistics
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 

@@ -11,7 +11,8 @@ from brassledger import fixtures as X
 from brassledger import session as S
 from brassledger.catalogue.workspace import Workspace
 from brassledger.operators import quality
-from brassledger.plans import analysis, marts, run, views
+from brassledger.plans import analysis, marts, run
+from brassledger.plans.catalog import Catalog
 from brassledger.plans.run import Lake, NothingPublished, RawZone, Settings, publish
 from brassledger.sources import files
 
@@ -65,8 +66,8 @@ def test_a_snapshot_stays_at_one_run_and_views_follow(spark, space, tmp_path):
     publish(space.raw_batch_only(), Settings(FIRST), lake)
     old = lake.snapshot()
     fact = old.fact()
-    names = views.register_lake(spark, lake, "follow_")
-    shown = views.create_mart_views(spark, names, "follow_")
+    catalog = Catalog(spark, lake, "bank_follow")
+    names, shown = catalog.register(), catalog.open_views()
     assert len(names) == 9 and len(shown) == 10
     publish(space.raw, Settings(SECOND), lake)
     customers = old.dimension("dim_customer")
@@ -76,7 +77,7 @@ def test_a_snapshot_stays_at_one_run_and_views_follow(spark, space, tmp_path):
 
     now = lake.snapshot()
     for _ in range(2):  # again without a drop
-        names = views.register_lake(spark, lake, "follow_")
+        names = catalog.register()
     assert spark.table(names["fact_transactions"]).count() == now.fact().count() > fact.count()
     open_marts = marts.all_open(
         now.fact(), now.dimension("dim_customer"), now.dimension("dim_account"), now.dimension("dim_branch"),
