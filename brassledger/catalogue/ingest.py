@@ -12,6 +12,7 @@ from brassledger.operators.validate import reason_counts
 from brassledger.plans import marts
 from brassledger.plans.warehouse import Warehouse
 from brassledger.sources import files
+from brassledger.sources.loads import Loads
 from brassledger.streaming import events as E
 from brassledger.streaming import landing
 
@@ -154,8 +155,10 @@ def refresh_by_name(ws):
     root = ws.fresh("refresh")
     source = ws.fact.drop("is_fraud_flag", "year", "month")
     files.write_table(source.select(*[F.col(c).alias(c.upper()) for c in reversed(source.columns)]), f"{root}/in")
+    loads, given = Loads(ws.spark, f"{root}/out"), ws.spark.read.parquet(f"{root}/in")
     for _ in range(2):
-        loaded = files.refresh(ws.spark, f"{root}/in", f"{root}/out", K.FACT_DDL)
+        loads.load({"fact": (given, K.FACT_DDL)}, X.AS_OF)
+    loaded = loads.current().table("fact", K.FACT_DDL)
     return loaded.select("transaction_id", "customer_id", "amount", "transaction_ts", "is_fraud_flag")
 
 

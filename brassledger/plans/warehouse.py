@@ -1,4 +1,4 @@
-"""Full refresh of a warehouse folder from the lake, with an audit of what was loaded."""
+"""Full refresh of a warehouse from the lake, all tables at once, with an audit of what was loaded."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from brassledger import contracts as K
 from brassledger.operators import quality
 from brassledger.plans import marts
 from brassledger.plans.run import Lake
-from brassledger.sources import files
+from brassledger.sources.loads import Load, Loads
 
 AUDITED = (
     "curated.fact_transactions",
@@ -32,47 +32,43 @@ TABLES = {
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-
-    def path(self, table: str) -> str:
-        return f"{self.root}/{table.replace('.', '/')}"
+        self.loads = Loads(spark, root)
 
     def audit(self) -> DataFrame:
-        return files.read_table(self.spark, self.path("dq.load_audit"), K.AUDIT_DDL)
+        return self.loads.audit()
 
     def refresh(self, lake: Lake, loaded_at: dt.datetime) -> dict[str, DataFrame]:
-        """Reload all tables by column name and append one audit row per audited table.
+        """Load all eight tables from one snapshot of the lake, by column name; readers see them when all are there.
 
-        Every table is overwritten from the lake's current run, so repeating a
-        refresh changes nothing but the audit.
+        A refresh that fails changes nothing, one that is repeated adds a load of the same rows.
         """
         now = lake.snapshot()  # one run for all tables
-        sources = {
-            "curated.fact_transactions": (now.fact(), K.FACT_DDL),
-            "curated.dim_customer": (now.dimension("dim_customer"), K.CUSTOMER_DDL),
-            "curated.dim_account": (now.dimension("dim_account"), K.ACCOUNT_DDL),
-            "curated.dim_branch": (now.dimension("dim_branch"), K.BRANCH_DDL),
-            "dq.quarantine_transactions": (now.quarantined(), K.QUARANTINE_DDL),
-            "dq.rule_outcomes": (now.outcomes(), K.OUTCOME_DDL),
-            "dq.run_summary": (now.summary(), K.SUMMARY_DDL),
-            "dq.quarantine_reasons": (now.reasons(), K.REASON_COUNT_DDL),
-        }
-        loaded = {
-            table: files.refresh(self.spark, source, self.path(table), ddl)
-            for table, (source, ddl) in sources.items()
+        frames = {
+            "curated.fact_transactions": now.fact(),
+            "curated.dim_customer": now.dimension("dim_customer"),
+            "curated.dim_account": now.dimension("dim_account"),
+            "curated.dim_branch": now.dimension("dim_branch"),
+            "dq.quarantine_transactions": now.quarantined(),
+            "dq.rule_outcomes": now.outcomes(),
+            "dq.run_summary": now.summary(),
+            "dq.quarantine_reasons": now.reasons(),
         }
-        counts = files.load_audit({name: loaded[name] for name in AUDITED}, loaded_at)
-        files.append_history(counts, self.path("dq.load_audit"))
-        return loaded
+        sources = {name: (frame, TABLES[name]) for name, frame in frames.items()}
+        load = self.loads.load(sources, loaded_at, AUDITED, now.run_id)
+        return {name: load.table(name, ddl) for name, ddl in TABLES.items()}
+
+    def current(self) -> Load:
+        """The newest load; tables taken from it belong together."""
+        return self.loads.current()
 
     def table(self, name: str) -> DataFrame:
-        return files.read_table(self.spark, self.path(name), TABLES[name])
+        return self.current().table(name, TABLES[name])
 
     def marts_as(self, role: str) -> dict[str, DataFrame]:
-        """The ten marts the role may export, over the refreshed tables."""
-        seen = marts.SecureMarts(self.table("curated.fact_transactions"), self.table("curated.dim_customer"), role)
-        summary, reasons = self.table("dq.run_summary"), self.table("dq.quarantine_reasons")
+        """The ten marts the role may export, all of one load."""
+        load = self.current()
+        t = {name: load.table(name, ddl) for name, ddl in TABLES.items()}
+        seen = marts.SecureMarts(t["curated.fact_transactions"], t["curated.dim_customer"], role)
+        summary, reasons = t["dq.run_summary"], t["dq.quarantine_reasons"]
         card = quality.scorecard(summary, reasons)
-        branches, outcomes = self.table("curated.dim_branch"), self.table("dq.rule_outcomes")
-        return marts.all_secure(seen, branches, card, outcomes, summary, reasons)
+        return marts.all_secure(seen, t["curated.dim_branch"], card, t["dq.rule_outcomes"], summary, reasons)

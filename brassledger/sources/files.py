@@ -60,11 +60,6 @@ def write_table(df: DataFrame, path: str) -> None:
     df.hint("rebalance").write.mode("overwrite").parquet(path)
 
 
-def append_history(df: DataFrame, path: str) -> None:
-    """Append a few rows to a log that one writer at a time adds to (commits into one folder must not overlap)."""
-    df.hint("rebalance").write.mode("append").parquet(path)
-
-
 def read_table(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """A table under its declared layout.
 
@@ -92,13 +87,6 @@ def match_by_name(df: DataFrame, ddl: str) -> DataFrame:
     return df.select(*[pick(field) for field in K.layout(ddl).fields])
 
 
-def refresh(spark: SparkSession, source: str | DataFrame, target: str, ddl: str) -> DataFrame:
-    """Full refresh of one table from a folder or a frame; repeating it changes nothing."""
-    rows = spark.read.parquet(source) if isinstance(source, str) else source
-    write_table(match_by_name(rows, ddl), target)
-    return spark.read.schema(K.layout(ddl)).parquet(target)
-
-
 def load_audit(tables: dict[str, DataFrame], loaded_at: dt.datetime) -> DataFrame:
     """(loaded_at, table_name, rows_loaded) per loaded table."""
     parts = [

@@ -9,9 +9,10 @@ from brassledger.catalogue.workspace import Workspace
 from brassledger.operators import governance as G
 from brassledger.operators import quality
 from brassledger.plans import marts
-from brassledger.plans.run import Lake
-from brassledger.plans.warehouse import Warehouse
+from brassledger.plans.run import Lake, Settings, publish
+from brassledger.plans.warehouse import TABLES, Warehouse
 from brassledger.sources import files
+from brassledger.sources.loads import NothingLoaded
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +33,55 @@ def test_refresh_is_idempotent_but_audited(spark, space, tmp_path):
     assert {r["n"] for r in per_table.collect()} == {1}
 
 
+def as_seen(house):
+    load = house.current()
+    return {name: sorted(map(str, load.table(name, ddl).collect())) for name, ddl in TABLES.items()}
+
+
+def test_a_refresh_that_breaks_off_changes_nothing(spark, space, tmp_path, monkeypatch):
+    """All eight tables stay those of the load before, whichever table the refresh had reached."""
+    lake = Lake(spark, str(tmp_path / "lake"))
+    publish(space.raw_batch_only(), Settings(dt.datetime(2024, 1, 30)), lake)
+    house = Warehouse(spark, str(tmp_path / "house"))
+    with pytest.raises(NothingLoaded):
+        house.table("curated.dim_branch")
+    house.refresh(lake, dt.datetime(2024, 1, 30))
+    before, audited = as_seen(house), house.audit().count()
+    publish(space.raw, Settings(dt.datetime(2024, 2, 1)), lake)
+    write, done = files.write_table, []
+
+    def break_off(df, path):
+        if len(done) == 3:
+            raise RuntimeError("lost the driver")
+        write(df, path)
+        done.append(path)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(files, "write_table", break_off)
+        with pytest.raises(RuntimeError):
+            house.refresh(lake, dt.datetime(2024, 2, 1))
+    assert len(done) >= 3 and as_seen(house) == before and house.audit().count() == audited
+    assert len(list((tmp_path / "house").glob("load=*"))) == 1  # nothing is left of it
+
+    house.refresh(lake, dt.datetime(2024, 2, 1))
+    after = as_seen(house)
+    assert all(after[t] != before[t] for t in ("curated.fact_transactions", "dq.run_summary", "dq.rule_outcomes"))
+    assert house.audit().count() == 2 * audited
+
+
+def test_a_reader_keeps_its_load_and_old_ones_expire(spark, space, tmp_path):
+    house = Warehouse(spark, str(tmp_path))
+    house.refresh(space.lake, dt.datetime(2024, 2, 1))
+    reader = house.current()
+    fact = reader.table("curated.fact_transactions", K.FACT_DDL)
+    house.refresh(space.lake, dt.datetime(2024, 2, 2))
+    assert house.current().load_id != reader.load_id and fact.count() == 2450
+    assert house.loads.expire(keep=2) == []
+    house.refresh(space.lake, dt.datetime(2024, 2, 3))
+    assert house.loads.expire(keep=2) == [reader.load_id]
+    assert house.table("curated.fact_transactions").count() == 2450 and house.audit().count() == 12
+
+
 def test_by_name_matching(spark):
     df = spark.createDataFrame([("b", "1", "gone")], "B string, a string, extra string")
     out = files.match_by_name(df, "a int, b string, c date")
