@@ -116,11 +116,11 @@ def plan(histogram: dict[int, int], capacity: int) -> pd.DataFrame:
 def pack(docs: DataFrame, path: str, end_id: int = 0, capacity: int = 2048) -> DataFrame:
     """Pieces with `sequence_id` and `offset`; offsets of a sequence have no gaps."""
     spark = docs.sparkSession
-    pieces = staged(tokenise(docs, path, end_id, capacity), "pieces")
+    pieces = staged(tokenise(docs, path, end_id, capacity).withColumn("row", F.monotonically_increasing_id()), "pieces")
     total = pieces.count()
     lanes = total // LANE_ROWS + 1
-    # A row's place among equals does not matter; the hash only splits long runs of one length.
-    pieces = pieces.withColumn("lane", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(lanes)))
+    # A row's place among equals does not matter; its number, fixed by staging, only splits long runs of one length.
+    pieces = pieces.withColumn("lane", F.pmod(F.xxhash64("row"), F.lit(lanes)))
     in_lane = pieces.groupBy("length", "lane").agg(F.count(F.lit(1)).alias("n"))
     histogram = {r["length"]: r["n"] for r in in_lane.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     # At most `capacity` rows came back, whatever the number of documents.
@@ -136,7 +136,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 0, capacity: int = 2048) -> D
 
     before = Window.partitionBy("length").orderBy("lane").rowsBetween(Window.unboundedPreceding, -1)
     base = in_lane.select("length", "lane", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    within = Window.partitionBy("length", "lane").orderBy("doc_id", "piece", "start")
+    within = Window.partitionBy("length", "lane").orderBy("doc_id", "piece", "row")
     ranked = pieces.withColumn("rank", F.row_number().over(within) - 1).join(base, ["length", "lane"])
     ranked = ranked.withColumn("rank", F.col("rank") + F.col("base"))
     return ranked.join(slots, ["length", "rank"]).select(

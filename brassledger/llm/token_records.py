@@ -35,6 +35,7 @@ INDEX = "part int, roll int, file string, position long, size long, doc_id long,
 READ = "part int, roll int, before long, doc_id long, n_tokens long, ids_crc32 long"
 MASK = 0xA282EAD8  # added to the rotated checksum
 FILE_BYTES = 64 << 20
+READ_BYTES = 8 << 20
 HEAD = struct.Struct("<BBq")
 
 
@@ -77,14 +78,29 @@ def _as_text(schema: str) -> str:
 
 
 def file_system(path: str):
-    """pyarrow's file system of a folder, and the folder's path in it."""
+    """pyarrow's file system of a folder, and the folder's path in it; Hadoop's names of object stores are known."""
     from pyarrow import fs
 
-    if not urlparse(path).scheme:
+    parts = urlparse(path)
+    if not parts.scheme:
         return fs.LocalFileSystem(), path
+    if parts.scheme in ("s3", "s3a", "s3n"):
+        return fs.S3FileSystem(), parts.netloc + parts.path
     return fs.FileSystem.from_uri(path)
 
 
+class Blocks:
+    """Reads of a file in rising order, served from blocks, so that a record is not a request."""
+
+    def __init__(self, source, size: int = READ_BYTES):
+        self.source, self.size, self.start, self.held = source, size, 0, b""
+
+    def read(self, n: int, position: int) -> bytes:
+        if not self.start <= position <= position + n <= self.start + len(self.held):
+            self.start, self.held = position, self.source.read_at(max(n, self.size), position)
+        return self.held[position - self.start : position - self.start + n]
+
+
 def write(docs: DataFrame, folder: str, path: str, end_id: int, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write record files and index below `folder`; returns the index as read back."""
     spark = docs.sparkSession
@@ -119,8 +135,10 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int, file_bytes: int
             if out is not None:
                 out.close()
 
-    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ordered = chosen.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Beginning of the text and row number let rows of one id, or of none, be as many ranges and files as others.
+    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("row"))
+    ranges = chosen.repartitionByRange("doc_id", F.left("text", F.lit(32)), "row")
+    ordered = ranges.sortWithinPartitions("doc_id", "text", "row")
     # Ids pass pandas as text: there, whole numbers beside nulls would become floats.
     named = ordered.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, _as_text(INDEX))
     named.withColumn("doc_id", F.col("doc_id").cast("long")).write.mode("overwrite").parquet(f"{folder}/index")
@@ -138,8 +156,8 @@ def read(index: DataFrame, folder: str) -> DataFrame:
             rows = []
             for r in pdf.itertuples(index=False):
                 if r.file != name:
-                    name, source = r.file, store.open_input_file(f"{root}/{r.file}")
-                doc_id, ids = decode_document(unframe(source.read_at(r.size, r.position)))
+                    name, source = r.file, Blocks(store.open_input_file(f"{root}/{r.file}"))
+                doc_id, ids = decode_document(unframe(source.read(r.size, r.position)))
                 doc_id = None if doc_id is None else str(doc_id)
                 rows.append((r.part, r.roll, r.before, doc_id, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in READ.split(", ")])

@@ -20,8 +20,8 @@ class Encoder:
     ends are cut there and each distinct piece is encoded by the library once;
     other texts, and other kinds of tokenizers, are encoded whole.  Pieces met
     again move from a first memory, which the many rare ones pass through, to a
-    second; each is emptied at `words` pieces.  Strings of special tokens inside
-    a text are ordinary text.
+    second; each is emptied at `words` pieces.  Texts that hold the string of an
+    added token are encoded whole, as the library takes such strings out first.
     """
 
     def __init__(self, path: str, words: int = 400_000):
@@ -29,9 +29,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        self.added = [t["content"] for t in spec.get("added_tokens") or []]
         before = spec.get("pre_tokenizer") or {}
         self.cuts = (
             before.get("type") == "ByteLevel"
@@ -68,7 +68,7 @@ class Encoder:
         get, fresh = self.known.get, self.fresh
         for i, text in enumerate(texts):
             flat = text.replace("\n", " ")
-            if not self.cuts or not flat or " ".join(flat.split()) != flat:
+            if not self.cuts or not flat or " ".join(flat.split()) != flat or any(t in text for t in self.added):
                 whole.append(i)
                 continue
             pieces = text.replace("\n", " \n").split(" ")

@@ -14,14 +14,13 @@ from brassledger.session import shared_folder, ship_package
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 TEXTS = [
     "Plain words, and more. Plain words,", "", None, "  two  spaces\n\nand lines \t tab ", "don't we're 12.5 a.b.c x,y",
-    "Éç qui une été.\nÜber çà", "\n", "a", "the " * 6000 + "end", "日本語 テキスト。", "x y z\x1cw", "same", "same", "<|endoftext|> ,. ...",
+    "Éç qui une été.\nÜber çà", "\n", "a", "the " * 6000 + "end", "日本語 テキスト。", "x y z\x1cw", "same", "same", "<|endoftext|> ,. ...", "a <|endoftext|> b", "word <|endoftext|>word, <|endoftext",
 ]
 
 
 @pytest.fixture(scope="module")
 def plain():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -131,3 +130,26 @@ def test_large_ids_beside_null_ids(spark):
     index = token_records.write(df, folder, PATH, end_id=0)
     for found in (index, token_records.read(index.coalesce(1), folder), packing.tokenise(df, PATH, 0, 64), packing.pack(df, PATH, 0, 64)):
         assert {r.doc_id for r in found.collect()} == set(ids) and found.schema["doc_id"].dataType.simpleString() == "bigint"
+
+
+def test_equal_rows_spread_over_lanes_ranges_and_files(spark, monkeypatch, plain):
+    """A third of the rows without id and of one text: no lane, range or file takes them all."""
+    monkeypatch.setattr(packing, "LANE_ROWS", 100)
+    rows = [(None, "the same text")] * 3000 + [(i, f"text {i}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    packed = packing.pack(df, PATH, end_id=0, capacity=64)
+    used = packed.groupBy("sequence_id", "offset").count()
+    assert packed.count() == 9000 and used.filter("count > 1").count() == 0
+    folder = shared_folder(spark, "equal-rows")
+    index = token_records.write(df, folder, PATH, end_id=2).filter("doc_id is null")
+    parts = {r["part"]: r["count"] for r in index.groupBy("part").count().collect()}
+    assert sum(parts.values()) == 3000 and max(parts.values()) <= 1500
+    assert {r.ids_crc32 for r in token_records.read(index, folder).collect()} == {crc([*plain("the same text"), 2])}
+
+
+def test_folders_of_object_stores():
+    pytest.importorskip("pyarrow.fs")
+    for scheme in ("s3", "s3a", "s3n"):
+        store, path = token_records.file_system(f"{scheme}://bucket/some/folder")
+        assert (store.type_name, path) == ("s3", "bucket/some/folder")
+    assert token_records.file_system("/a/b")[1] == "/a/b" and token_records.file_system("file:///a/b")[1] == "/a/b"
