@@ -136,14 +136,14 @@ def sample_limit(ws):
     "nulls_last_order",
     """SELECT ingest_source, transaction_type, max(transaction_ts) AS newest_ts FROM std
        WHERE transaction_ts IS NULL OR transaction_type IS NOT NULL GROUP BY ALL
-       ORDER BY newest_ts DESC NULLS LAST, ingest_source, transaction_type LIMIT 10""",
+       ORDER BY newest_ts DESC NULLS LAST, ingest_source, transaction_type""",
 )
 def nulls_last_order(ws):
     grouped = ws.run.std.groupBy("ingest_source", "transaction_type").agg(
         F.max("transaction_ts").alias("newest_ts")
     )
     order = (F.col("newest_ts").desc_nulls_last(), "ingest_source", "transaction_type")
-    return grouped.orderBy(*order).limit(10)
+    return grouped.orderBy(*order)
 
 
 # ---------------------------------------------------------------- set operations

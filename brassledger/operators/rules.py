@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -23,7 +24,8 @@ class Rule:
     bound: float = 0
     domain: tuple[str, ...] = ()
     query: str = ""
-    condition: str = ""  # of a query that only counts the rows where it holds; then it joins the shared pass
+    #: Of a query that only counts the rows where it holds, given the clock; then it joins the shared pass.
+    condition: Callable[[Column], Column] | None = None
 
     @property
     def label(self) -> str:
@@ -56,7 +58,7 @@ DEFAULT_RULES = (
     Rule(
         "sql",
         query="select count(*) from primary where transaction_ts > :as_of",
-        condition="transaction_ts > :as_of",
+        condition=lambda as_of: F.col("transaction_ts") > as_of,
         bound=0,
     ),
 )
@@ -77,7 +79,7 @@ def _measure(rule: Rule, null_fails: bool, as_of: dt.datetime) -> Column | None:
     if rule.kind in ("greater", "within"):
         return F.count_if(_violates(rule, null_fails))
     if rule.kind == "sql" and rule.condition:
-        return F.count_if(F.expr(rule.condition.replace(":as_of", f"'{as_of.isoformat(sep=' ')}'")))
+        return F.count_if(rule.condition(instant(as_of)))
     return None
 
 
