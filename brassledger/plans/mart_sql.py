@@ -15,6 +15,8 @@ MONTH = "trunc(transaction_date, 'MM')"
 BAND_OUT, BAND_IN = "NET_OUTFLOW", "NET_INFLOW"
 INFLOW = "sum(IF(flow_direction = 'INFLOW', amount, 0))"
 OUTFLOW = "sum(IF(flow_direction = 'OUTFLOW', amount, 0))"
+# A join, as IN would be moved below the aggregate and meet the fact's rows.
+SEEN = "LEFT SEMI JOIN (SELECT customer_id AS seen_id FROM {visible}) ON customer_id = seen_id"
 TRAITS = ("customer_segment", "state", "risk_tier", "digital_enrolled_flag")
 PLACE = ("branch_id", "branch_name", "city", "state", "region")
 
@@ -36,8 +38,7 @@ def totals(keys: dict[str, str], counts: dict[str, str], money: dict[str, str],
         return f"SELECT {_list(named + measures)} FROM {{fact_transactions}} WHERE {where} GROUP BY {by}"
     again = [f"CAST(sum({n}) AS bigint) AS {n}" for n in counts] + [f"CAST(sum({n}) AS {MONEY}) AS {n}" for n in money]
     fine = f"SELECT {_list([*named, 'customer_id', *measures])} FROM {{fact_transactions}} WHERE {where} GROUP BY {by}, customer_id"
-    seen = "customer_id IN (SELECT customer_id FROM {visible})"
-    return f"SELECT {_list([*keys, *again])} FROM ({fine}) WHERE {seen} GROUP BY {_list(keys)}"
+    return f"SELECT {_list([*keys, *again])} FROM ({fine}) {SEEN} GROUP BY {_list(keys)}"
 
 
 def daily_transactions(secure: bool = False) -> str:
@@ -61,7 +62,7 @@ def monthly_kpis(secure: bool = False) -> str:
     money = {"txn_value": "sum(amount)", "deposit_value": INFLOW, "outflow_value": OUTFLOW, "net_flow": "sum(signed_amount)"}
     pairs = f"SELECT DISTINCT {MONTH} AS month_start, customer_id, source_account_id FROM {{fact_transactions}}"
     if secure:
-        pairs = f"SELECT * FROM ({pairs}) WHERE customer_id IN (SELECT customer_id FROM {{visible}})"
+        pairs = f"SELECT month_start, customer_id, source_account_id FROM ({pairs}) {SEEN}"
     return f"""
         SELECT month_start, txn_count, txn_value, {_rate("txn_value", "txn_count")} AS avg_txn_value, deposit_value,
                outflow_value, net_flow, active_customers, active_accounts,
