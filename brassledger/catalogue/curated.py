@@ -5,7 +5,7 @@ from __future__ import annotations
 from brassledger import fixtures as X
 from brassledger.catalogue.core import query
 from brassledger.operators import quality
-from brassledger.plans import analysis, marts
+from brassledger.plans import analysis, marts, profiles
 
 BRANCH_ACTIVITY = """
     SELECT b.branch_id, branch_name, city, b.state, region, channel, month_start, count(*) AS txn_count,
@@ -190,6 +190,18 @@ def q03_value_percentiles(ws):
     return analysis.value_percentiles(ws.fact)
 
 
+@query(
+    "value_percentiles_daily",
+    """SELECT transaction_date, transaction_type, count(*) AS txn_count,
+              sum(amount)::DECIMAL(38,2) AS total_value,
+              quantile_disc(amount, 0.5)::DECIMAL(18,2) AS median_value,
+              quantile_disc(amount, 0.95)::DECIMAL(18,2) AS p95_value FROM fact GROUP BY ALL""",
+)
+def value_percentiles_daily(ws):
+    """From the stored sketches: exact up to 4096 rows a day and type, within their rank error above."""
+    return profiles.value_percentiles(ws.now.profile(), *profiles.BY).drop("avg_value")
+
+
 @query(
     "q04_active_customers",
     """SELECT month_start, active_customers, round(txn_count::DOUBLE / active_customers, 2) AS txns_per_customer

@@ -9,6 +9,7 @@ from brassledger import fixture_defects as D
 from brassledger import fixtures as X
 from brassledger.catalogue.core import query
 from brassledger.operators import quality, rules
+from brassledger.plans import profiles
 
 MAIN = "run_id = '20240201T000000Z'"
 
@@ -155,6 +156,32 @@ def metric_on_demand(ws):
     return counted.select(repeats.alias("dup_txn_ids"), "non_positive_amounts")
 
 
+@query(
+    "metric_merged",
+    """SELECT cast(transaction_ts AS date) AS transaction_date, transaction_type, count(*) AS row_count,
+              count(*) FILTER (transaction_id IS NULL) AS null_ids,
+              count(*) FILTER (source_account_id IS NULL) AS null_accounts,
+              count(*) FILTER (channel IS NULL) AS null_channels,
+              count(*) FILTER (amount <= 0) AS non_positive_amounts,
+              count(*) FILTER (coalesce(channel, '') NOT IN ('MOBILE', 'ONLINE', 'ATM', 'BRANCH', 'POS'))
+                  AS invalid_channels
+       FROM std GROUP BY ALL""",
+)
+def metric_merged(ws):
+    """All counting metrics of the raw zone from the states of its folders."""
+    return profiles.metrics(ws.raw_profile(), *profiles.BY).drop("distinct_ids", "duplicates")
+
+
+@query(
+    "metric_state_total",
+    """SELECT count(*) AS row_count, count(*) FILTER (amount <= 0) AS non_positive_amounts,
+              sum(amount)::DECIMAL(38,2) AS amount_total FROM fact""",
+)
+def metric_state_total(ws):
+    """The published fact's totals from the states written with it; the fact is not read."""
+    return profiles.merged(ws.now.profile()).select("row_count", "non_positive_amounts", "amount_total")
+
+
 # ---------------------------------------------------------------- checks
 
 

@@ -18,7 +18,9 @@ from brassledger import contracts as K
 from brassledger import fixture_defects as D
 from brassledger import fixtures as X
 from brassledger.operators import governance as G
+from brassledger.operators import standardise
 from brassledger.operators.quality import QualityGateBlocked
+from brassledger.plans import profiles
 from brassledger.plans.catalog import Catalog
 from brassledger.plans.marts import SecureMarts
 from brassledger.plans.run import Lake, RawZone, Run, Settings, Snapshot, publish
@@ -80,6 +82,19 @@ class Workspace:
         batch = files.read_raw(self.spark, f"{self.raw_root}/transactions/source=batch", K.RAW_TRANSACTION)
         return RawZone(batch, z.accounts, z.customers, z.branches)
 
+    def raw_profile(self) -> DataFrame:
+        """States of the raw zone's folders, kept; folders that are new or changed are measured now."""
+        folders = profiles.folders_of(self.spark, f"{self.raw_root}/transactions")
+        self.raw_profiles.refresh(folders, self.read_typed)
+        return self.raw_profiles.state(folders)
+
+    @cached_property
+    def raw_profiles(self) -> profiles.Profiles:
+        return profiles.Profiles(self.spark, self.fresh("profiles"))
+
+    def read_typed(self, paths: list[str]) -> DataFrame:
+        return standardise.transactions(files.read_raw(self.spark, paths, K.RAW_TRANSACTION))
+
     @cached_property
     def run(self) -> Run:
         """The main run over tables staged once from the raw files."""

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from brassledger import contracts as K
 from brassledger.operators import enrich, governance, quality, rules, standardise, validate
+from brassledger.plans import profiles
 from brassledger.session import discard, exists, staged
 from brassledger.sources import files
 
@@ -275,6 +276,10 @@ class Snapshot:
         """The published fact with its year/month folders, so date filters can prune."""
         return files.read_fact(self.lake.spark, self.lake.curated(self.run_id, "fact_transactions"))
 
+    def profile(self) -> DataFrame:
+        """Counts and sketches of the published fact by day and type (see `profiles`), written with it."""
+        return files.read_table(self.lake.spark, self.lake.curated(self.run_id, "fact_profile"), profiles.STATE_DDL)
+
     def dimension(self, table: str) -> DataFrame:
         return files.read_table(self.lake.spark, self.lake.curated(self.run_id, table), DIMENSIONS[table])
 
@@ -353,6 +358,7 @@ def _write_run(run: Run, lake: Lake) -> dict:
         path = lake.curated(run_id, "fact_transactions")
         files.write_fact(documented(run.fact, "fact_transactions"), path)
         run.fact = files.read_fact(spark, path)
+        files.write_table(profiles.measure(run.fact), lake.curated(run_id, "fact_profile"))
 
     def write_dimensions() -> None:
         for table in DIMENSIONS:
