@@ -18,9 +18,10 @@ word borders; before a document stand end bytes.
   its occurrences.
 
 The base score needs the training count of every word of every document.  Tasks number the distinct words of a block of
-documents and write the block as numbers; counts are summed per word over blocks, in one shuffle by word, and go back to
-their blocks in one shuffle by block, where the documents are scored.  A word meets as many rows as there are blocks
-that hold it, never its occurrences, and texts are read once.
+documents and write the block as numbers; counts are summed per word, first in the tasks that read them, and join the words of the blocks
+again.  A word that every block holds (the end, say) has one sum and as many rows as there are blocks; no task has to
+take them all, as a sum combines on the map side and a join can split them.  One shuffle by block brings them to their
+documents; texts are read once.
 
 Nulls and odd rows: a null text is an empty one, a single end; rows with a null id belong to training; rows with
 repeated ids are documents of their own; an empty table gives no rows; without training documents the model is uniform
@@ -37,7 +38,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brassledger.session import shared_folder, staged
@@ -303,14 +304,14 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER) -> DataFrame:
     bag = F.pmod(F.xxhash64(context_end), F.lit(totals.count() // BAG_GRAMS + 1))
     logs = staged(totals.withColumn("bag", bag).groupBy("bag").applyInArrow(judge, "gram long, log double"), "logs", folder)
 
-    by_word = Window.partitionBy("word").orderBy("block")
     words = read(WORD).select("block", "local", "word", "n")
-    words = words.select(
+    sums = words.groupBy("word").agg(F.sum("n").cast("double").alias("value"), F.min("block").alias("home"))
+    words = words.join(sums, "word").select(
         "block",
         F.lit(WORD).alias("kind"),
         F.col("local").cast("long").alias("key"),
-        F.sum("n").over(by_word.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).cast("double").alias("value"),
-        (F.row_number().over(by_word) == 1).alias("first"),
+        "value",
+        (F.col("block") == F.col("home")).alias("first"),
     )
 
     known_grams = grams.join(logs, "gram").select(
