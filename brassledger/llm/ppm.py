@@ -306,26 +306,22 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER) -> DataFrame:
 
     words = read(WORD).select("block", "local", "word", "n")
     sums = words.groupBy("word").agg(F.sum("n").cast("double").alias("value"), F.min("block").alias("home"))
-    words = words.join(sums, "word").select(
-        "block",
-        F.lit(WORD).alias("kind"),
-        F.col("local").cast("long").alias("key"),
-        "value",
-        (F.col("block") == F.col("home")).alias("first"),
-    )
-
-    known_grams = grams.join(logs, "gram").select(
-        "block", F.lit(GRAM).alias("kind"), F.col("gram").alias("key"), F.col("log").alias("value"), F.lit(False).alias("first")
-    )
+    # One narrow row per word or string of a block: words have keys below 0 (-1 - local), and the block that is to count
+    # the word as new has its sum as -1 - sum; strings have keys from 0.
+    summed = F.when(F.col("block") == F.col("home"), -1 - F.col("value")).otherwise(F.col("value"))
+    words = words.join(sums, "word").select("block", (-1 - F.col("local").cast("long")).alias("key"), summed.alias("value"))
+    known_grams = grams.join(logs, "gram").select("block", F.col("gram").alias("key"), F.col("log").alias("value"))
 
     def finish(known: pa.Table, block: pa.Table) -> pa.Table:
         import zstandard
 
         unpack = zstandard.ZstdDecompressor().decompress
-        kind, key, value, first = (known.column(c).to_numpy() for c in ("kind", "key", "value", "first"))
-        by = np.flatnonzero(kind == WORD)
-        by = by[np.argsort(key[by])]
-        total, first, gram = value[by], first[by], kind == GRAM
+        key, value = (known.column(c).to_numpy() for c in ("key", "value"))
+        gram = key >= 0
+        by = np.flatnonzero(~gram)
+        by = by[np.argsort(-1 - key[by])]
+        first = value[by] < 0
+        total = np.where(first, -1 - value[by], value[by])
         row = block.to_pylist()[0]
         numbers = np.frombuffer(unpack(row["ids"]), np.uint32)
         spelled = [END, *unpack(row["spelled"]).split(END)]
@@ -335,7 +331,7 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER) -> DataFrame:
         running = np.concatenate([[0.0], np.cumsum(log[numbers])]), np.concatenate([[0], np.cumsum(met[numbers])])
         documents = [spell([spelled[i] for i in numbers[a:b].tolist()], order) for a, b in zip(ends - sizes, ends)]
         new = np.zeros(len(sizes), np.int64)
-        new[0] = np.count_nonzero((total > 0) & first.astype(bool))
+        new[0] = np.count_nonzero((total > 0) & first)
         return pa.table(
             {
                 "doc_id": pa.array(row["doc_ids"], pa.string()),
