@@ -7,6 +7,7 @@ from brassledger.catalogue import (  # noqa: F401  (importing registers the quer
     governance,
     ingest,
     joins,
+    malformed,
     preparation,
     quality,
     row_checks,

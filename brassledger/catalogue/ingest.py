@@ -26,7 +26,7 @@ def zone(column: str = "source_file"):
 
 @query("scan_raw_csv", f"SELECT {RAW_AS_READ} FROM raw")
 def scan_raw_csv(ws):
-    return ws.raw.transactions.drop("source_file")
+    return ws.raw.transactions.drop("source_file", K.RAW_LINE)
 
 
 @query(
@@ -38,7 +38,7 @@ def scan_raw_csv(ws):
     ),
 )
 def string_schema(ws):
-    fields = ws.raw.transactions.drop("source_file").schema.fields
+    fields = ws.raw.transactions.drop("source_file", K.RAW_LINE).schema.fields
     filled = ws.raw.transactions.agg(*[F.count(f.name).alias(f.name) for f in fields])
     lines = [
         F.struct(

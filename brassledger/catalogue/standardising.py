@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from brassledger import contracts as K
 from brassledger.catalogue.core import query
 from brassledger.catalogue.ingest import zone
 from brassledger.functions import columns as C
@@ -90,7 +91,7 @@ def keep_raw_originals(ws):
     "SELECT * EXCLUDE (n) REPLACE (regexp_extract(source_file, '(source=[a-z]+)', 1) AS source_file) FROM std",
 )
 def standardize_transactions(ws):
-    return ws.run.std.withColumn("source_file", zone())
+    return ws.run.std.drop(K.RAW_LINE).withColumn("source_file", zone())
 
 
 @query(

@@ -77,9 +77,37 @@ class Workspace:
     def raw(self) -> RawZone:
         return RawZone.read(self.spark, self.raw_root)
 
+    @cached_property
+    def ragged_root(self) -> str:
+        """The transactions with some delivered under another layout: without their last two columns, or with one more."""
+        root = self.fresh("ragged")
+        rows = D.inject_defects(X.clean_transactions(self.spark, self.sf_dir), X.NUMBER)
+        rows = rows.withColumns({"layout": F.coalesce(D.layout_kind(X.NUMBER), F.lit("agreed")), "note": F.lit("late")})
+        layouts = {"agreed": K.RAW_TRANSACTION, "short": K.RAW_TRANSACTION[:-2], "long": (*K.RAW_TRANSACTION, "note")}
+        streamed = F.col("source_file").contains(K.STREAM_MARK)
+        for zone, wanted in {"source=batch": ~streamed, "source=stream": streamed}.items():
+            for layout, columns in layouts.items():
+                delivered = rows.filter(wanted & (F.col("layout") == layout))
+                files.write_raw(delivered, f"{root}/transactions/{zone}/layout={layout}", columns)
+        return root
+
+    @property
+    def ragged(self) -> RawZone:
+        z = self.raw
+        path = f"{self.ragged_root}/transactions"
+        rows = files.read_raw(self.spark, path, K.RAW_TRANSACTION, keep_malformed=True)
+        return RawZone(rows, z.accounts, z.customers, z.branches)
+
+    @cached_property
+    def ragged_lake(self) -> Lake:
+        lake = Lake(self.spark, self.fresh("ragged-lake"))
+        publish(self.ragged, Settings(X.AS_OF), lake)
+        return lake
+
     def raw_batch_only(self) -> RawZone:
         z = self.raw
-        batch = files.read_raw(self.spark, f"{self.raw_root}/transactions/source=batch", K.RAW_TRANSACTION)
+        path = f"{self.raw_root}/transactions/source=batch"
+        batch = files.read_raw(self.spark, path, K.RAW_TRANSACTION, keep_malformed=True)
         return RawZone(batch, z.accounts, z.customers, z.branches)
 
     def raw_profile(self) -> DataFrame:

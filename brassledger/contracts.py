@@ -61,6 +61,12 @@ REASONS = {
     "DUPLICATE_TXN_ID": ("Uniqueness", "One record per transaction ID"),
 }
 
+# A line with too few or too many fields.  Its values cannot be told apart, so the line itself is kept in a column of
+# this name (NULL for well-formed rows) and the row has this one reason.  Not one of the fixed codes above: the
+# scorecard shows it when it occurs.
+RAW_LINE = "malformed_line"
+LINE_REASONS = {"MALFORMED_LINE": ("Validity", "Every line has the fields of its contract")}
+
 # --- fixed values: pipeline status and dataset names
 PUBLISHED = "PUBLISHED"
 BLOCKED = "BLOCKED_BY_QUALITY_GATE"
@@ -103,6 +109,9 @@ QUARANTINE_DDL = """
     is_fraud_flag int, ingest_source string, source_file string, raw_transaction_timestamp string,
     raw_amount string, dq_fail_reasons string, run_id string, quarantined_at timestamp_ntz
 """
+MALFORMED_DDL = """
+    malformed_line string, ingest_source string, source_file string, run_id string, quarantined_at timestamp_ntz
+"""
 OUTCOME_DDL = """
     run_id string, run_ts timestamp_ntz, dataset string, rule string, outcome string,
     failure_reason string, evaluated_metrics string

@@ -34,6 +34,10 @@ BAD_STATUSES = ("ACTV", "UNKNOWN", "")
 # Kinds the standard injection leaves out; used to exercise the remaining checks.
 EXTRA_RESIDUES = {"INVALID_AMOUNT": (32, 33), "INVALID_CHANNEL": (34, 35), "INVALID_STATUS": (36, 38)}
 
+# Rows delivered under another column layout: two fields short, or one too many.
+LINE_RESIDUES = {"short": (40, 41), "long": (42, 43)}
+
+
 def _residue(number: str) -> Column:
     return F.pmod(F.col(number), F.lit(CYCLE))
 
@@ -154,6 +158,11 @@ def corrupt(events: DataFrame, pick: Column) -> DataFrame:
     )
 
 
+def layout_kind(number: str) -> Column:
+    """'short' or 'long' for rows to be delivered under another layout, else NULL."""
+    return defect_kind(number, LINE_RESIDUES)
+
+
 def hashed_pick(key: Column, per_thousand: int) -> Column:
     """Which of the four ways, for about `per_thousand` of 1000 events; NULL for the others."""
     h = F.pmod(F.xxhash64(key), F.lit(1000))

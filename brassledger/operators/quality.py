@@ -160,11 +160,13 @@ def newest_by_rank(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _reason_values() -> str:
-    rows = ", ".join(f"('{reason}', '{dimension}', '{rule}')" for reason, (dimension, rule) in K.REASONS.items())
-    return f"SELECT * FROM VALUES {rows} AS t(rule_code, dq_dimension, business_rule)"
+    codes = {**K.REASONS, **K.LINE_REASONS}
+    rows = ", ".join(f"('{code}', '{dim}', '{rule}', {code in K.REASONS})" for code, (dim, rule) in codes.items())
+    return f"SELECT * FROM VALUES {rows} AS t(rule_code, dq_dimension, business_rule, always)"
 
 
-#: Pass rate per reason code for the newest run, over named relations; codes without rows pass at 100.
+#: Pass rate per reason code for the newest run, over named relations; codes without rows pass at 100.  The reason of
+#: malformed lines has a row when it occurs.
 SCORECARD = f"""
     WITH newest AS (SELECT max(struct(run_ts, run_id, raw_rows)) AS run FROM {{run_summary}}),
     failing AS (SELECT reason, CAST(sum(row_count) AS bigint) AS failing FROM {{quarantine_reasons}}
@@ -173,7 +175,7 @@ SCORECARD = f"""
     SELECT dq_dimension, rule_code, business_rule, coalesce(failing, 0L) AS failing_rows, run.raw_rows AS evaluated_rows,
            round(100D * CAST(run.raw_rows - coalesce(failing, 0L) AS double) / nullif(CAST(run.raw_rows AS double), 0D), 4)
                AS pass_rate_pct, run.run_id AS run_id
-    FROM codes LEFT JOIN failing ON reason = rule_code WHERE run IS NOT NULL"""
+    FROM codes LEFT JOIN failing ON reason = rule_code WHERE run IS NOT NULL AND (always OR failing > 0)"""
 
 
 def scorecard(summary: DataFrame, reasons: DataFrame) -> DataFrame:
@@ -194,6 +196,29 @@ def load_reconciliation(summary: DataFrame, fact: DataFrame, quarantine: DataFra
     )
 
 
+def line_reconciliation(delivered: DataFrame, malformed: DataFrame, quarantine: DataFrame, fact: DataFrame) -> DataFrame:
+    """Delivered lines per path against what became of them; 0 means that none is lost.
+
+    All four have `ingest_source`.  Malformed lines are also quarantined, under a reason of their own; the other rows
+    of the quarantine are counted beside them.
+    """
+    parts = {
+        "delivered_lines": delivered,
+        "malformed_lines": malformed,
+        "other_quarantined_rows": quarantine.filter(~F.col("dq_fail_reasons").isin(*K.LINE_REASONS)),
+        "fact_rows": fact,
+    }
+    counted = None
+    for name, rows in parts.items():
+        part = rows.groupBy("ingest_source").agg(row_count().alias("n")).withColumn("part", F.lit(name))
+        counted = part if counted is None else counted.unionByName(part)
+    totals = counted.groupBy("ingest_source").agg(
+        *[F.coalesce(F.sum(F.when(F.col("part") == name, F.col("n"))), F.lit(0)).cast("bigint").alias(name) for name in parts]
+    )
+    delivered_lines, *others = [F.col(name) for name in parts]
+    return totals.withColumn("unexplained_diff", delivered_lines - sum(others[1:], others[0]))
+
+
 def defect_reconciliation(reasons: DataFrame, manifest: DataFrame) -> DataFrame:
     """Caught against injected rows per reason, from either side."""
     caught = reasons.groupBy("reason").agg(F.sum("row_count").alias("caught_rows"))

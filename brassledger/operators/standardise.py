@@ -17,7 +17,12 @@ def instant(value: dt.datetime) -> Column:
 
 
 def transactions(raw: DataFrame) -> DataFrame:
-    """17 columns: the typed transaction, its path, and the two raw originals."""
+    """17 columns: the typed transaction, its path, and the two raw originals.
+
+    Where the raw rows carry `malformed_line`, it follows as the 18th, and a
+    row that has one keeps its path only: a missing or extra field shifts the
+    others, so none of its values is what its column says.
+    """
     codes = ("transaction_type", "channel", "merchant_category", "branch_id", "transaction_status")
     typed = {
         "transaction_id": C.code("transaction_id"),
@@ -35,7 +40,12 @@ def transactions(raw: DataFrame) -> DataFrame:
         "raw_amount": F.col("amount"),
     }
     order = K.layout_columns(K.QUARANTINE_DDL)[:17]
-    return raw.select(*[typed[name].alias(name) for name in order])
+    if K.RAW_LINE not in raw.columns:
+        return raw.select(*[typed[name].alias(name) for name in order])
+    whole = F.col(K.RAW_LINE).isNull()
+    path = ("ingest_source", "source_file")
+    values = {name: typed[name] if name in path else F.when(whole, typed[name]) for name in order}
+    return raw.select(*[value.alias(name) for name, value in values.items()], K.RAW_LINE)
 
 
 def newest_per_key(df: DataFrame, key: str, newest_by: str) -> DataFrame:

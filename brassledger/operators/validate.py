@@ -52,6 +52,14 @@ def reason_array(checks: dict[str, Column]) -> Column:
     return F.when(found == "", F.array().cast("array<string>")).otherwise(F.split(found, ","))
 
 
+def found_reasons(rows: DataFrame, as_of: dt.datetime) -> Column:
+    """The reasons of every row; a malformed line has that one reason, since it has no values to check."""
+    found = reason_array(row_checks(as_of))
+    if K.RAW_LINE not in rows.columns:
+        return found
+    return F.when(F.col(K.RAW_LINE).isNotNull(), F.array(*map(F.lit, K.LINE_REASONS))).otherwise(found)
+
+
 def with_owner(txns: DataFrame, master: DataFrame) -> DataFrame:
     """Left lookup of the account owner as one struct column `owner`.
 
@@ -77,7 +85,7 @@ def check_rows(std: DataFrame, master: DataFrame, as_of: dt.datetime) -> DataFra
     # The lane is taken before any shuffle, so a task that runs twice numbers
     # its rows alike.  It only serves to split large groups of copies.
     laned = std.withColumn(LANE, F.monotonically_increasing_id())
-    return with_owner(laned, master).withColumn(REASON_COLUMN, reason_array(row_checks(as_of)))
+    return with_owner(laned, master).withColumn(REASON_COLUMN, found_reasons(std, as_of))
 
 
 def _row_ok() -> Column:
@@ -142,11 +150,11 @@ def flag(std: DataFrame, master: DataFrame, as_of: dt.datetime) -> DataFrame:
 
 
 def valid_rows(flagged: DataFrame) -> DataFrame:
-    return flagged.filter(_row_ok()).drop(REASON_COLUMN, "raw_transaction_timestamp", "raw_amount")
+    return flagged.filter(_row_ok()).drop(REASON_COLUMN, "raw_transaction_timestamp", "raw_amount", K.RAW_LINE)
 
 
 def quarantined_rows(flagged: DataFrame, run_id: str, at: dt.datetime) -> DataFrame:
-    bad = flagged.filter(F.size(REASON_COLUMN) > 0).drop("owner")
+    bad = flagged.filter(F.size(REASON_COLUMN) > 0).drop("owner", K.RAW_LINE)
     return bad.withColumns(
         {
             REASON_COLUMN: F.concat_ws(",", REASON_COLUMN),
@@ -156,6 +164,14 @@ def quarantined_rows(flagged: DataFrame, run_id: str, at: dt.datetime) -> DataFr
     )
 
 
+def malformed_lines(flagged: DataFrame, run_id: str, at: dt.datetime) -> DataFrame:
+    """The lines as delivered, with their files, so that they can be mended and delivered again."""
+    if K.RAW_LINE not in flagged.columns:
+        flagged = flagged.withColumn(K.RAW_LINE, F.lit(None).cast("string"))
+    lines = flagged.filter(F.col(K.RAW_LINE).isNotNull()).select(K.RAW_LINE, "ingest_source", "source_file")
+    return lines.withColumns({"run_id": F.lit(run_id), "quarantined_at": instant(at)})
+
+
 def reason_counts(quarantine: DataFrame, run_id: str, run_ts: dt.datetime) -> DataFrame:
     """Rows per reason and path; a row with k reasons counts k times."""
     single = quarantine.select(F.explode(F.split(REASON_COLUMN, ",")).alias("reason"), "ingest_source")

@@ -20,7 +20,7 @@ from brassledger.sources import files
 
 @dataclass(frozen=True)
 class RawZone:
-    """Raw frames: contract columns plus `source_file` on the transactions."""
+    """Raw frames: contract columns plus `source_file` on the transactions, and `malformed_line` if they come from files."""
 
     transactions: DataFrame
     accounts: DataFrame
@@ -30,7 +30,7 @@ class RawZone:
     @classmethod
     def read(cls, spark: SparkSession, root: str) -> RawZone:
         return cls(
-            files.read_raw(spark, f"{root}/transactions", K.RAW_TRANSACTION),
+            files.read_raw(spark, f"{root}/transactions", K.RAW_TRANSACTION, keep_malformed=True),
             files.read_raw(spark, f"{root}/accounts", K.RAW_ACCOUNT),
             files.read_raw(spark, f"{root}/customers", K.RAW_CUSTOMER),
             files.read_raw(spark, f"{root}/branches", K.RAW_BRANCH),
@@ -134,6 +134,10 @@ class Run:
     def quarantine(self) -> DataFrame:
         return validate.quarantined_rows(self.flagged, self.settings.run_id, self.settings.as_of)
 
+    @cached_property
+    def malformed_lines(self) -> DataFrame:
+        return validate.malformed_lines(self.flagged, self.settings.run_id, self.settings.as_of)
+
     @cached_property
     def fact(self) -> DataFrame:
         return enrich.fact_rows(self.valid, self.settings.run_id)
@@ -287,6 +291,11 @@ class Snapshot:
         path = self.lake.quarantine(self.newest_run, "transactions")
         return files.read_table(self.lake.spark, path, K.QUARANTINE_DDL)
 
+    def malformed_lines(self) -> DataFrame:
+        """Lines of the newest run whose fields do not fit the contract; each is one quarantined row."""
+        path = self.lake.quarantine(self.newest_run, "malformed_lines")
+        return files.read_table(self.lake.spark, path, K.MALFORMED_DDL)
+
     def _until_now(self, rows: DataFrame) -> DataFrame:
         return rows.filter(F.col("run_ts") <= standardise.instant(self.newest_ts))
 
@@ -348,6 +357,9 @@ def _write_run(run: Run, lake: Lake) -> dict:
         run.quarantine = files.read_table(spark, path, K.QUARANTINE_DDL)
         files.write_table(run.reasons, lake.history("quarantine_reasons", run_id))
 
+    def write_malformed_lines() -> None:
+        files.write_table(run.malformed_lines, lake.quarantine(run_id, "malformed_lines"))
+
     def write_account_quarantine() -> None:
         path = lake.quarantine(run_id, "accounts")
         rejected = run.account_quarantine
@@ -365,7 +377,8 @@ def _write_run(run: Run, lake: Lake) -> dict:
             files.write_table(documented(getattr(run, table), table), lake.curated(run_id, table))
 
     # Quarantine and history are written whatever the gate says, curated tables only if it passes.
-    together(*([write_fact, write_dimensions] if passed else []), write_quarantine, write_account_quarantine)
+    always = (write_quarantine, write_account_quarantine, write_malformed_lines)
+    together(*([write_fact, write_dimensions] if passed else []), *always)
 
     outcomes = run.raw_outcomes.unionByName(run.curated_outcomes) if passed else run.raw_outcomes
     files.write_table(outcomes, lake.history("rule_outcomes", run_id))

@@ -22,11 +22,17 @@ CSV_DIALECT = {
 }
 
 
-def read_raw(spark: SparkSession, path: str | list[str], columns) -> DataFrame:
-    """Every CSV (plain or gzip) below `path`, as text, with the file each row came from."""
-    reader = spark.read.schema(K.text_schema(columns)).options(**CSV_DIALECT)
-    rows = reader.options(recursiveFileLookup="true", mode="PERMISSIVE").csv(path)
-    return with_lineage(rows)
+def read_raw(spark: SparkSession, path: str | list[str], columns, keep_malformed: bool = False) -> DataFrame:
+    """Every CSV (plain or gzip) below `path`, as text, with the file each row came from.
+
+    `keep_malformed` adds the column `malformed_line`: the whole line where it has more or fewer fields than `columns`,
+    NULL elsewhere.  Spark then parses all fields of a line even if few are asked for, and refuses to read that column
+    without any other column of the contract.
+    """
+    kept = [K.RAW_LINE] if keep_malformed else []
+    reader = spark.read.schema(K.text_schema([*columns, *kept])).options(**CSV_DIALECT)
+    reader = reader.options(recursiveFileLookup="true", mode="PERMISSIVE", columnNameOfCorruptRecord=K.RAW_LINE)
+    return with_lineage(reader.csv(path))
 
 
 def with_lineage(rows: DataFrame) -> DataFrame:
