@@ -5,8 +5,9 @@ Bytes of the UTF-8 text get learned vectors; learned filters slide over all posi
 filter is max-pooled per chunk, the chunks of a document are averaged, and a small hidden layer makes one probability
 of them.  Averages over chunks do not depend on the length of a text; the whole of it counts.
 
-Training takes a bounded sample: per class the `TRAIN_DOCS` labelled documents with the lowest hash of their id, and of
-each at most `TRAIN_CHUNKS` chunks, evenly spaced.  That is all that reaches the driver.  Classes weigh the same, so a
+Training takes a bounded sample of rows and the whole text of each: per class the `TRAIN_DOCS` labelled documents with
+the lowest hash of their id, without texts of more than `TRAIN_TEXT` bytes, up to `TRAIN_BYTES` bytes.  That is all that
+reaches the driver.  Where rows share an id, the smallest of their texts stands for it.  Classes weigh the same, so a
 score is the probability under equal shares of good and bad.  The same data gives the same weights.
 
 Scoring is a pandas UDF over texts: narrow, in blocks of bounded size.
@@ -18,16 +19,18 @@ scored each; an empty table gives no rows; further columns are ignored or, in a
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK, WIDTH = 256, 5
 DIM, FILTERS, HIDDEN = 8, 24, 16
-TRAIN_DOCS, TRAIN_CHUNKS = 1500, 4
+TRAIN_DOCS = 1500  # a class
+TRAIN_TEXT, TRAIN_BYTES = 1 << 18, 1 << 24  # of one text, of all texts of a class
 EPOCHS, BATCH, RATE = 14, 64, 0.01
 BLOCK = 64 * CHUNK  # positions convolved at a time
 THRESHOLD = 0.3
@@ -67,19 +70,35 @@ class Network:
         deep = np.tanh(pooled @ self.hidden + self.hidden_bias)
         return 1 / (1 + np.exp(-(deep @ self.out + self.out_bias[0]))), deep
 
-    def pool(self, data: np.ndarray, blind: np.ndarray) -> np.ndarray:
-        """Max per filter and chunk over bytes laid out in whole chunks; `blind` positions do not count."""
+    def seen(self, data: np.ndarray, blind: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Blocks of (first chunk, chunk x position x filter) over bytes laid out in whole chunks; `blind` positions do not count."""
         chunks = len(data) // CHUNK
-        out = np.empty((chunks, FILTERS), np.float32)
         data = np.concatenate([data, np.zeros(WIDTH - 1, np.uint8)])
         edges = np.searchsorted(blind, np.arange(0, chunks * CHUNK + BLOCK, BLOCK))
         for k, at in enumerate(range(0, chunks * CHUNK, BLOCK)):
             end = min(at + BLOCK, chunks * CHUNK)
             seen = np.ascontiguousarray(self.windows(data[at : end + WIDTH - 1])) @ self.filters
             seen[blind[edges[k] : edges[k + 1]] - at] = -np.inf
-            out[at // CHUNK : end // CHUNK] = seen.reshape(-1, CHUNK, FILTERS).max(1)
+            yield at // CHUNK, seen.reshape(-1, CHUNK, FILTERS)
+
+    def pool(self, data: np.ndarray, blind: np.ndarray) -> np.ndarray:
+        """Max per filter and chunk."""
+        out = np.empty((len(data) // CHUNK, FILTERS), np.float32)
+        for first, seen in self.seen(data, blind):
+            out[first : first + len(seen)] = seen.max(1)
         return np.maximum(out + self.bias, 0)
 
+    def peaks(self, data: np.ndarray, blind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where in `data` each filter has its max in each chunk, and that max without bias."""
+        at = np.empty((len(data) // CHUNK, FILTERS), np.int64)
+        peak = np.empty(at.shape, self.filters.dtype)
+        for first, seen in self.seen(data, blind):
+            top = seen.argmax(1)
+            block = slice(first, first + len(seen))
+            at[block] = top + (first + np.arange(len(seen)))[:, None] * CHUNK
+            peak[block] = np.take_along_axis(seen, top[:, None, :], 1)[:, 0]
+        return at, peak
+
     def score(self, texts: list[str | None]) -> np.ndarray:
         """Probability of good quality for each whole text."""
         found = np.empty(len(texts))
@@ -116,17 +135,8 @@ def lay_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 # ---------------------------------------------------------------- training
-def sample_chunks(text: str | None) -> bytes:
-    """TRAIN_CHUNKS evenly spaced chunks of a text, each with the bytes its windows reach; repeated if there are fewer."""
-    data = (text or "").encode("utf-8", "replace")
-    n = chunks_of(len(data))
-    data = data.ljust(n * CHUNK + WIDTH, b"\0")
-    at = np.round(np.linspace(0, n - 1, TRAIN_CHUNKS)).astype(int) * CHUNK
-    return b"".join(data[a : a + CHUNK + WIDTH - 1] for a in at.tolist())
-
-
-def train(samples: np.ndarray, labels: np.ndarray, seed: int = 7) -> Network:
-    """Adam on the cross-entropy; classes weigh the same.  samples: documents x chunks x bytes."""
+def train(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> Network:
+    """Adam on the cross-entropy of whole texts; classes weigh the same."""
     rng = np.random.default_rng(seed)
     net = Network.fresh(rng)
     weight = np.where(labels == 1, 0.5 / max((labels == 1).mean(), 1e-9), 0.5 / max((labels == 0).mean(), 1e-9))
@@ -138,63 +148,58 @@ def train(samples: np.ndarray, labels: np.ndarray, seed: int = 7) -> Network:
             some = order[at : at + BATCH]
             step += 1
             rate = RATE * (1 - 0.8 * epoch / EPOCHS) * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
-            for p, g, (m, v) in zip(net.parameters(), gradients(net, samples[some], labels[some], weight[some]), moments):
+            found = gradients(net, [texts[i] for i in some], labels[some], weight[some])
+            for p, g, (m, v) in zip(net.parameters(), found, moments):
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
                 p -= (rate * m / (np.sqrt(v) + 1e-8)).astype(np.float32)
     return net
 
 
-def gradients(net: Network, data: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
-    docs, chunks, size = data.shape
-    flat = data.reshape(docs * chunks, size)
-    vectors = net.bytes[flat]
-    shape = (docs * chunks, CHUNK, WIDTH * DIM)
-    windows = np.lib.stride_tricks.as_strided(vectors, shape, (vectors.strides[0], vectors.strides[1], vectors.strides[2]))
-    seen = (np.ascontiguousarray(windows).reshape(-1, WIDTH * DIM) @ net.filters).reshape(docs * chunks, CHUNK, FILTERS)
-    top = seen.argmax(1)  # chunk x filter
-    peak = np.take_along_axis(seen, top[:, None, :], 1)[:, 0] + net.bias
-    pooled = np.maximum(peak, 0).reshape(docs, chunks, FILTERS).mean(1)
+def gradients(net: Network, texts: list[bytes], labels: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
+    """Of the mean loss over whole texts, whatever their number of chunks."""
+    data, counts, blind = lay_out(texts)
+    at, peak = net.peaks(data, blind)
+    peak = peak + net.bias
+    pooled = np.add.reduceat(np.maximum(peak, 0), np.concatenate([[0], np.cumsum(counts)[:-1]]), axis=0) / counts[:, None]
     probability, deep = net.head(pooled)
 
-    d_out = ((probability - labels) * weight / docs).astype(np.float32)
+    d_out = ((probability - labels) * weight / len(texts)).astype(net.out.dtype)
     d_deep = np.outer(d_out, net.out) * (1 - deep * deep)
     d_pooled = d_deep @ net.hidden.T
-    d_peak = np.repeat(d_pooled / chunks, chunks, axis=0) * (peak > 0)
-    best = np.take_along_axis(windows, top[:, :, None], 1)  # chunk x filter x window: only peaks pass gradients on
-    d_filters = np.einsum("cfw,cf->wf", best, d_peak)
-    d_best = (d_peak[:, :, None] * net.filters.T[None]).reshape(-1, DIM)
-    at = (top[:, :, None] + np.arange(WIDTH)).reshape(docs * chunks, -1)
-    d_bytes = np.zeros_like(net.bytes)
-    np.add.at(d_bytes, np.take_along_axis(flat, at, 1).ravel(), d_best)
+    d_peak = np.repeat(d_pooled / counts[:, None], counts, axis=0) * (peak > 0)
+    d_filters, d_bytes = np.zeros_like(net.filters), np.zeros_like(net.bytes)
+    data = np.concatenate([data, np.zeros(WIDTH - 1, np.uint8)])
+    for first in range(0, len(at), BLOCK // CHUNK):  # only peaks pass gradients on
+        some = d_peak[first : first + BLOCK // CHUNK]
+        near = data[at[first : first + len(some), :, None] + np.arange(WIDTH)]  # chunk x filter x byte of the window
+        d_filters += np.einsum("cfw,cf->wf", net.bytes[near].reshape(len(some), FILTERS, -1), some)
+        d_best = (some[:, :, None] * net.filters.T[None]).reshape(-1, DIM)
+        d_bytes += np.stack([np.bincount(near.ravel(), d_best[:, k], 256) for k in range(DIM)], 1).astype(d_bytes.dtype)
     return [d_bytes, d_filters, d_peak.sum(0), pooled.T @ d_deep, d_deep.sum(0), deep.T @ d_out, np.array([d_out.sum()])]
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(quality, data) of the bounded sample.  Ids are chosen among labels alone, so few rows meet the documents."""
+    """(id, quality, text) of the bounded sample.  Ids are chosen among labels alone, so few rows meet the documents."""
     known = labels.filter("quality in (0, 1) and doc_id is not null").select(
-        F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("_quality")
+        F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("quality")
     )
+    hashed = (F.xxhash64("id"), "id")
     known = known.distinct()
-    some = [known.filter(F.col("_quality") == q).orderBy(F.xxhash64("_id"), "_id").limit(TRAIN_DOCS) for q in (0, 1)]
+    some = [known.filter(F.col("quality") == q).orderBy(*hashed).limit(TRAIN_DOCS) for q in (0, 1)]
     chosen = some[0].unionAll(some[1])  # at most 2 x TRAIN_DOCS rows
-    met = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").alias("_text")).join(F.broadcast(chosen), "_id")
-
-    def run(frames):
-        for frame in frames:
-            data = [sample_chunks(t) for t in frame["_text"]]
-            yield pd.DataFrame({"id": frame["_id"], "quality": frame["_quality"], "data": data})
-
-    return met.mapInPandas(run, "id long, quality int, data binary")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    met = texts.filter(F.octet_length("text") <= TRAIN_TEXT).join(F.broadcast(chosen), "id")
+    one = met.groupBy("id", "quality").agg(F.min("text").alias("text"))
+    so_far = F.sum(F.octet_length("text")).over(Window.partitionBy("quality").orderBy(*hashed))
+    return one.withColumn("_so_far", so_far).filter(F.col("_so_far") <= TRAIN_BYTES).drop("_so_far")
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Network | None:
-    rows = training_rows(docs, labels).dropDuplicates(["id", "quality"]).toPandas()  # at most 2 x TRAIN_DOCS rows
-    rows = rows.sort_values(["id", "quality", "data"])
+    rows = training_rows(docs, labels).toPandas().sort_values(["id", "quality"])  # at most TRAIN_BYTES a class
     if rows["quality"].nunique() < 2:
         return None
-    data = np.frombuffer(b"".join(map(bytes, rows["data"])), np.uint8)
-    return train(data.reshape(len(rows), TRAIN_CHUNKS, CHUNK + WIDTH - 1), rows["quality"].to_numpy())
+    return train([t.encode("utf-8", "replace") for t in rows["text"]], rows["quality"].to_numpy())
 
 
 def quality(net: Network | None, text: Column) -> Column:

@@ -401,16 +401,22 @@ def test_gradients():
         p += rng.normal(0, 0.1, p.shape).astype(np.float32)
     for name in ("bytes", "filters", "bias", "hidden", "hidden_bias", "out", "out_bias"):
         setattr(net, name, getattr(net, name).astype(np.float64))
-    data = rng.integers(97, 103, (3, 2, cnn.CHUNK + cnn.WIDTH - 1)).astype(np.uint8)
-    labels, weight = np.array([1, 0, 1]), np.array([0.75, 1.5, 0.75])
+    # Of one chunk, of several, of more than one block, and empty.
+    texts = [rng.integers(97, 103, n).astype(np.uint8).tobytes() for n in (200, 700, cnn.BLOCK + 900, 0)]
+    labels, weight = np.array([1, 0, 1, 0]), np.array([0.75, 1.5, 0.75, 1.5])
+
+    def pooled(text):
+        chunks = cnn.chunks_of(len(text))
+        data = np.frombuffer(text.ljust(chunks * cnn.CHUNK, b"\0"), np.uint8)
+        seen = net.windows(data) @ net.filters  # the last windows would reach behind the text's chunks
+        tops = [seen[i : i + cnn.CHUNK].max(0) for i in range(0, len(data), cnn.CHUNK)]
+        return np.maximum(np.array(tops) + net.bias, 0).mean(0)
 
     def loss():
-        flat = data.reshape(6, -1)
-        pooled = np.array([np.maximum((net.windows(f) @ net.filters).max(0) + net.bias, 0) for f in flat])
-        p = net.head(pooled.reshape(3, 2, -1).mean(1))[0]
+        p = net.head(np.array([pooled(t) for t in texts]))[0]
         return -np.mean(weight * np.where(labels == 1, np.log(p), np.log(1 - p)))
 
-    for p, g in zip(net.parameters(), cnn.gradients(net, data, labels, weight)):
+    for p, g in zip(net.parameters(), cnn.gradients(net, texts, labels, weight)):
         at = np.unravel_index(np.abs(g).argmax(), g.shape)
         p[at] += 1e-6
         up = loss()
@@ -429,6 +435,35 @@ def test_quality_on_held_out_labels(spark):
     assert (met["predicted"] == met["quality"]).mean() >= 0.93
 
 
+def test_training_rows_are_whole_and_bounded(spark, monkeypatch):
+    rows = [(1, "a" * 5000), (1, "b"), (2, None), (3, "c" * 90), (4, "d" * 90), (5, "e" * 90), (None, "f"), (6, "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(
+        [(1, 1), (2, 1), (3, 0), (4, 0), (5, 0), (6, None), (None, 1), (3, 0)], "doc_id long, quality int"
+    )
+
+    def sample():
+        return {(r.id, r.quality): r.text for r in cnn.training_rows(docs, labels).collect()}
+
+    whole = {(3, 0): "c" * 90, (4, 0): "d" * 90, (5, 0): "e" * 90, (2, 1): ""}
+    assert sample() == {**whole, (1, 1): "a" * 5000}  # of repeated ids the smallest text, whole
+    monkeypatch.setattr(cnn, "TRAIN_TEXT", 100)
+    assert sample() == {**whole, (1, 1): "b"}
+    monkeypatch.setattr(cnn, "TRAIN_BYTES", 200)
+    bounded = sample()
+    assert len(bounded) == 4 and bounded.items() <= {**whole, (1, 1): "b"}.items()  # two of the three of 90 bytes
+    monkeypatch.setattr(cnn, "TRAIN_DOCS", 1)
+    assert sorted(q for _, q in sample()) == [0, 1]
+
+
+def test_the_same_data_gives_the_same_weights(spark):
+    rows = [(i, f"{'good words in a row. ' * (i % 9 + 1) if i % 2 else '#$% 0x1f' * (i % 7 + 1)}{i}") for i in range(200)]
+    docs = spark.createDataFrame(rows + [(i, "zz") for i, _ in rows[:50]], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    one, two = cnn.fit(docs, labels), cnn.fit(docs.orderBy("text", ascending=False).repartition(5), labels.repartition(3))
+    assert all(np.array_equal(a, b) for a, b in zip(one.parameters(), two.parameters()))
+
+
 def test_without_labels_everything_is_kept(spark, odd):
     labels = spark.createDataFrame([(1, 1), (None, 0), (2, None)], "doc_id long, quality int")
     assert cnn.fit(odd, labels) is None
