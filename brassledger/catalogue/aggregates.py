@@ -137,7 +137,7 @@ def agg_distinct_states(ws):
     "SELECT reason, count(*) AS row_count FROM (SELECT unnest(reasons) AS reason FROM flagged) GROUP BY reason",
 )
 def agg_explode_count(ws):
-    single = ws.lake.quarantined().select(F.explode(F.split("dq_fail_reasons", ",")).alias("reason"))
+    single = ws.newest.quarantined().select(F.explode(F.split("dq_fail_reasons", ",")).alias("reason"))
     return single.groupBy("reason").agg(rows("row_count"))
 
 

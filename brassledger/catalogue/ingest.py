@@ -154,7 +154,7 @@ def refresh_by_name(ws):
     """Upper-case names in another order, one column absent, loaded twice."""
     root = ws.fresh("refresh")
     source = ws.fact.drop("is_fraud_flag", "year", "month")
-    files.write_table(source.select(*[F.col(c).alias(c.upper()) for c in reversed(source.columns)]), f"{root}/in")
+    files.copy_table(source.select(*[F.col(c).alias(c.upper()) for c in reversed(source.columns)]), f"{root}/in")
     loads, given = Loads(ws.spark, f"{root}/out"), ws.spark.read.parquet(f"{root}/in")
     for _ in range(2):
         loads.load({"fact": (given, K.FACT_DDL)}, X.AS_OF)

@@ -179,7 +179,7 @@ def metric_merged(ws):
 )
 def metric_state_total(ws):
     """The published fact's totals from the states written with it; the fact is not read."""
-    return profiles.merged(ws.now.profile()).select("row_count", "non_positive_amounts", "amount_total")
+    return profiles.merged(ws.newest.profile()).select("row_count", "non_positive_amounts", "amount_total")
 
 
 # ---------------------------------------------------------------- checks
@@ -207,7 +207,7 @@ def check_referential_integrity(ws):
        FROM summary ORDER BY run_ts DESC LIMIT 1""",
 )
 def check_load_reconciliation(ws):
-    return quality.load_reconciliation(ws.lake.summary(), ws.fact, ws.lake.quarantined())
+    return quality.load_reconciliation(ws.lake.summary(), ws.fact, ws.newest.quarantined())
 
 
 @query("dq_scorecard", "SELECT * FROM scorecard")

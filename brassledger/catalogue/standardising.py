@@ -161,7 +161,7 @@ def filter_not_null(ws):
        FROM quarantine WHERE dq_fail_reasons LIKE '%ACCOUNT%'""",
 )
 def like_reason(ws):
-    matching = ws.lake.quarantined().filter(F.col("dq_fail_reasons").like("%ACCOUNT%"))
+    matching = ws.newest.quarantined().filter(F.col("dq_fail_reasons").like("%ACCOUNT%"))
     exact = analysis.has_reason("NULL_ACCOUNT").alias("is_null_account")
     return matching.select("transaction_id", "dq_fail_reasons", exact)
 

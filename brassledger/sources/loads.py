@@ -90,7 +90,7 @@ class Loads:
     def _write(self, load_id: str, sources: dict, loaded_at: dt.datetime, audited: tuple[str, ...]) -> None:
         def put(name: str) -> None:
             df, ddl = sources[name]
-            files.write_table(files.match_by_name(df, ddl), self.path(load_id, name))
+            files.copy_table(files.match_by_name(df, ddl), self.path(load_id, name))
 
         with ThreadPoolExecutor(max_workers=4) as pool:  # small tables fill idle cores
             for job in [pool.submit(put, name) for name in sources]:

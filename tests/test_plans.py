@@ -1,10 +1,12 @@
 """What the physical plans must and must not contain."""
 
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from brassledger import contracts as K
 from brassledger import fixtures as X
 from brassledger.catalogue import queries
 from brassledger.catalogue.workspace import Workspace
@@ -12,6 +14,7 @@ from brassledger.operators import governance as G
 from brassledger.operators import validate
 from brassledger.plans import analysis, marts
 from brassledger.plans.run import Run, Settings
+from brassledger.sources.loads import Loads
 
 
 @pytest.fixture(scope="module")
@@ -164,3 +167,35 @@ def test_no_sorting_aggregate_over_all_keys(space):
     text = plan(lazy(space).account_master)
     for at in [m.start() for m in re.finditer("SortAggregate", text)]:
         assert "LeftSemi" in text[at:]
+
+
+def test_staged_runs_hold_most_rows_once(spark, space, tmp_path):
+    """Beside the checked rows only rows of repeated ids are written; together they are the flagged rows."""
+    folder = str(tmp_path / "run")
+    run = Run(space.raw, Settings(X.AS_OF)).stage_in(folder)
+    rows = {f.name: spark.read.parquet(str(f)).count() for f in Path(folder).iterdir()}
+    checked, again = rows["checked"], run.repeated.agg(F.sum("_copies")).first()[0]
+    masters = ("accounts", "account_master", "customers", "repeated_ids", "checked")
+    assert sum(n for name, n in rows.items() if name not in masters) == again < checked / 10
+    whole = lazy(space)
+    assert sorted(map(str, run.flagged.collect())) == sorted(map(str, whole.flagged.collect()))
+    assert run.totals.collect() == whole.totals.collect()
+
+
+def test_curated_tables_need_no_history(spark, small_dir):
+    """Fact and dimensions come from the newest run alone; earlier runs are filled in for history, with the same end."""
+    space = Workspace(spark, small_dir)
+    fact, before = space.fact.count(), [r["run_id"] for r in space.newest.summary().collect()]
+    assert len(before) == 1 and "lake" not in vars(space)
+    runs = {r["run_id"]: r["pipeline_status"] for r in space.lake.summary().collect()}
+    assert len(runs) == 3 and sorted(runs.values()) == [K.BLOCKED, K.PUBLISHED, K.PUBLISHED]
+    assert space.now.run_id == space.newest.run_id == before[0] and space.now.fact().count() == fact
+
+
+def test_loads_copy_tables_without_a_shuffle(spark, space, tmp_path, monkeypatch):
+    from brassledger.sources import files
+
+    seen, copy = [], files.copy_table
+    monkeypatch.setattr(files, "copy_table", lambda df, path: (seen.append(plan(df)), copy(df, path)))
+    Loads(spark, str(tmp_path)).load({"fact": (space.fact, K.FACT_DDL)}, X.AS_OF)
+    assert seen and not any("Exchange" in text for text in seen)
