@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from brassledger import contracts as K
 from brassledger import fixtures as X
-from brassledger.catalogue import queries
+from brassledger.catalogue import queries, workspace
 from brassledger.catalogue.workspace import Workspace
 from brassledger.operators import governance as G
 from brassledger.operators import validate
@@ -192,6 +192,15 @@ def test_curated_tables_need_no_history(spark, small_dir):
     assert space.now.run_id == space.newest.run_id == before[0] and space.now.fact().count() == fact
 
 
+def test_a_blocked_newest_run_leaves_the_curated_tables_of_an_earlier_one(spark, small_dir, monkeypatch):
+    first, middle, last = workspace.RUNS
+    monkeypatch.setattr(workspace, "RUNS", (first, middle, (*last[:2], 0.0)))
+    space = Workspace(spark, small_dir)
+    assert space.fact.select("run_id").distinct().collect()[0]["run_id"] == Settings(first[0]).run_id
+    assert space.newest.newest_run == Settings(last[0]).run_id
+    assert space.newest.quarantined().select("run_id").distinct().collect()[0]["run_id"] == Settings(last[0]).run_id
+
+
 def test_loads_copy_tables_without_a_shuffle(spark, space, tmp_path, monkeypatch):
     from brassledger.sources import files
 
