@@ -116,7 +116,7 @@ def agg_band(ws):
        GROUP BY ALL""",
 )
 def agg_listagg_distinct(ws):
-    pairs = ws.dim_customer.select("customer_segment", "state").distinct()
+    pairs = ws.masters.dim_customer.select("customer_segment", "state").distinct()
     listed = F.expr("listagg(DISTINCT state, ',') WITHIN GROUP (ORDER BY state)")
     return pairs.groupBy("customer_segment").agg(listed.alias("states"))
 

@@ -136,7 +136,7 @@ def tag_report(ws):
                    FROM dim_customer WHERE state IN ('MD', 'VA', 'DC', 'DE', 'PA'))""",
 )
 def access_matrix(ws):
-    return G.access_matrix(ws.dim_customer)
+    return G.access_matrix(ws.masters.dim_customer)
 
 
 @query(

@@ -24,8 +24,8 @@ def _rule(name: str, kinds: tuple[str, ...], where: str) -> None:
     )
     def evaluate_kind(ws):
         chosen = tuple(r for r in rules.DEFAULT_RULES if r.kind in kinds)
-        df = ws.run.std.select(*K.RULE_COLUMNS)
-        s = ws.run.settings
+        df = ws.from_files.std.select(*K.RULE_COLUMNS)
+        s = ws.from_files.settings
         outcomes = rules.evaluate(df, K.RAW_DATASET, s.run_id, s.as_of, s.as_of, chosen)
         return outcomes.select("rule", "outcome", "failure_reason", "evaluated_metrics")
 
@@ -108,7 +108,7 @@ def metric_row_count(ws):
     "SELECT count(transaction_id) - count(DISTINCT transaction_id) AS duplicates FROM std",
 )
 def metric_duplicate_count(ws):
-    return quality.duplicate_count(ws.run.std, "transaction_id")
+    return quality.duplicate_count(ws.from_files.std, "transaction_id")
 
 
 @query(
@@ -117,7 +117,7 @@ def metric_duplicate_count(ws):
               count(*) FILTER (channel IS NULL) AS null_channels FROM std""",
 )
 def metric_null_count(ws):
-    return ws.run.std.agg(
+    return ws.from_files.std.agg(
         quality.null_count("source_account_id").alias("null_accounts"),
         quality.null_count("channel").alias("null_channels"),
     )
@@ -125,7 +125,7 @@ def metric_null_count(ws):
 
 @query("metric_non_positive_amount", "SELECT count(*) FILTER (amount <= 0) AS non_positive_amounts FROM std")
 def metric_non_positive_amount(ws):
-    return ws.run.std.agg(quality.non_positive_count("amount").alias("non_positive_amounts"))
+    return ws.from_files.std.agg(quality.non_positive_count("amount").alias("non_positive_amounts"))
 
 
 @query(
@@ -133,7 +133,7 @@ def metric_non_positive_amount(ws):
     "SELECT count(*) FILTER (transaction_ts > TIMESTAMP '2024-02-01') AS future_timestamps FROM std",
 )
 def metric_future_timestamp(ws):
-    return ws.run.std.agg(quality.future_count("transaction_ts", X.AS_OF).alias("future_timestamps"))
+    return ws.from_files.std.agg(quality.future_count("transaction_ts", X.AS_OF).alias("future_timestamps"))
 
 
 @query(
@@ -142,7 +142,7 @@ def metric_future_timestamp(ws):
               AS invalid_channels FROM std""",
 )
 def metric_invalid_channel(ws):
-    return ws.run.std.agg(quality.outside_domain_count("channel").alias("invalid_channels"))
+    return ws.from_files.std.agg(quality.outside_domain_count("channel").alias("invalid_channels"))
 
 
 @query(

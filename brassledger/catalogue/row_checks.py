@@ -110,7 +110,7 @@ def split_quarantine(ws):
        FROM all_account WHERE coalesce(account_status, '') NOT IN ('ACTIVE', 'DORMANT', 'CLOSED', 'FROZEN')""",
 )
 def account_status_quarantine(ws):
-    return ws.run.account_quarantine
+    return ws.masters.account_quarantine
 
 
 @query("quarantine_reason_counts", "SELECT * FROM reason_history WHERE run_id = '20240201T000000Z'")

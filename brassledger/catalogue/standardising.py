@@ -83,7 +83,7 @@ def ingest_path(ws):
 def keep_raw_originals(ws):
     bad = F.col("transaction_ts").isNull() | F.col("amount").isNull() | (F.col("amount") <= 0)
     columns = ("transaction_id", "transaction_ts", "amount", "raw_transaction_timestamp", "raw_amount")
-    return ws.run.std.filter(bad).select(*columns)
+    return ws.from_files.std.filter(bad).select(*columns)
 
 
 @query(
@@ -91,7 +91,7 @@ def keep_raw_originals(ws):
     "SELECT * EXCLUDE (n) REPLACE (regexp_extract(source_file, '(source=[a-z]+)', 1) AS source_file) FROM std",
 )
 def standardize_transactions(ws):
-    return ws.run.std.drop(K.RAW_LINE).withColumn("source_file", zone())
+    return ws.from_files.std.drop(K.RAW_LINE).withColumn("source_file", zone())
 
 
 @query(
@@ -100,17 +100,17 @@ def standardize_transactions(ws):
                     'INVALID_ACCOUNT_STATUS') AS dq_fail_reason FROM all_account""",
 )
 def standardize_accounts(ws):
-    return ws.run.checked_accounts
+    return ws.masters.checked_accounts
 
 
 @query("standardize_customers", "SELECT * FROM dim_customer")
 def standardize_customers(ws):
-    return ws.run.dim_customer
+    return ws.masters.dim_customer
 
 
 @query("standardize_branches", "SELECT * FROM dim_branch")
 def standardize_branches(ws):
-    return ws.run.dim_branch
+    return ws.masters.dim_branch
 
 
 @query("yn_to_bool", "SELECT customer_id, digital_enrolled_flag = 'Y' AS digital_enrolled_flag FROM raw_customer")

@@ -1,5 +1,6 @@
 """What the physical plans must and must not contain."""
 
+import datetime as dt
 import re
 from pathlib import Path
 
@@ -208,3 +209,28 @@ def test_loads_copy_tables_without_a_shuffle(spark, space, tmp_path, monkeypatch
     monkeypatch.setattr(files, "copy_table", lambda df, path: (seen.append(plan(df)), copy(df, path)))
     Loads(spark, str(tmp_path)).load({"fact": (space.fact, K.FACT_DDL)}, X.AS_OF)
     assert seen and not any("Exchange" in text for text in seen)
+
+
+def test_runs_over_the_same_files_share_the_rows_checked_but_for_the_clock(spark, space, tmp_path):
+    """Each run finds the reasons that reading the files again would give it, the clock's one in its place."""
+    prepared = Run(space.raw, Settings(X.AS_OF)).prepare_in(str(tmp_path / "prepared"))
+    early = dt.datetime(1996, 1, 1)  # most rows lie in its future, defective ones too
+    for as_of in (early, X.AS_OF):
+        shared, alone = prepared.under(Settings(as_of)), Run(space.raw, Settings(as_of))
+        assert "Scan csv" not in plan(shared.checked)
+        columns = [c for c in alone.checked.columns if c != validate.LANE]
+        differ = shared.checked.select(*columns).exceptAll(alone.checked.select(*columns))
+        assert differ.isEmpty() and shared.checked.count() == alone.checked.count()
+    both = prepared.under(Settings(early)).checked.filter(F.size("dq_fail_reasons") > 1)
+    assert not both.filter(F.array_contains("dq_fail_reasons", "FUTURE_TIMESTAMP")).isEmpty()
+
+
+def test_what_needs_no_run_starts_none(spark, small_dir, monkeypatch):
+    """Questions on customers lay out no transactions, questions on typed rows stage nothing."""
+    space = Workspace(spark, small_dir)
+    monkeypatch.setattr(Workspace, "of", classmethod(lambda cls, *_: space))
+    for name in ("agg_listagg_distinct", "access_matrix"):
+        assert queries()[name](spark, small_dir).count()
+    assert "raw_root" not in vars(space)
+    assert queries()["keep_raw_originals"](spark, small_dir).count()
+    assert not {"prepared", "run", "_begun"} & set(vars(space))
