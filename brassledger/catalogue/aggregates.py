@@ -20,7 +20,7 @@ def rows(name: str = "txn_count"):
 )
 def agg_count_sum_avg(ws):
     mean = F.round(C.share(F.sum("amount"), F.count("amount")), 6)
-    return ws.fact.groupBy("transaction_type", "channel").agg(
+    return ws.current.fact.groupBy("transaction_type", "channel").agg(
         rows(), C.total("amount").alias("txn_value"), mean.alias("avg_value")
     )
 
@@ -35,7 +35,7 @@ def agg_count_sum_avg(ws):
 def agg_conditional(ws):
     month = C.month_start("transaction_date").alias("month_start")
     inflow = F.col("flow_direction") == "INFLOW"
-    return ws.fact.groupBy(month).agg(
+    return ws.current.fact.groupBy(month).agg(
         F.count_if("is_failed").alias("failed_txn_count"),
         C.total(C.money_if(inflow)).alias("deposit_value"),
         F.round(C.share(F.count_if("digital_channel_flag"), F.count(F.lit(1))), 6).alias("digital_share"),
@@ -48,7 +48,7 @@ def agg_conditional(ws):
               count(DISTINCT source_account_id) AS accounts FROM fact GROUP BY ALL""",
 )
 def agg_count_distinct(ws):
-    pairs = ws.fact.groupBy("transaction_type", "customer_id", "source_account_id").agg(rows("n"))
+    pairs = ws.current.fact.groupBy("transaction_type", "customer_id", "source_account_id").agg(rows("n"))
     return pairs.groupBy("transaction_type").agg(
         F.count_distinct("customer_id").alias("customers"), F.count_distinct("source_account_id").alias("accounts")
     )
@@ -63,7 +63,7 @@ def agg_count_distinct(ws):
 )
 def agg_ratio_nullif(ws):
     reversed_ = F.count_if(F.col("transaction_status") == "REVERSED")
-    per_customer = ws.fact.groupBy("channel", "customer_id").agg(rows("n"), reversed_.alias("r"))
+    per_customer = ws.current.fact.groupBy("channel", "customer_id").agg(rows("n"), reversed_.alias("r"))
     n = F.sum("n")
     return per_customer.groupBy("channel").agg(
         F.round(C.share(n, F.count("customer_id")), 6).alias("txns_per_customer"),
@@ -78,7 +78,7 @@ def agg_ratio_nullif(ws):
 )
 def agg_percentiles(ws):
     cuts = F.percentile_approx("amount", [0.5, 0.95], 100_000)
-    grouped = ws.fact.groupBy("channel").agg(cuts.alias("cuts"))
+    grouped = ws.current.fact.groupBy("channel").agg(cuts.alias("cuts"))
     return grouped.select("channel", F.col("cuts")[0].alias("median_value"), F.col("cuts")[1].alias("p95_value"))
 
 
@@ -87,7 +87,7 @@ def agg_percentiles(ws):
     "SELECT customer_id, max(transaction_date) AS last_txn_date FROM fact GROUP BY ALL",
 )
 def agg_max_date(ws):
-    return ws.fact.groupBy("customer_id").agg(F.max("transaction_date").alias("last_txn_date"))
+    return ws.current.fact.groupBy("customer_id").agg(F.max("transaction_date").alias("last_txn_date"))
 
 
 @query(
@@ -96,7 +96,7 @@ def agg_max_date(ws):
        HAVING sum(signed_amount) < 0""",
 )
 def agg_having_negative(ws):
-    flows = ws.fact.groupBy("customer_id").agg(C.total("signed_amount").alias("net_flow"))
+    flows = ws.current.fact.groupBy("customer_id").agg(C.total("signed_amount").alias("net_flow"))
     return flows.filter(F.col("net_flow") < 0)
 
 
@@ -107,7 +107,7 @@ def agg_having_negative(ws):
 )
 def agg_band(ws):
     band = F.when(F.sum("signed_amount") < 0, "NET_OUTFLOW").otherwise("NET_INFLOW")
-    return ws.fact.groupBy("customer_id").agg(band.alias("flow_band"))
+    return ws.current.fact.groupBy("customer_id").agg(band.alias("flow_band"))
 
 
 @query(
@@ -127,8 +127,8 @@ def agg_listagg_distinct(ws):
 )
 def agg_distinct_states(ws):
     month = C.month_start("transaction_date").alias("month_start")
-    per_customer = ws.fact.groupBy(month, "customer_id").agg(rows("n"))
-    joined = per_customer.join(ws.dim_customer.select("customer_id", "state"), "customer_id", "left")
+    per_customer = ws.current.fact.groupBy(month, "customer_id").agg(rows("n"))
+    joined = per_customer.join(ws.current.dim_customer.select("customer_id", "state"), "customer_id", "left")
     return joined.groupBy("month_start").agg(F.count_distinct("state").alias("states_visible"))
 
 

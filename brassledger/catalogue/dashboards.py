@@ -10,7 +10,7 @@ from brassledger.plans import marts
 
 
 def _daily(ws):
-    return marts.daily_transactions(ws.fact)
+    return marts.daily_transactions(ws.current.fact)
 
 
 @query(
@@ -38,7 +38,7 @@ def dash_digital_share_daily(ws):
     "SELECT month_start, txn_count, month_start = max(month_start) OVER () AS is_latest_month FROM kpis",
 )
 def dash_latest_month(ws):
-    return D.latest_month(marts.monthly_kpis(ws.fact))
+    return D.latest_month(marts.monthly_kpis(ws.current.fact))
 
 
 @query(
@@ -55,7 +55,7 @@ def dash_quarantine_pct(ws):
        FROM kpis ORDER BY month_start DESC LIMIT 1""",
 )
 def dash_kpi_cards(ws):
-    return D.kpi_cards(marts.monthly_kpis(ws.fact))
+    return D.kpi_cards(marts.monthly_kpis(ws.current.fact))
 
 
 @query(
@@ -83,7 +83,7 @@ def dash_channel_mix(ws):
        FROM segment GROUP BY ALL""",
 )
 def dash_state_value(ws):
-    return D.state_value(ws.secure(G.ANALYST).monthly_segment())
+    return D.state_value(ws.current_secure(G.ANALYST).monthly_segment())
 
 
 @query(
@@ -93,7 +93,7 @@ def dash_state_value(ws):
        FROM segment GROUP BY ALL""",
 )
 def dash_segment_digital(ws):
-    return D.segment_digital(ws.secure(G.ANALYST).monthly_segment())
+    return D.segment_digital(ws.current_secure(G.ANALYST).monthly_segment())
 
 
 @query(
@@ -102,7 +102,7 @@ def dash_segment_digital(ws):
        FROM customer_value GROUP BY ALL""",
 )
 def dash_netflow_histogram(ws):
-    return D.netflow_histogram(ws.secure(G.ANALYST).customer_value())
+    return D.netflow_histogram(ws.current_secure(G.ANALYST).customer_value())
 
 
 @query(
@@ -112,7 +112,7 @@ def dash_netflow_histogram(ws):
        ORDER BY net_flow, 'H_' || sha256(customer_id)[:16] LIMIT 20""",
 )
 def dash_top20_outflow(ws):
-    return D.top_outflow(ws.secure(G.ANALYST).customer_value())
+    return D.top_outflow(ws.current_secure(G.ANALYST).customer_value())
 
 
 @query(
@@ -121,7 +121,7 @@ def dash_top20_outflow(ws):
        FROM merchant GROUP BY ALL""",
 )
 def dash_merchant_treemap(ws):
-    return D.merchant_treemap(marts.merchant_monthly(ws.fact))
+    return D.merchant_treemap(marts.merchant_monthly(ws.current.fact))
 
 
 @query(

@@ -19,7 +19,7 @@ def _masked(columns: str) -> str:
     f"SELECT customer_id AS raw_id, {_masked('customer_id')}, customer_id AS steward_sees FROM dim_customer",
 )
 def mask_identifier(ws):
-    return ws.dim_customer.select(
+    return ws.current.dim_customer.select(
         F.col("customer_id").alias("raw_id"),
         G.mask_identifier("customer_id", G.ANALYST).alias("customer_id"),
         G.mask_identifier("customer_id", G.STEWARD).alias("steward_sees"),
@@ -32,7 +32,7 @@ def mask_identifier(ws):
               current_balance AS engineer_sees FROM dim_account""",
 )
 def mask_balance(ws):
-    return ws.dim_account.select(
+    return ws.current.dim_account.select(
         "account_id",
         G.mask_balance("current_balance", G.ANALYST).alias("current_balance"),
         G.mask_balance("current_balance", G.ENGINEER).alias("engineer_sees"),
@@ -51,7 +51,7 @@ def mask_balance(ws):
 )
 def apply_masking(ws):
     """All nine bindings: three tables as the analyst sees them, one below the other."""
-    frames = {"dim_account": ws.dim_account, "dim_customer": ws.dim_customer, "fact_transactions": ws.fact}
+    frames = {"dim_account": ws.current.dim_account, "dim_customer": ws.current.dim_customer, "fact_transactions": ws.current.fact}
     parts = []
     for name, df in frames.items():
         kinds = {"identifier": [], "balance": []}
@@ -70,7 +70,7 @@ def apply_masking(ws):
     """SELECT customer_id, state FROM dim_customer WHERE state IN ('MD', 'VA', 'DC', 'DE', 'PA')""",
 )
 def row_access_state(ws):
-    return G.visible_rows(ws.dim_customer, G.REGIONAL).select("customer_id", "state")
+    return G.visible_rows(ws.current.dim_customer, G.REGIONAL).select("customer_id", "state")
 
 
 @query(
@@ -80,7 +80,7 @@ def row_access_state(ws):
        GROUP BY ALL""",
 )
 def state_entitlements(ws):
-    per_state = ws.dim_customer.groupBy("state").agg(F.count("customer_id").alias("n"))
+    per_state = ws.current.dim_customer.groupBy("state").agg(F.count("customer_id").alias("n"))
     joined = G.entitlements(ws.spark).join(per_state, "state", "left")
     return joined.select("role_name", "state", F.coalesce("n", F.lit(0)).cast("bigint").alias("customers"))
 
@@ -103,7 +103,7 @@ TAGGED = {
 )
 def tag_columns(ws):
     """Tags survive a projection; each tagged column with the values it covers, from one pass."""
-    tagged = G.tag_columns(ws.fact, "fact_transactions").select(*TAGGED)
+    tagged = G.tag_columns(ws.current.fact, "fact_transactions").select(*TAGGED)
     return G.tag_report(tagged, "fact_transactions").select("column_name", "classification", "filled_values")
 
 
@@ -120,7 +120,7 @@ def tag_columns(ws):
 )
 def tag_report(ws):
     """Shows on purpose that account.customer_id is masked although it carries no tag."""
-    return G.tag_report(G.tag_columns(ws.dim_account, "dim_account"), "dim_account")
+    return G.tag_report(G.tag_columns(ws.current.dim_account, "dim_account"), "dim_account")
 
 
 @query(
@@ -148,9 +148,9 @@ def masked_join_still_works(ws):
     """Rows and distinct keys of fact x customer, once on raw and once on hashed keys."""
 
     def joined(role):
-        per_customer = ws.fact.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
+        per_customer = ws.current.fact.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
         per_customer = G.apply_masking(per_customer, "fact_transactions", role)  # one hash per customer
-        customers = G.apply_masking(ws.dim_customer, "dim_customer", role).select("customer_id")
+        customers = G.apply_masking(ws.current.dim_customer, "dim_customer", role).select("customer_id")
         matched = per_customer.join(customers, "customer_id")
         return matched.agg(F.sum("n").alias("joined_rows"), F.count(F.lit(1)).alias("distinct_customers"))
 
@@ -180,7 +180,7 @@ def governance_demo(ws):
     parts = []
     listed = F.expr("listagg(DISTINCT state, ',') WITHIN GROUP (ORDER BY state)")
     for role in (G.ANALYST, G.REGIONAL, G.STEWARD):
-        seen = ws.secure(role)
+        seen = ws.current_secure(role)
         lowest = seen.customer_value().orderBy("net_flow", "customer_id").limit(5)
         states = seen.monthly_segment().select("state").distinct()
         reach = states.agg(F.struct(F.count("state").alias("n"), listed.alias("names"))).scalar()

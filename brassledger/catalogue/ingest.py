@@ -153,7 +153,7 @@ def counted(ws, names: dict[str, str], label: str, number: str):
 def refresh_by_name(ws):
     """Upper-case names in another order, one column absent, loaded twice."""
     root = ws.fresh("refresh")
-    source = ws.fact.drop("is_fraud_flag", "year", "month")
+    source = ws.current.fact.drop("is_fraud_flag", "year", "month")
     files.copy_table(source.select(*[F.col(c).alias(c.upper()) for c in reversed(source.columns)]), f"{root}/in")
     loads, given = Loads(ws.spark, f"{root}/out"), ws.spark.read.parquet(f"{root}/in")
     for _ in range(2):
@@ -203,7 +203,7 @@ def create_mart_views(ws):
 )
 def export_mart_csv(ws):
     """The customer mart as the analyst exports it, read back from CSV."""
-    path, mart = ws.fresh("export"), ws.secure(G.ANALYST).customer_value()
+    path, mart = ws.fresh("export"), ws.current_secure(G.ANALYST).customer_value()
     files.export_csv(mart, path)
     return files.read_export(ws.spark, path, mart.schema)
 

@@ -66,8 +66,8 @@ def join_left_customer(ws):
        FROM fact JOIN dim_customer USING (customer_id) GROUP BY ALL""",
 )
 def join_inner_customer(ws):
-    per_customer = ws.fact.groupBy("customer_id").agg(rows("n"), C.total("amount").alias("v"))
-    joined = per_customer.join(ws.dim_customer.select("customer_id", "customer_segment", "risk_tier"), "customer_id")
+    per_customer = ws.current.fact.groupBy("customer_id").agg(rows("n"), C.total("amount").alias("v"))
+    joined = per_customer.join(ws.current.dim_customer.select("customer_id", "customer_segment", "risk_tier"), "customer_id")
     return joined.groupBy("customer_segment", "risk_tier").agg(
         F.sum("n").alias("txn_count"), C.total("v").alias("txn_value")
     )
@@ -79,8 +79,8 @@ def join_inner_customer(ws):
        GROUP BY ALL""",
 )
 def join_inner_branch(ws):
-    per_branch = ws.fact.filter(F.col("branch_id").isNotNull()).groupBy("branch_id").agg(rows("txn_count"))
-    return per_branch.join(ws.dim_branch.select("branch_id", "region"), "branch_id").select(
+    per_branch = ws.current.fact.filter(F.col("branch_id").isNotNull()).groupBy("branch_id").agg(rows("txn_count"))
+    return per_branch.join(ws.current.dim_branch.select("branch_id", "region"), "branch_id").select(
         "branch_id", "region", "txn_count"
     )
 
@@ -93,12 +93,12 @@ def join_inner_branch(ws):
 )
 def join_three_way(ws):
     pairs = (
-        ws.fact.filter(F.col("branch_id").isNotNull())
+        ws.current.fact.filter(F.col("branch_id").isNotNull())
         .groupBy("customer_id", "branch_id")
         .agg(rows("n"), C.total("amount").alias("v"))
     )
-    joined = pairs.join(ws.dim_branch.select("branch_id", "region"), "branch_id").join(
-        ws.dim_customer.select("customer_id", "customer_segment"), "customer_id"
+    joined = pairs.join(ws.current.dim_branch.select("branch_id", "region"), "branch_id").join(
+        ws.current.dim_customer.select("customer_id", "customer_segment"), "customer_id"
     )
     return joined.groupBy("customer_segment", "region").agg(
         F.sum("n").alias("txn_count"), C.total("v").alias("txn_value")
@@ -111,8 +111,8 @@ def join_three_way(ws):
        FROM dim_account a JOIN fact t ON t.source_account_id = a.account_id GROUP BY ALL""",
 )
 def join_account_fact(ws):
-    used = ws.fact.groupBy(F.col("source_account_id").alias("account_id")).agg(rows("n"))
-    joined = ws.dim_account.select("account_id", "account_type", "account_status").join(used, "account_id")
+    used = ws.current.fact.groupBy(F.col("source_account_id").alias("account_id")).agg(rows("n"))
+    joined = ws.current.dim_account.select("account_id", "account_type", "account_status").join(used, "account_id")
     return joined.groupBy("account_type", "account_status").agg(
         F.sum("n").alias("txn_count"), rows("accounts_used")
     )
@@ -126,8 +126,8 @@ def join_account_fact(ws):
 )
 def bounds_cross_join(ws):
     """The one-row bound as a scalar subquery: no join is planned at all."""
-    newest = analysis.newest_date(ws.fact)
-    return analysis.recent(ws.fact, 3).groupBy(newest.alias("newest"), "transaction_type").agg(rows("txn_count"))
+    newest = analysis.newest_date(ws.current.fact)
+    return analysis.recent(ws.current.fact, 3).groupBy(newest.alias("newest"), "transaction_type").agg(rows("txn_count"))
 
 
 @query("join_latest_per_dataset", "SELECT * FROM newest_rules")
@@ -184,7 +184,7 @@ def join_scorecard(ws):
 )
 def semi_exists_entitlement(ws):
     roles = [G.ENGINEER, G.ANALYST, G.REGIONAL]
-    return G.visible_per_role(ws.dim_customer, roles, G.entitlements(ws.spark))
+    return G.visible_per_role(ws.current.dim_customer, roles, G.entitlements(ws.spark))
 
 
 @query(

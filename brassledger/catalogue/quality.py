@@ -100,7 +100,7 @@ def dq_run_summary(ws):
 
 @query("metric_row_count", "SELECT count(*) AS row_count FROM fact")
 def metric_row_count(ws):
-    return ws.fact.agg(quality.row_count().alias("row_count"))
+    return ws.current.fact.agg(quality.row_count().alias("row_count"))
 
 
 @query(
@@ -151,8 +151,8 @@ def metric_invalid_channel(ws):
               count(*) FILTER (amount <= 0) AS non_positive_amounts FROM fact""",
 )
 def metric_on_demand(ws):
-    repeats = quality.duplicate_count(ws.fact, "transaction_id").scalar()
-    counted = ws.fact.agg(quality.non_positive_count("amount").alias("non_positive_amounts"))
+    repeats = quality.duplicate_count(ws.current.fact, "transaction_id").scalar()
+    counted = ws.current.fact.agg(quality.non_positive_count("amount").alias("non_positive_amounts"))
     return counted.select(repeats.alias("dup_txn_ids"), "non_positive_amounts")
 
 
@@ -195,7 +195,7 @@ def metric_state_total(ws):
        FROM dim_account a LEFT JOIN dim_customer c ON a.customer_id = c.customer_id""",
 )
 def check_referential_integrity(ws):
-    return quality.referential_integrity(ws.fact, ws.dim_account, ws.dim_customer)
+    return quality.referential_integrity(ws.current.fact, ws.current.dim_account, ws.current.dim_customer)
 
 
 @query(

@@ -142,7 +142,7 @@ def digital_and_failed_flags(ws):
     "SELECT transaction_status, count(*) AS row_count FROM fact WHERE NOT is_failed GROUP BY ALL",
 )
 def filter_not_failed(ws):
-    kept = ws.fact.filter(~F.col("is_failed"))
+    kept = ws.current.fact.filter(~F.col("is_failed"))
     return kept.groupBy("transaction_status").agg(F.count(F.lit(1)).alias("row_count"))
 
 
@@ -151,7 +151,7 @@ def filter_not_failed(ws):
     "SELECT merchant_category, count(*) AS row_count FROM fact WHERE merchant_category IS NOT NULL GROUP BY ALL",
 )
 def filter_not_null(ws):
-    kept = ws.fact.filter(F.col("merchant_category").isNotNull())
+    kept = ws.current.fact.filter(F.col("merchant_category").isNotNull())
     return kept.groupBy("merchant_category").agg(F.count(F.lit(1)).alias("row_count"))
 
 
@@ -171,7 +171,7 @@ def like_reason(ws):
     "SELECT account_id, account_status FROM dim_account WHERE account_status IN ('DORMANT', 'CLOSED')",
 )
 def in_list(ws):
-    return ws.dim_account.filter(F.col("account_status").isin("DORMANT", "CLOSED")).select(
+    return ws.current.dim_account.filter(F.col("account_status").isin("DORMANT", "CLOSED")).select(
         "account_id", "account_status"
     )
 
@@ -182,7 +182,7 @@ def in_list(ws):
        WHERE transaction_date > (SELECT max(transaction_date) FROM fact) - INTERVAL 3 MONTH GROUP BY ALL""",
 )
 def range_on_date(ws):
-    return analysis.recent(ws.fact, 3).groupBy("transaction_date").agg(F.count(F.lit(1)).alias("row_count"))
+    return analysis.recent(ws.current.fact, 3).groupBy("transaction_date").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 @query(
@@ -190,5 +190,5 @@ def range_on_date(ws):
     """SELECT transaction_type, channel, count(*) AS txn_count FROM fact GROUP BY ALL HAVING count(*) > 100""",
 )
 def having_min_count(ws):
-    grouped = ws.fact.groupBy("transaction_type", "channel").agg(F.count(F.lit(1)).alias("txn_count"))
+    grouped = ws.current.fact.groupBy("transaction_type", "channel").agg(F.count(F.lit(1)).alias("txn_count"))
     return grouped.filter(F.col("txn_count") > 100)

@@ -236,6 +236,42 @@ def test_what_needs_no_run_starts_none(spark, small_dir, monkeypatch):
     assert not {"prepared", "run", "_begun"} & set(vars(space))
 
 
+@pytest.mark.parametrize("name", ["topk", "mart_branch_activity", "refresh_by_name"])
+def test_questions_on_the_fact_lay_out_no_files_and_fill_no_shared_lake(spark, small_dir, monkeypatch, name):
+    space = Workspace(spark, small_dir)
+    monkeypatch.setattr(Workspace, "of", classmethod(lambda cls, *_: space))
+    assert queries()[name](spark, small_dir).count()
+    assert not {"raw_root", "prepared", "run", "_begun"} & set(vars(space))
+
+
+def test_the_fact_from_the_tables_is_the_published_one(spark, small_dir):
+    space = Workspace(spark, small_dir)
+    direct, before = space.current, space.newest.summary().first()
+    totals = direct.totals.first()
+    assert direct is not space and space.current is space  # once a lake is there it is read
+    assert (totals["raw_rows"], totals["quarantined_rows"]) == (before["raw_rows"], before["quarantined_rows"])
+    for table in ("fact", "dim_customer", "dim_account", "dim_branch"):
+        rows, published = (getattr(x, table).drop("source_file") for x in (direct, space))
+        assert sorted(rows.columns) == sorted(published.columns) and rows.count() == published.count()
+        assert rows.select(*published.columns).exceptAll(published).isEmpty()
+
+
+def test_a_blocked_newest_run_is_not_taken_from_the_tables(spark, small_dir, monkeypatch):
+    first, middle, last = workspace.RUNS
+    monkeypatch.setattr(workspace, "RUNS", (first, middle, (*last[:2], 0.0)))
+    space = Workspace(spark, small_dir)
+    assert space.current is space
+    assert space.current.fact.select("run_id").distinct().collect()[0]["run_id"] == Settings(first[0]).run_id
+
+
+def test_rows_that_settle_unwritten_are_the_flagged_ones(spark, space, tmp_path):
+    folder = str(tmp_path / "settled")
+    run, whole = Run(space.raw, Settings(X.AS_OF)).settle_in(folder), lazy(space)
+    assert sorted(f.name for f in Path(folder).iterdir()) == ["account_master", "ranked", "repeated_ids"]
+    assert sorted(map(str, run.flagged.collect())) == sorted(map(str, whole.flagged.collect()))
+    assert run.totals.collect() == whole.totals.collect()
+
+
 def test_malformed_lines_need_neither_run_nor_lake(spark, small_dir, monkeypatch):
     """One scan of the delivered files; reconciling them writes no lake."""
     space = Workspace(spark, small_dir)
