@@ -171,8 +171,9 @@ def refresh_by_name(ws):
        UNION ALL SELECT TIMESTAMP '2024-02-01', 'dq.quarantine_transactions', count(*) FROM quarantine""",
 )
 def load_audit(ws):
+    """From the tables to a published run, and from its lake to the warehouse's eight tables."""
     house = Warehouse(ws.spark, ws.fresh("warehouse"))
-    house.refresh(ws.lake, X.AS_OF)
+    house.refresh(ws.own_lake(), X.AS_OF)
     return house.audit()
 
 

@@ -236,7 +236,7 @@ def test_what_needs_no_run_starts_none(spark, small_dir, monkeypatch):
     assert not {"prepared", "run", "_begun"} & set(vars(space))
 
 
-@pytest.mark.parametrize("name", ["topk", "mart_branch_activity", "refresh_by_name"])
+@pytest.mark.parametrize("name", ["topk", "mart_branch_activity", "refresh_by_name", "load_audit"])
 def test_questions_on_the_fact_lay_out_no_files_and_fill_no_shared_lake(spark, small_dir, monkeypatch, name):
     space = Workspace(spark, small_dir)
     monkeypatch.setattr(Workspace, "of", classmethod(lambda cls, *_: space))
@@ -256,6 +256,27 @@ def test_the_fact_from_the_tables_is_the_published_one(spark, small_dir):
         assert rows.select(*published.columns).exceptAll(published).isEmpty()
 
 
+def test_odd_rows_give_the_published_fact_too(spark, small_dir, monkeypatch, tmp_path):
+    """Nulls in every column but the first, and rows that come twice."""
+    for name in ("orders", "events", "customer", "nation", "region"):
+        rows = spark.read.parquet(f"{small_dir}/{name}.parquet")
+        key, *rest = rows.columns
+        if name in ("orders", "events", "customer"):
+            gap = [F.when(F.pmod(F.xxhash64(key, F.lit(c)), F.lit(9)) != 0, F.col(c)).alias(c) for c in rest]
+            rows = rows.select(key, *gap)
+            rows = rows.unionByName(rows.filter(F.col(key) % 5 == 0))
+        rows.write.parquet(f"{tmp_path}/{name}.parquet")
+    monkeypatch.setattr(workspace, "RUNS", tuple((*run[:2], 1.0) for run in workspace.RUNS))
+    space = Workspace(spark, str(tmp_path))
+    direct, published = space.current, space.newest.fact()
+    rows = direct.fact.select(*published.columns).drop("source_file")
+    assert direct is not space and rows.count() == published.count() > 1000
+    assert rows.exceptAll(published.drop("source_file")).isEmpty()
+    for table in ("dim_customer", "dim_account"):
+        wanted = space.newest.dimension(table)
+        assert getattr(direct, table).select(*wanted.columns).exceptAll(wanted).isEmpty()
+
+
 def test_a_blocked_newest_run_is_not_taken_from_the_tables(spark, small_dir, monkeypatch):
     first, middle, last = workspace.RUNS
     monkeypatch.setattr(workspace, "RUNS", (first, middle, (*last[:2], 0.0)))
